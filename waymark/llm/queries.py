@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import mixing, sharding, token_counts
+from waymark.llm import decontaminate, mixing, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +27,17 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate_documents(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         name: q
         for name, q in globals().items()
-        if name.startswith("op") and name[2].isdigit() and callable(q)
+        if name.startswith("op") and name[2].isdigit()
     }
 
 
@@ -81,3 +87,39 @@ WITH sized AS (
 SELECT doc_id, source, size, source_size, target, copies, (size * copies)::BIGINT AS taken
 FROM dealt
 """
+
+SQL["op10_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n,
+         array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS win
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i) r
+  WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM item_windows
+), doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) r
+), hits AS (
+  SELECT dw.doc_id, dw.i, dw.n, iw.item_id
+  FROM doc_windows dw JOIN item_windows iw ON dw.n = iw.n AND dw.win = iw.win
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits))
+  GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
