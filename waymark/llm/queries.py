@@ -11,6 +11,7 @@ from waymark.llm import (
     decontaminate,
     language_id,
     mixing,
+    ppm,
     sharding,
     token_counts,
 )
@@ -40,6 +41,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents"))
 
