@@ -3,10 +3,88 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from waymark.llm import decontaminate, language_id, mixing, sharding, superminhash
 from waymark.llm.storage import materialize
 
-STAGES: list = []
+N_SHARDS = 8
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """doc_id and text beside the whole row, so that no other column's name can clash."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that belong to no learned language, or have no letters, go.
+
+    Models are learned from the documents that come in; ``lang`` stays as it is.
+    """
+    model = language_id.fit(docs.select("doc_id", "text", "lang"))
+    told = whole_rows(docs).withColumn("language", language_id.identify(docs, model))
+    return told.where("not language.rejected").select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of five-word-shingle near copies the document of smallest id stays.
+
+    Rows that repeat an id and a text stay once; rows without an id all stay.
+    """
+    groups = superminhash.near_duplicates(docs.select("doc_id", "text"), k=5, percent=80)
+    first = groups.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
+    copy = Window.partitionBy("doc_id", "print").orderBy("doc_id")
+    kept = (
+        whole_rows(docs)
+        .withColumn("print", F.xxhash64("text"))
+        .drop("text")
+        .join(first, "doc_id", "left_semi")
+        .withColumn("copy", F.row_number().over(copy))
+        .where("copy = 1")
+    )
+    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold too much of a benchmark item go; all others stay whole."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hits = decontaminate.with_verdict(decontaminate.find_hits(whole_rows(docs), benchmark))
+    return hits.where("not contaminated").select("row.*")
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights: a document stands in as many rows as the mix takes."""
+    sized = docs.select(
+        "doc_id",
+        "source",
+        mixing.word_count(F.col("text")).alias("size"),
+        F.struct(*docs.columns).alias("row"),
+    )
+    mixed = mixing.mix_sources(sized).where("copies > 0")
+    rows = mixed.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    return rows.select("row.*")
+
+
+def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The manifest: shard and slot of every row, with its size and checksum but no text."""
+    narrow = docs.select(
+        "doc_id",
+        "lang",
+        "source",
+        sharding.record_bytes(F.col("text")).alias("size"),
+        F.crc32(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")).alias("text_crc32"),
+    )
+    return sharding.assign_shards(narrow, "size", ["doc_id", "size", "text_crc32"], N_SHARDS)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_to_targets),
+    ("sharding", assign_shards),
+]
 #: A language model's verdicts are not expressible in SQL; tests compare with brute force.
 ORACLE_SQL: str | None = None
 

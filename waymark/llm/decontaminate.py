@@ -161,7 +161,7 @@ def find_hits(
 
     The items are the stated query set: they are read in blocks of ``block_words`` words,
     each block's automaton is broadcast and all documents stream past it, without a
-    shuffle.  Documents may have any columns but those three.  A null or empty text has no
+    shuffle.  Old columns of the added names are replaced.  A null or empty text has no
     words and no hits; items without words or id have no windows; equal items all count.
     """
     sc = docs.sparkSession.sparkContext
@@ -185,12 +185,16 @@ def find_hits(
                 out.append((len(ws), [list(x) for x in spans], sorted(items)))
             yield pd.DataFrame(out, columns=["n_words", "spans", "items"])
 
-    found = docs.withColumn("_hits", hits(F.col("text")))
+    made = ("n_words", "hit_spans", "hit_items")
+    found = docs.select(
+        F.struct(*[c for c in docs.columns if c not in made]).alias("row"),
+        hits(F.col("text")).alias("hits"),
+    )
     return found.select(
-        *docs.columns,
-        F.col("_hits.n_words").alias("n_words"),
-        F.col("_hits.spans").alias("hit_spans"),
-        F.col("_hits.items").alias("hit_items"),
+        "row.*",
+        F.col("hits.n_words").alias("n_words"),
+        F.col("hits.spans").alias("hit_spans"),
+        F.col("hits.items").alias("hit_items"),
     )
 
 

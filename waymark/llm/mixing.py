@@ -82,15 +82,23 @@ def mix_sources(
     ranges however large the source is; prefix sums run inside a range, and the ranges'
     totals give the offsets.  Nulls: a null source is a source, a null key is hashed as
     such.  Equal keys are ordered by size; equal rows are interchangeable.  Rows of size 0
-    take nothing.  Empty input gives an empty result.
+    or null take nothing.  Other columns stay; of the names that are added, old columns are
+    replaced.  Empty input gives an empty result.
     """
-    totals = sized.groupBy(F.col(source_col).alias("source")).agg(
-        F.sum(size_col).alias("source_size"), F.count(F.lit(1)).alias("n_docs")
+    made = ("source_size", "target", "copies", "taken")
+    work = sized.select(
+        F.struct(*[c for c in sized.columns if c not in made]).alias("_row"),
+        F.col(source_col).alias("_name"),
+        F.coalesce(F.col(size_col), F.lit(0)).cast("long").alias("_size"),
+        F.col(key_col).cast("string").alias("_id"),
+    )
+    totals = work.groupBy(F.col("_name").alias("source")).agg(
+        F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")
     )
     targets = materialize(source_targets(totals, weights, limit), "mix-targets")
     ranges = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(rows_per_range))).cast("long")
     text_key = F.md5(
-        F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key_col).cast("string"), F.lit("null"))).cast(
+        F.concat_ws(":", F.lit(seed), F.coalesce("_id", F.lit("null"))).cast(
             "binary"
         )
     )
@@ -105,32 +113,32 @@ def mix_sources(
     if small_enough(targets):
         right = F.broadcast(right)
     keyed = (
-        sized.withColumn("_key", text_key)
-        .join(right, F.col(source_col).eqNullSafe(F.col("_source")))
+        work.withColumn("_key", text_key)
+        .join(right, F.col("_name").eqNullSafe(F.col("_source")))
         .withColumn("_range", F.expr(f"({top_digits} * _ranges) div {16**RANGE_DIGITS}"))
     )
-    order = Window.partitionBy("_rank", "_range").orderBy("_key", size_col)
+    order = Window.partitionBy("_rank", "_range").orderBy("_key", "_size")
     local = keyed.withColumn(
-        "_end", F.sum(size_col).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        "_end", F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
     before = Window.partitionBy("_rank").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy("_rank", "_range")
-        .agg(F.sum(size_col).alias("_sum"))
+        .agg(F.sum("_size").alias("_sum"))
         .select("_rank", "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
     )
     placed = local.join(offsets, ["_rank", "_range"])
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     part = F.col("target") - epochs * F.col("source_size")
-    middle = F.col("_base") + F.col("_end") - F.col(size_col) / F.lit(2)
-    inside = (F.col(size_col) > 0) & (middle < part)
+    middle = F.col("_base") + F.col("_end") - F.col("_size") / F.lit(2)
+    inside = (F.col("_size") > 0) & (middle < part)
     copies = F.least(F.lit(limit), epochs + F.when(inside, 1).otherwise(0)).cast("int")
     return placed.withColumn("copies", copies).select(
-        *sized.columns,
+        "_row.*",
         "source_size",
         "target",
         "copies",
-        (F.col(size_col) * F.col("copies")).cast("long").alias("taken"),
+        (F.col("_size") * F.col("copies")).cast("long").alias("taken"),
     )
 
 

@@ -28,22 +28,28 @@ def assign_shards(
     the per-partition totals (one row a partition) are the only thing that is broadcast.
 
     Nulls in order columns sort first.  Rows that tie on all order columns are dealt in
-    either order; if they are equal the result is the same.  An empty table gives an empty
-    result.  Products of bytes and shards must stay below 2**62.
+    either order; if they are equal the result is the same.  Old columns named shard or
+    slot are replaced.  An empty table gives an empty result.  Products of bytes and shards must stay below 2**62.
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c) for c in order_cols]
+    kept = [c for c in rows.columns if c not in ("shard", "slot")]
+    order = [f"_o{i}" for i in range(len(order_cols))]
+    work = rows.select(
+        F.struct(*kept).alias("_row"),
+        F.col(size_col).alias("_size"),
+        *[F.col(c).alias(o) for c, o in zip(order_cols, order)],
+    )
     placed = materialize(
-        rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()),
+        work.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()),
         "shard-order",
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         placed.groupBy("_part")
-        .agg(F.sum(size_col).alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+        .agg(F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
         .select(
             "_part",
             F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_byte_base"),
@@ -54,19 +60,22 @@ def assign_shards(
     inside = Window.partitionBy("_part").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     ends = placed.select(
-        "*",
-        F.sum(size_col).over(upto).alias("_end"),
-        F.row_number().over(inside).alias("_row"),
+        "_row",
+        "_part",
+        "_size",
+        F.sum("_size").over(upto).alias("_end"),
+        F.row_number().over(inside).alias("_place"),
     ).join(F.broadcast(totals), "_part")
-    middle = 2 * (F.col("_byte_base") + F.col("_end")) - F.col(size_col)
-    dealt = ends.withColumn("_twice", middle).selectExpr(
-        *rows.columns,
-        f"cast(least({n_shards - 1}, (_twice * {n_shards}) div (2 * _total)) as int) as shard",
-        "_row_base + _row - 1 as _index",
+    # twice the middle byte, to stay with whole numbers
+    twice = "(2 * (_byte_base + _end) - _size)"
+    dealt = ends.selectExpr(
+        "_row",
+        f"cast(least({n_shards - 1}, ({twice} * {n_shards}) div (2 * _total)) as int) as shard",
+        "_row_base + _place - 1 as _index",
     )
     firsts = dealt.groupBy("shard").agg(F.min("_index").alias("_first"))
     return dealt.join(F.broadcast(firsts), "shard").select(
-        *rows.columns, "shard", (F.col("_index") - F.col("_first")).alias("slot")
+        "_row.*", "shard", (F.col("_index") - F.col("_first")).alias("slot")
     )
 
 
