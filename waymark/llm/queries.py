@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from waymark.llm import (
     decision_list,
     decontaminate,
+    html_template,
     language_id,
     mixing,
     ppm,
@@ -28,6 +29,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge_documents(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -175,3 +180,23 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
        doc_id = component_id AS kept
 FROM reached LEFT JOIN sizes USING (doc_id)
 """
+
+SQL["op2_html_extraction"] = r"""
+WITH marked AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(
+    regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1),
+    '(?s)<!--.*?-->', '', 'g'), '</?(p|h1|br)[^>]*>', chr(1), 'g'), '<[^>]+>', '', 'g') AS t
+  FROM pages
+), plain AS (
+  SELECT page_id, url, replace(replace(replace(replace(replace(replace(replace(replace(t,
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&#x27;', ''''),
+    '&nbsp;', ' '), '&copy;', chr(169)), '&amp;', '&') AS t
+  FROM marked
+), joined AS (
+  SELECT page_id, url, coalesce(array_to_string(list_filter(list_transform(
+    string_split(t, chr(1)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))),
+    lambda x: x <> ''), ' '), '') AS text
+  FROM plain
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined
+"""
