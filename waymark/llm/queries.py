@@ -14,6 +14,7 @@ from waymark.llm import (
     mixing,
     ppm,
     sharding,
+    suffix_dedup,
     superminhash,
     token_counts,
 )
@@ -51,6 +52,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.group_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(_table(spark, sf_dir, "documents"))
 
