@@ -205,3 +205,26 @@ WITH marked AS (
 )
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined
 """
+
+SQL["op5_sharding"] = r"""
+WITH crc AS (
+  SELECT list(list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+    xor(list_reduce(list_concat([4294967295], list_transform(
+      regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+      lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1])), 4294967295)::BIGINT AS text_crc32
+  FROM documents, crc
+), summed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) AS upto,
+    sum(size) OVER () AS total
+  FROM sized
+), dealt AS (
+  SELECT *, least(7, ((2 * upto - size) * 8) // (2 * total))::INT AS shard FROM summed
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY upto) - 1 AS slot, NULL::INT AS grown_shard
+FROM dealt
+"""
