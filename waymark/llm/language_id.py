@@ -23,7 +23,7 @@ _RUNS = re.compile(r"[^\W\d_]+").findall
 _START, _END = 0x110000, 0x110001
 #: Probability of a character that a language's sample never has.
 _FLOOR = 1e-4
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 17
 
 
 def letter_runs(text: str | None) -> list[str]:

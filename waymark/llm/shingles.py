@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 18
 #: Odd multiplier of the rolling hash over words.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
