@@ -20,10 +20,13 @@ PLACES, BAND = 128, 4
 #: Places in which the four-bit sketches of a linked pair may differ: a pair of similarity
 #: 0.8 differs in 24 of 128 on average (standard deviation 4.4, and 3.6 as measured here).
 MOST_DIFFERENT = 44
+#: The same for the finer sketches of texts that are compared pair by pair: 96 of 512 on
+#: average (standard deviation 8.8, less for SuperMinHash).
+FINE_PLACES, FINE_DIFFERENT = 512, 136
 #: Rounds of comparing with one member of each bucket before all that is left is compared.
 HUB_ROUNDS = 2
 _LOW = np.uint64(0xFFFFFFFF)
-_SALTS = mix(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SALTS = mix(np.arange(1, FINE_PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def super_min_hash(shingles: np.ndarray, places: int = PLACES) -> np.ndarray:
@@ -60,6 +63,12 @@ def super_min_hash(shingles: np.ndarray, places: int = PLACES) -> np.ndarray:
     return least
 
 
+def four_bits(signature: np.ndarray) -> np.ndarray:
+    """Four bits of each place, sixteen places to a number."""
+    nibbles = (signature & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
+    return np.bitwise_or.reduce(nibbles, axis=1).view(np.int64)
+
+
 def describe(text: str | None, k: int) -> tuple[int, bytes | None, np.ndarray | None, np.ndarray | None]:
     """Set size, fingerprint of the set, band hashes and the signature's four-bit sketch."""
     shingles = shingle_set(text, k)
@@ -70,10 +79,8 @@ def describe(text: str | None, k: int) -> tuple[int, bytes | None, np.ndarray |
     total = np.arange(len(bands), dtype=np.uint64)
     for j in range(BAND):
         total = mix(total ^ bands[:, j]) + np.uint64(j)
-    nibbles = (signature & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
-    sketch = np.bitwise_or.reduce(nibbles, axis=1)
     print_ = xxhash.xxh3_128_digest(shingles.tobytes())
-    return len(shingles), print_, total.view(np.int64), sketch.view(np.int64)
+    return len(shingles), print_, total.view(np.int64), four_bits(signature)
 
 
 def _described(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -121,32 +128,58 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     )
 
 
-def _own_shingles(texts: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """(rep, own): how many shingles of each text no other of these texts has."""
+def _open_texts(texts: DataFrame, open_: DataFrame, k: int, percent: int) -> DataFrame:
+    """(rep, most, fine, buckets) of texts in ``open_`` that can have a partner there.
 
-    @F.pandas_udf("array<long>")
-    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([shingle_set(t, k).view(np.int64) for t in batch])
+    ``most`` bounds what a text shares with any other: its shingles that some other of these
+    texts has too.  ``fine`` is a finer sketch and ``buckets`` its buckets, 32 at most.
+    """
 
-    rows = texts.join(reps, texts["id"] == reps["rep"], "left_semi").select(
-        F.col("id").alias("rep"), F.explode(shingles("text")).alias("shingle")
+    @F.pandas_udf("shingles array<long>, fine array<long>")
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text in batch:
+                found = shingle_set(text, k)
+                fine = four_bits(mix(super_min_hash(found, FINE_PLACES).view(np.uint64)))
+                out.append((found.view(np.int64), fine))
+            yield pd.DataFrame(out, columns=["shingles", "fine"])
+
+    buckets = open_.groupBy("rep").agg(F.first("n").alias("n"), F.collect_set("bucket").alias("buckets"))
+    sets = materialize(
+        texts.join(buckets, texts["id"] == buckets["rep"])
+        .select("rep", "n", "buckets", look("text").alias("s"))
+        .select("rep", "n", "buckets", "s.*"),
+        "open-sets",
     )
+    rows = sets.select("rep", F.explode("shingles").alias("shingle"))
     single = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m"), F.first("rep").alias("rep"))
-    return single.where("m = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    own = single.where("m = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    return (
+        sets.drop("shingles")
+        .join(own, "rep", "left")
+        .withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+        .where(f"100 * most >= {percent} * n")
+        .select("rep", "most", "fine", "buckets")
+    )
 
 
-def _close(a: str, b: str, percent: int) -> str:
-    """Cheap tests that a pair similar enough passes: set sizes, and the sketches' places."""
-    differ = []
-    for i in range(PLACES // 16):
-        x = f"({a}.sketch[{i}] ^ {b}.sketch[{i}])"
+def _differ(column: str, a: str, b: str, places: int) -> str:
+    """SQL for the number of four-bit places in which two sketches differ."""
+    terms = []
+    for i in range(places // 16):
+        x = f"({a}.{column}[{i}] ^ {b}.{column}[{i}])"
         half = f"({x} | shiftrightunsigned({x}, 1))"
         # one bit is left of each four-bit place that differs
-        differ.append(f"bit_count(({half} | shiftrightunsigned({half}, 2)) & {0x1111111111111111}L)")
+        terms.append(f"bit_count(({half} | shiftrightunsigned({half}, 2)) & {0x1111111111111111}L)")
+    return " + ".join(terms)
+
+
+def _close(a: str, b: str, percent: int) -> str:
+    """Cheap tests that a pair similar enough passes: set sizes, and the sketches' places."""
     return (
         f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) and "
-        f"{' + '.join(differ)} <= {MOST_DIFFERENT}"
+        f"{_differ('sketch', a, b, PLACES)} <= {MOST_DIFFERENT}"
     )
 
 
@@ -170,8 +203,8 @@ def near_duplicates(
        n comparisons, not n * n.
     3. What is then still in different components of one bucket is compared pair by pair.
        Shingles that only one of these texts has bound what it can share with any other,
-       which settles heavily edited copies without a comparison; sizes and sketches test
-       the rest.  Links are confirmed on the full sets of whole texts.
+       which settles heavily edited copies without a comparison; sizes, sketches and
+       finer sketches test the rest.  Links are confirmed on the full sets of whole texts.
     4. Components come from union by smallest label over tables in the shared folder.
 
     Null and empty texts have size 0 and are their own component, and so is a null id
@@ -230,22 +263,17 @@ def near_duplicates(
             )
         else:
             open_ = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
-            own = _own_shingles(texts, open_.select("rep").distinct(), k)
-            # no partner has a text's own shingles, so they bound every intersection
-            able = (
-                open_.join(own, "rep", "left")
-                .withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
-                .where(f"100 * most >= {percent} * n")
-                .drop("own")
-            )
-            able = materialize(able, "able")
+            able = materialize(open_.join(_open_texts(texts, open_, k, percent), "rep"), "able")
             most = "least(x.most, y.most)"
             pairs = (
                 able.alias("x")
                 .join(able.alias("y"), "bucket")
                 .where(
                     "x.rep < y.rep and x.component <> y.component and "
-                    f"100 * {most} >= {percent} * (x.n + y.n - {most}) and " + _close("x", "y", percent)
+                    f"100 * {most} >= {percent} * (x.n + y.n - {most}) and {_close('x', 'y', percent)} and "
+                    f"{_differ('fine', 'x', 'y', FINE_PLACES)} <= {FINE_DIFFERENT} and "
+                    # a pair counts in the first of its buckets only
+                    "bucket = array_min(array_intersect(x.buckets, y.buckets))"
                 )
                 .selectExpr("x.rep as a", "y.rep as b")
             )
