@@ -330,6 +330,46 @@ def test_scores(docs, texts, empty):
     assert ppm.score_documents(empty).count() == 0
 
 
+def whole_trie_scores(texts, left_out):
+    """Score per text from one trie of all training texts in one place."""
+    toks = {i: ppm.tokens(t) for i, t in enumerate(texts)}
+    learnt = [ppm.positions(ws)[0] for i, ws in toks.items() if i not in left_out]
+    model = ppm.ByteModel.fit(*(a.astype(t) for a, t in zip(np.unique(np.concatenate(learnt), return_counts=True), ("u8", "f8"))))
+    out = {}
+    for i, ws in toks.items():
+        grams, ends = ppm.positions(ws)
+        upto = np.cumsum(model.score(grams))[ends - 1]
+        ids = np.unique(ws, return_inverse=True)[1]
+        out[i] = ppm.adaptive_score(ids, np.diff(upto, prepend=0.0))
+    return out
+
+
+def scored(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return {r.doc_id: r for r in ppm.score_documents(df, chunk_bytes=20_000).collect()}
+
+
+def test_scores_are_those_of_one_whole_trie(spark, texts):
+    rare = [*texts, "zq\u4e16\u754c qqz~1 ~2"]
+    got = scored(spark, rare)
+    for i, s in whole_trie_scores(rare, {i for i, r in got.items() if r.held_out}).items():
+        assert abs(got[i].score - s) < 1e-5 * max(1, abs(s)), i
+
+
+def test_no_gram_is_left_out_however_many_there_are():
+    assert not hasattr(ppm, "MAX_GRAMS")
+    rng = np.random.default_rng(5)
+    grams = np.unique(rng.integers(0, 1 << 48, 1_200_000, dtype=np.uint64))
+    low, n = np.unique(grams & np.uint64((1 << 24) - 1), return_counts=True)
+    base = ppm.ByteModel.fit(low, n.astype(float), ppm.LOW_ORDER)
+    buckets, order = ppm.by_context(grams, 4)
+    whole = ppm.ByteModel.fit(grams, np.ones(len(grams)))
+    for b, s in list(ppm._slices(buckets))[:2]:
+        mine = np.sort(grams[order[s]])
+        part = ppm.ByteModel.fit(mine, np.ones(len(mine)), base=base)
+        assert len(part.grams[ppm.ORDER]) == len(mine) and np.allclose(part.score(mine), whole.score(mine))
+
+
 def test_adaptive_scores_follow_the_sequence():
     ids, trie = np.array([0, 1, 0, 0, 2]), np.array([-1.0, -2.0, -1.0, -1.0, -3.0])
     seen, total = Counter(), 0.0

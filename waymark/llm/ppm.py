@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,8 @@ from waymark.llm.storage import materialize
 
 #: Bytes of context; a gram of ``ORDER`` + 1 bytes is packed in one 64-bit number.
 ORDER = 5
-#: Grams of full length that a model may hold; the most frequent stay.
-MAX_GRAMS = 1 << 20
+#: Context bytes of the levels that every task holds: at most 2^24 grams, whatever the input.
+LOW_ORDER = 2
 #: UTF-8 bytes of text that one chunk is meant to hold.
 CHUNK_BYTES = 8 << 20
 #: The token that ends a text: no word can be or hold a line feed.
@@ -71,12 +73,23 @@ class ByteModel:
     contexts: list[np.ndarray]
     fresh: list[tuple[np.ndarray, np.ndarray]]
     excluded: list[tuple[np.ndarray, np.ndarray]]
+    sums: list[tuple[np.ndarray, np.ndarray]]
 
     @staticmethod
-    def fit(grams: np.ndarray, counts: np.ndarray, order: int = ORDER) -> ByteModel:
-        """From distinct full grams and their counts; shorter ones are their sums."""
-        model, sums = ByteModel(order, [], [], [], [], []), []
-        for k in range(order + 1):
+    def fit(
+        grams: np.ndarray, counts: np.ndarray, order: int = ORDER, base: ByteModel | None = None
+    ) -> ByteModel:
+        """From distinct full grams and their counts; shorter ones are their sums.
+
+        With ``base``, the levels it has are taken from it, and ``grams`` need only be all
+        those whose contexts end in some given ``base.order`` + 1 bytes.
+        """
+        model = ByteModel(order, [], [], [], [], [], [])
+        if base:
+            for mine, theirs in zip(model.levels(), base.levels()):
+                mine.extend(theirs)
+        sums = model.sums
+        for k in range(len(sums), order + 1):
             mask = np.uint64((1 << 8 * (k + 1)) - 1)
             keys, where = np.unique(grams & mask, return_inverse=True)
             n = np.bincount(where, weights=counts, minlength=len(keys))
@@ -101,6 +114,9 @@ class ByteModel:
             model.excluded.append(_logs(whole[parent] - low_n, all_kinds[parent] - kinds))
         return model
 
+    def levels(self) -> tuple[list, ...]:
+        return self.grams, self.counts, self.contexts, self.fresh, self.excluded, self.sums
+
     def score(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's symbol after its context."""
         out = np.zeros(len(grams))
@@ -169,15 +185,26 @@ class Dictionary:
         yield from _slices(self.keys >> np.uint64(64 - bits))
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct full grams of the tokens to learn from, with their counts."""
-        known = np.flatnonzero(self.counts)
-        found, ends = positions([self.words[i] for i in known])
+        """Distinct full grams of all tokens, with their counts in those to learn from."""
+        found, ends = positions(self.words)
         lengths = np.diff(ends, prepend=0)
         grams, where = np.unique(found, return_inverse=True)
-        times = np.bincount(where, weights=np.repeat(self.counts[known], lengths))
+        times = np.bincount(where, weights=np.repeat(self.counts, lengths), minlength=len(grams))
         return grams, times.astype(np.int64)
 
 
+def by_context(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of distinct grams, ascending, and the order that sorts the grams so.
+
+    Grams whose contexts end in the same bytes, one more than ``LOW_ORDER``, share a bucket,
+    so it has every longer context of its grams whole.
+    """
+    last = (grams >> np.uint64(8)) & np.uint64((1 << 8 * (LOW_ORDER + 1)) - 1)
+    buckets = mix(last) >> np.uint64(64 - bits)
+    order = np.argsort(buckets, kind="stable")
+    return buckets[order], order
+
+
 def _slices(buckets: np.ndarray):
     edges = np.flatnonzero(np.diff(buckets)) + 1
     cuts = [0, *edges.tolist(), len(buckets)]
@@ -186,6 +213,8 @@ def _slices(buckets: np.ndarray):
             yield int(buckets[a]), slice(a, b)
 
 
+#: Documents whose positions are counted at once.
+_SLICE = 500
 _ROWS = "chunk long, kind int, bucket long, keys binary, counts binary"
 
 
@@ -199,68 +228,68 @@ def _gather(bits: int):
             for b, s in made.slices(bits)
         ]
         grams, times = made.grams()
-        spread = mix(grams) >> np.uint64(64 - bits)
-        order = np.argsort(spread, kind="stable")
+        buckets, order = by_context(grams, bits)
         grams, times = grams[order], times[order]
         out += [
-            (key[0], 1, b, grams[s].tobytes(), times[s].tobytes())
-            for b, s in _slices(spread[order])
+            (key[0], 1, b, grams[s].tobytes(), times[s].tobytes()) for b, s in _slices(buckets)
         ]
         return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "keys", "counts"])
 
     return gather
 
 
-def _sum_bucket(key, rows: pd.DataFrame) -> pd.DataFrame:
-    """Totals over all chunks of one bucket: back to each chunk in its own order (kind 0),
-    or the bucket's distinct grams (kind 1); n and v are the bucket's tokens and kinds."""
-    keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
-    flat, where = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.frombuffer(b"".join(rows["counts"]), np.int64)
-    total = np.zeros(len(flat), dtype=np.int64)
-    np.add.at(total, where, counts)
-    if key[0] == 1:
-        out = [(-1, 1, key[1], flat.tobytes(), total.tobytes(), 0, 0)]
-    else:
-        cuts = np.cumsum([len(k) for k in keys])[:-1]
+def _sum_bucket(low: Broadcast):
+    """Of one bucket, back to each chunk in its own order: totals over all chunks of its
+    tokens (kind 0), or the log10 probability of its grams (kind 1) after the counts of all
+    chunks.  n and v are the bucket's tokens and kinds."""
+
+    def sum_bucket(key, rows: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
+        flat = np.unique(np.concatenate(keys))
+        total = np.zeros(len(flat), dtype=np.int64)
+        for k, counts in zip(keys, rows["counts"]):
+            total[np.searchsorted(flat, k)] += np.frombuffer(counts, np.int64)
+        known = total > 0
+        if key[0] == 0:
+            value = total
+        else:
+            model = ByteModel.fit(flat[known], total[known].astype(float), base=low.value)
+            value = model.score(flat).astype(np.float32)
         out = [
-            (chunk, 0, key[1], b"", part.tobytes(), 0, 0)
-            for chunk, part in zip(rows["chunk"], np.split(total[where], cuts))
+            (chunk, key[0], key[1], b"", value[np.searchsorted(flat, k)].tobytes(), 0, 0)
+            for chunk, k in zip(rows["chunk"], keys)
         ]
-        out.append((-1, 2, key[1], b"", b"", int(total.sum()), int((total > 0).sum())))
-    return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "keys", "counts", "n", "v"])
+        if key[0] == 0:
+            out.append((-1, 2, key[1], b"", b"", int(total.sum()), int(known.sum())))
+        return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "keys", "counts", "n", "v"])
 
+    return sum_bucket
 
-def _collect_model(totals: DataFrame, max_grams: int) -> ByteModel:
-    """The trie from all grams, or the most frequent if there are more than ``max_grams``."""
-    rows = totals.where("kind = 1").select("keys", "counts")
 
-    def sizes(batches):
-        for batch in batches:
-            n = np.frombuffer(b"".join(batch["counts"]), np.int64)
-            level, times = np.unique(np.floor(np.log2(np.maximum(n, 1))), return_counts=True)
-            yield pd.DataFrame({"level": level.astype(int), "times": times})
-
-    levels = rows.mapInPandas(sizes, "level int, times long").groupBy("level").agg(F.sum("times").alias("times"))
-    least, held = 0, 0
-    for level, times in sorted(map(tuple, levels.collect()), reverse=True):
-        held += times
-        if held > max_grams:
-            least = 2 ** (level + 1)
-            break
-
-    def frequent(batches):
-        for batch in batches:
-            keys = np.frombuffer(b"".join(batch["keys"]), np.uint64)
-            n = np.frombuffer(b"".join(batch["counts"]), np.int64)
-            keep = n >= least
-            yield pd.DataFrame({"keys": [keys[keep].tobytes()], "counts": [n[keep].tobytes()]})
+def _low_levels(dealt: DataFrame) -> ByteModel:
+    """The levels up to ``LOW_ORDER`` over all documents to learn from."""
+    mask = np.uint64((1 << 8 * (LOW_ORDER + 1)) - 1)
 
-    parts = rows.mapInPandas(frequent, "keys binary, counts binary").toPandas()
-    keys = np.frombuffer(b"".join(parts["keys"]), np.uint64)
-    n = np.frombuffer(b"".join(parts["counts"]), np.int64)
-    order = np.argsort(keys)
-    return ByteModel.fit(keys[order], n[order].astype(float))
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grams, n = np.empty(0, np.uint64), np.empty(0)
+        for batch in batches:
+            for a in range(0, len(batch), _SLICE):
+                flat = [w for t in batch["text"][a : a + _SLICE] for w in tokens(t)]
+                more, times = np.unique(positions(flat)[0] & mask, return_counts=True)
+                grams, where = np.unique(np.concatenate((grams, more)), return_inverse=True)
+                n = np.bincount(where, weights=np.concatenate((n, times)), minlength=len(grams))
+        yield pd.DataFrame({"gram": grams.astype(np.int64), "n": n.astype(np.int64)})
+
+    rows = (
+        dealt.where("train")
+        .select("text")
+        .mapInPandas(count, "gram long, n long")
+        .groupBy("gram")
+        .agg(F.sum("n").alias("n"))
+        .toPandas()
+        .sort_values("gram")
+    )
+    return ByteModel.fit(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(float), LOW_ORDER)
 
 
 def adaptive_score(ids: np.ndarray, trie: np.ndarray, weight: float = ADAPTIVE) -> float:
@@ -281,20 +310,30 @@ def adaptive_score(ids: np.ndarray, trie: np.ndarray, weight: float = ADAPTIVE)
     return float(out.sum())
 
 
+def _prices(grams: np.ndarray, bits: int, returned: dict[tuple[int, int], bytes]) -> np.ndarray:
+    """The log10 probabilities that the buckets sent for a chunk's distinct grams."""
+    price = np.empty(len(grams))
+    buckets, order = by_context(grams, bits)
+    for b, s in _slices(buckets):
+        price[order[s]] = np.frombuffer(returned[1, b], np.float32)
+    return price
+
+
 def score_documents(
     docs: DataFrame,
     parts: int = 10,
     chunk_bytes: int = CHUNK_BYTES,
-    max_grams: int = MAX_GRAMS,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     Documents are dealt to chunks by a hash of their id.  A chunk sends its distinct tokens
     (hashed to 64 bits) and byte grams, packed by bucket of hash space; a bucket sums them
-    over all chunks and sends each chunk the totals of its tokens; grams become the trie,
-    which is broadcast and bounded by ``max_grams``.  So counts cover all documents, the
-    vocabulary is never in one place, and what moves is the text and each chunk's
-    vocabulary, however many documents share a word.
+    over all chunks and sends each chunk the totals of its tokens and the probabilities of
+    its grams.  Grams are dealt by the last bytes of their contexts, so that a bucket has all
+    that its longer contexts hold; the levels up to ``LOW_ORDER``, bounded by the number of
+    byte values, are counted first and broadcast.  So every gram of all documents counts,
+    neither trie nor vocabulary is ever in one place, and what moves is the text and each
+    chunk's vocabulary and grams, however many documents share them.
 
     A null text is an empty one: one end.  A null id counts as held out.  Without training
     documents N and V are 0 and the trie is uniform.
@@ -309,28 +348,30 @@ def score_documents(
         (~held_out(F.col("doc_id"), parts)).alias("train"),
         F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).alias("chunk"),
     )
+    low = spark.sparkContext.broadcast(_low_levels(dealt))
     totals = materialize(
         dealt.groupBy("chunk")
         .applyInPandas(_gather(bits), _ROWS)
         .groupBy("kind", "bucket")
-        .applyInPandas(_sum_bucket, _ROWS + ", n long, v long"),
+        .applyInPandas(_sum_bucket(low), _ROWS + ", n long, v long"),
         "word-totals",
     )
     n, v = totals.where("kind = 2").agg(F.sum("n"), F.sum("v")).first()
     n, v = n or 0, v or 0
-    trie = spark.sparkContext.broadcast(_collect_model(totals, max_grams))
     rest = math.log10(n + 0.1 * (v + 1))
 
     def score(_, docs: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
         texts = [tokens(t) for t in docs["text"]]
         made = Dictionary(texts, np.zeros(len(docs), dtype=bool))
         counts = np.zeros(len(made.words), dtype=np.int64)
-        by_bucket = dict(zip(sums["bucket"], sums["counts"]))
+        returned = dict(zip(zip(sums["kind"], sums["bucket"]), sums["counts"]))
         for b, s in made.slices(bits):
-            counts[s] = np.frombuffer(by_bucket[b], np.int64)
+            counts[s] = np.frombuffer(returned[0, b], np.int64)
         base = np.log10(counts + 0.1) - rest
-        grams, ends = positions(made.words)
-        upto = np.concatenate(([0.0], np.cumsum(trie.value.score(grams))))
+        found, ends = positions(made.words)
+        grams, where = np.unique(found, return_inverse=True)
+        price = _prices(grams, bits, returned)
+        upto = np.concatenate(([0.0], np.cumsum(price[where])))
         byte_score = np.diff(upto[ends], prepend=0.0)
         number = dict(zip(made.words, range(len(made.words))))
         out = []
@@ -349,7 +390,7 @@ def score_documents(
         scored.insert(1, "held_out", ~docs["train"].to_numpy())
         return scored
 
-    returned = totals.where("kind = 0").select("chunk", "bucket", "counts")
+    returned = totals.where("kind < 2").select("chunk", "kind", "bucket", "counts")
     return (
         dealt.groupBy("chunk")
         .cogroup(returned.groupBy("chunk"))
