@@ -356,6 +356,18 @@ def test_scores_are_those_of_one_whole_trie(spark, texts):
         assert abs(got[i].score - s) < 1e-5 * max(1, abs(s)), i
 
 
+def test_contexts_run_over_words(spark):
+    grams, ends = ppm.positions([b"ab", b"c", ppm.END, b"d", ppm.END], 2)
+    assert [int(g).to_bytes(3, "big") for g in grams] == [
+        b"  a", b" ab", b"ab ", b"b c", b" c ", b"c \n", b" \n ", b"  d", b" d ", b"d \n", b" \n "
+    ]
+    assert ends.tolist() == [3, 5, 7, 9, 11]
+    told = "every traveller leaves home quite early"
+    turned = " ".join(reversed(told.split()))
+    rows = scored(spark, [told] * 40 + [turned])
+    assert rows[0].n_tokens == rows[40].n_tokens and rows[0].score > rows[40].score + 1
+
+
 def test_no_gram_is_left_out_however_many_there_are():
     assert not hasattr(ppm, "MAX_GRAMS")
     rng = np.random.default_rng(5)

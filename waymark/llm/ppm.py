@@ -1,10 +1,10 @@
-"""Prediction by partial matching over the bytes of words, with a unigram base score."""
+"""Prediction by partial matching over the bytes of documents, with a unigram base score."""
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +26,9 @@ CHUNK_BYTES = 8 << 20
 #: The token that ends a text: no word can be or hold a line feed.
 END = b"\n"
 _GAP = 32
+#: Tokens whose positions are held at once, with what is left of their last text.
+_SLICE_TOKENS = 1 << 17
+_ALL = np.uint64((1 << 64) - 1)
 #: Share of one occurrence that each kind of symbol in a context leaves to the escape.
 ESCAPE = 0.3
 #: Weight of the words that the document has had so far.
@@ -35,19 +38,19 @@ ADAPTIVE = 0.15
 def positions(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """Packed grams of every byte of every word and its closing gap, and word boundaries.
 
-    The gram of a position is its byte after ``order`` bytes of context; context before a
-    word's start is all gaps.
+    The gram of a position is its byte after ``order`` bytes of context, which run over the
+    words before it; before the first word and after an ``END`` context is all gaps.
     """
-    flat = np.frombuffer(b" ".join([*words, b""]) if words else b"", dtype=np.uint8)
-    ends = np.flatnonzero(flat == _GAP)
-    starts = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
-    inside = np.arange(len(flat)) - np.repeat(starts, ends - starts + 1)
-    code = flat.astype(np.uint64)
-    grams = code.copy()
-    for back in range(1, order + 1):
-        earlier = np.where(inside >= back, np.roll(code, back), np.uint64(_GAP))
-        grams |= earlier << np.uint64(8 * back)
-    return grams, ends + 1
+    if not words:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    data = b" ".join([*words, b""]).replace(END + b" ", END + b" " * (order + 1))
+    flat = np.frombuffer(data, dtype=np.uint8)
+    gap = flat == _GAP
+    read = ~gap
+    read[1:] |= ~gap[:-1]  # a gap after a gap is padding
+    packed = np.ndarray(len(data), ">u8", b" " * 8 + data, offset=1, strides=(1,))
+    mask = np.uint64((1 << 8 * (order + 1)) - 1)
+    return packed[read].astype(np.uint64) & mask, np.flatnonzero(gap[read]) + 1
 
 
 def _lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -184,13 +187,27 @@ class Dictionary:
         """(bucket, slice) of every bucket of leading hash bits that has a token."""
         yield from _slices(self.keys >> np.uint64(64 - bits))
 
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct full grams of all tokens, with their counts in those to learn from."""
-        found, ends = positions(self.words)
-        lengths = np.diff(ends, prepend=0)
-        grams, where = np.unique(found, return_inverse=True)
-        times = np.bincount(where, weights=np.repeat(self.counts, lengths), minlength=len(grams))
-        return grams, times.astype(np.int64)
+
+def _sliced(texts: Iterable[list[bytes]]) -> Iterator[list[bytes]]:
+    """The tokens of whole texts, some ``_SLICE_TOKENS`` at a time."""
+    out: list[bytes] = []
+    for words in texts:
+        out += words
+        if len(out) >= _SLICE_TOKENS:
+            yield out
+            out = []
+    if out:
+        yield out
+
+
+def count_grams(texts: Iterable[list[bytes]], mask: np.uint64 = _ALL) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of the texts, ascending, with their counts."""
+    grams, n = np.empty(0, np.uint64), np.empty(0)
+    for words in _sliced(texts):
+        more, times = np.unique(positions(words)[0] & mask, return_counts=True)
+        grams, where = np.unique(np.concatenate((grams, more)), return_inverse=True)
+        n = np.bincount(where, weights=np.concatenate((n, times)), minlength=len(grams))
+    return grams, n.astype(np.int64)
 
 
 def by_context(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,8 +230,6 @@ def _slices(buckets: np.ndarray):
             yield int(buckets[a]), slice(a, b)
 
 
-#: Documents whose positions are counted at once.
-_SLICE = 500
 _ROWS = "chunk long, kind int, bucket long, keys binary, counts binary"
 
 
@@ -222,12 +237,19 @@ def _gather(bits: int):
     """Of each chunk: its tokens (kind 0) and grams (kind 1) with counts, by bucket."""
 
     def gather(key, docs: pd.DataFrame) -> pd.DataFrame:
-        made = Dictionary([tokens(t) for t in docs["text"]], docs["train"].to_numpy())
+        texts, train = [tokens(t) for t in docs["text"]], docs["train"].to_numpy()
+        made = Dictionary(texts, train)
         out = [
             (key[0], 0, b, made.keys[s].tobytes(), made.counts[s].tobytes())
             for b, s in made.slices(bits)
         ]
-        grams, times = made.grams()
+        grams, times = count_grams(ws for ws, learns in zip(texts, train) if learns)
+        other, _ = count_grams(ws for ws, learns in zip(texts, train) if not learns)
+        other = np.setdiff1d(other, grams, assume_unique=True)
+        grams = np.concatenate((grams, other))
+        times = np.concatenate((times, np.zeros(len(other), np.int64)))
+        ascending = np.argsort(grams)
+        grams, times = grams[ascending], times[ascending]
         buckets, order = by_context(grams, bits)
         grams, times = grams[order], times[order]
         out += [
@@ -271,14 +293,8 @@ def _low_levels(dealt: DataFrame) -> ByteModel:
     mask = np.uint64((1 << 8 * (LOW_ORDER + 1)) - 1)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, n = np.empty(0, np.uint64), np.empty(0)
-        for batch in batches:
-            for a in range(0, len(batch), _SLICE):
-                flat = [w for t in batch["text"][a : a + _SLICE] for w in tokens(t)]
-                more, times = np.unique(positions(flat)[0] & mask, return_counts=True)
-                grams, where = np.unique(np.concatenate((grams, more)), return_inverse=True)
-                n = np.bincount(where, weights=np.concatenate((n, times)), minlength=len(grams))
-        yield pd.DataFrame({"gram": grams.astype(np.int64), "n": n.astype(np.int64)})
+        grams, n = count_grams((tokens(t) for batch in batches for t in batch["text"]), mask)
+        yield pd.DataFrame({"gram": grams.astype(np.int64), "n": n})
 
     rows = (
         dealt.where("train")
@@ -310,13 +326,26 @@ def adaptive_score(ids: np.ndarray, trie: np.ndarray, weight: float = ADAPTIVE)
     return float(out.sum())
 
 
-def _prices(grams: np.ndarray, bits: int, returned: dict[tuple[int, int], bytes]) -> np.ndarray:
-    """The log10 probabilities that the buckets sent for a chunk's distinct grams."""
+def _token_prices(
+    texts: list[list[bytes]], bits: int, returned: dict[tuple[int, int], bytes]
+) -> np.ndarray:
+    """log10 probability of each token of each text where it stands, from what the buckets
+    sent for the chunk's distinct grams."""
+    slices = []
+    for words in _sliced(texts):
+        found, ends = positions(words)
+        codes, distinct = pd.factorize(found)
+        slices.append((codes.astype(np.int32), distinct, ends))
+    grams = np.unique(np.concatenate([distinct for _, distinct, _ in slices]))
     price = np.empty(len(grams))
     buckets, order = by_context(grams, bits)
     for b, s in _slices(buckets):
         price[order[s]] = np.frombuffer(returned[1, b], np.float32)
-    return price
+    out = []
+    for codes, distinct, ends in slices:
+        each = price[np.searchsorted(grams, distinct)][codes]
+        out.append(np.add.reduceat(each, np.concatenate(([0], ends[:-1]))))
+    return np.concatenate(out)
 
 
 def score_documents(
@@ -326,7 +355,8 @@ def score_documents(
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
-    Documents are dealt to chunks by a hash of their id.  A chunk sends its distinct tokens
+    The score follows each document's bytes in order: contexts run over its words, and words
+    that it has had before gain.  Documents are dealt to chunks by a hash of their id.  A chunk sends its distinct tokens
     (hashed to 64 bits) and byte grams, packed by bucket of hash space; a bucket sums them
     over all chunks and sends each chunk the totals of its tokens and the probabilities of
     its grams.  Grams are dealt by the last bytes of their contexts, so that a bucket has all
@@ -368,21 +398,19 @@ def score_documents(
         for b, s in made.slices(bits):
             counts[s] = np.frombuffer(returned[0, b], np.int64)
         base = np.log10(counts + 0.1) - rest
-        found, ends = positions(made.words)
-        grams, where = np.unique(found, return_inverse=True)
-        price = _prices(grams, bits, returned)
-        upto = np.concatenate(([0.0], np.cumsum(price[where])))
-        byte_score = np.diff(upto[ends], prepend=0.0)
+        byte_score = _token_prices(texts, bits, returned)
         number = dict(zip(made.words, range(len(made.words))))
-        out = []
+        out, at = [], 0
         for words in texts:
+            byte_scores = byte_score[at : at + len(words)]
+            at += len(words)
             ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
             out.append(
                 (
                     len(ids),
                     int((counts[ids] > 0).sum()),
                     float(base[ids].sum()),
-                    adaptive_score(ids, byte_score[ids]),
+                    adaptive_score(ids, byte_scores),
                 )
             )
         scored = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "score"])
