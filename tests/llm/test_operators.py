@@ -108,6 +108,19 @@ def test_main_text():
     assert html_template.main_text("<p>a" + "<div>" * 3000 + "b", None) == "a b"
 
 
+def test_marks_are_whole_names_and_never_hold_the_article():
+    read = html_template.main_text
+    art = "<article><h2 id='related-work'>a</h2><p class='notice-period'>b</p><p title='a hidden gem' data-id='menu'>c</p></article>"
+    for wrap in ("<div class='content has-sidebar'>%s</div>", "<div id='page' class='fixed-header'>%s</div>"):
+        assert read(wrap % art, None) == "a b c"
+    for wrap in ("<form id=aspnet>%s</form>", "<div class=widget><div hidden>%s</div></div>"):
+        assert read(wrap % art, None) == "a b c"
+    assert read("<div class='widget'><p>long main text</p></div><p>x</p>", None) == "long main text x"
+    assert read(art + "<aside><article>t</article></aside><p hidden>no</p>", None) == "a b c"
+    off = "<p>main text</p><p hidden=''>h</p><div class='site_nav'>n</div><p style='display: none'>s</p><p aria-hidden=true>r</p>"
+    assert read(off, None) == "main text"
+
+
 def test_templates_choose_the_slot_of_the_text(spark):
     def page(k):
         side = "".join(f"<p>teaser {k} {j}</p>" for j in range(2))

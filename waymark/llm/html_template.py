@@ -41,7 +41,8 @@ ASIDE = frozenset(
     "head nav header footer aside form script style noscript template iframe menu button select "
     "textarea dialog svg canvas object".split()
 )
-#: Words of a class, id or role that mark what is around the main text.
+#: Classes, ids and roles that mark what is around the main text, alone or joined to one
+#: another (cookie-notice) or to ``site`` (site-nav); a name with any other part is no mark.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion "
     "nav navbar navigation navigationlinks menu menubar breadcrumb breadcrumbs header masthead "
@@ -57,10 +58,10 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none")
 _SPACE = re.compile(r"\s+")
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[-_]+")
 #: Numbers in class names are alike, so that generated names do not make new roles.
 _DIGITS = re.compile(r"\d+")
 
@@ -74,21 +75,68 @@ class Block:
     text: str
 
 
-def element(name: str, attributes: str) -> tuple[str, bool]:
-    """The element's role on a path (name and class names) and whether it is off the main text."""
-    words: set[str] = set()
+def marked_name(name: str) -> bool:
+    """Whether one whole class, id or role marks what is around the main text."""
+    if name in MARKS:
+        return True
+    parts = {p for p in _PARTS.split(name) if p}
+    return not parts.isdisjoint(MARKS) and parts <= MARKS | {"site"}
+
+
+def element(name: str, attributes: str) -> tuple[str, int]:
+    """The element's role on a path (name and class names) and whether it is off the main
+    text: 0 not, 1 by a mark or as a form, 2 by its name or hidden."""
+    mark = hidden = False
     classes = ""
-    for kind, a, b, c in _NAMES.findall(attributes):
-        value = (a or b or c).lower()
-        words |= set(_WORDS.findall(value))
-        if kind.lower() == "class":
-            classes = ".".join(sorted(_DIGITS.sub("#", value).split()))
-    off = name in ASIDE or bool(words & MARKS) or bool(_HIDDEN.search(attributes))
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), (a or b or c).lower()
+        if key in ("class", "id", "role"):
+            mark = mark or any(map(marked_name, value.split()))
+            if key == "class":
+                classes = ".".join(sorted(_DIGITS.sub("#", value).split()))
+        elif key == "hidden" or key == "aria-hidden" and value == "true":
+            hidden = True
+        elif key == "style" and _NO_DISPLAY.search(value):
+            hidden = True
     if name in ("html", "body", *MAIN):
-        off = False
+        off = 0
+    elif hidden or name in ASIDE and name != "form":
+        off = 2
+    else:
+        off = int(mark or name == "form")
     return (f"{name}.{classes}" if classes else name), off
 
 
+def _asides(names: list[str], parents: list[int], offs: list[int], chars: list[int]) -> list[bool]:
+    """Whether each element, given after its parent, is off the main text, itself or by an
+    element around it.
+
+    What holds the largest article or main element never turns it off, and a mark or form
+    does not if more than half of the text outside hidden and other off elements is in it.
+    """
+    inside = chars.copy()
+    for k in range(len(names) - 1, 0, -1):
+        inside[parents[k]] += inside[k]
+    holds: set[int] = set()
+    mains = [k for k, name in enumerate(names) if name in MAIN]
+    at = max(mains, key=inside.__getitem__) if mains else 0
+    while at:
+        at = parents[at]
+        holds.add(at)
+    hard, seen, total = [False], chars.copy(), chars[0]
+    for k in range(1, len(names)):
+        hard.append(hard[parents[k]] or offs[k] == 2 and k not in holds)
+        seen[k] = 0 if hard[k] else chars[k]
+        total += seen[k]
+    for k in range(len(names) - 1, 0, -1):
+        seen[parents[k]] += seen[k]
+    out = [False]
+    for k in range(1, len(names)):
+        marked = offs[k] == 1 and k not in holds and 2 * seen[k] <= total
+        out.append(hard[k] or marked or out[parents[k]])
+    return out
+
+
 def blocks(page: str | None) -> tuple[list[Block], Counter]:
     """The page's text blocks in order, and how often each markup token occurs.
 
@@ -100,14 +148,18 @@ def blocks(page: str | None) -> tuple[list[Block], Counter]:
     seen: Counter = Counter()
     if not page:
         return out, seen
-    stack: list[tuple[str, str, bool]] = []  # name, role, off
+    stack: list[tuple[str, str, int]] = []  # name, role, number of the element
+    names, parents, offs, chars = [""], [0], [0], [0]  # by number; 0 is the page
+    standing: list[int] = []  # the element of each block
     parts: list[str] = []
 
     def flush() -> None:
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            out.append(Block(tuple(r for _, r, _ in stack), bool(stack) and stack[-1][2], text))
+            standing.append(stack[-1][2] if stack else 0)
+            chars[standing[-1]] += len(text)
+            out.append(Block(tuple(r for _, r, _ in stack), False, text))
 
     at, end = 0, len(page)
     while at < end:
@@ -148,13 +200,19 @@ def blocks(page: str | None) -> tuple[list[Block], Counter]:
         seen["/".join(path)] += 1
         if name in VOID or (attributes or "").endswith("/") and name not in BLOCKS:
             continue
-        off = off or bool(stack) and stack[-1][2]
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        stack.append((name, role, off))
+        parents.append(stack[-1][2] if stack else 0)
+        stack.append((name, role, len(names)))
+        names.append(name)
+        offs.append(off)
+        chars.append(0)
     flush()
+    aside = _asides(names, parents, offs, chars)
+    for block, k in zip(out, standing):
+        block.aside = aside[k]
     return out, seen
 
 
@@ -233,7 +291,8 @@ def main_text(page: str | None, slot: str | None) -> str:
     """Main text of one page, given the slot that its host's template has for it.
 
     Marked regions - menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-    comments - are left out by element or by class, id or role.  A page with an article or
+    comments - are left out by element or by whole class, id or role, but never what holds
+    the largest article or, by a mark, most of the page's text.  A page with an article or
     main element is read there; else in its host's slot, if the page has it; else whole.
     """
     found, _ = blocks(page)
