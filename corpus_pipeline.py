@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from waymark.llm import decontaminate, language_id, mixing, sharding, superminhash
 from waymark.llm.storage import materialize
@@ -30,20 +29,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of five-word-shingle near copies the document of smallest id stays.
 
-    Rows that repeat an id and a text stay once; rows without an id all stay.
+    Rows are compared under numbers of their own, so a row without an id is grouped like
+    any other; it stays only if its group has no id.  Of texts without words, rows that
+    repeat an id and a text stay once and rows without an id all stay.
     """
-    groups = superminhash.near_duplicates(docs.select("doc_id", "text"), k=5, percent=80)
-    first = groups.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    copy = Window.partitionBy("doc_id", "print").orderBy("doc_id")
-    kept = (
-        whole_rows(docs)
-        .withColumn("print", F.xxhash64("text"))
-        .drop("text")
-        .join(first, "doc_id", "left_semi")
-        .withColumn("copy", F.row_number().over(copy))
-        .where("copy = 1")
-    )
-    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
+    numbered = whole_rows(docs).withColumn("key", F.monotonically_increasing_id())
+    numbered = materialize(numbered, "numbered")  # a number must not change when a task is run again
+    groups = superminhash.near_duplicates(numbered.select("key", "text"), k=5, percent=80, id_col="key")
+    alike = F.when(F.col("n_shingles") > 0, F.struct(F.lit(0).alias("kind"), F.col("component_id").alias("n")))
+    same = F.when(F.col("doc_id").isNotNull(), F.struct(F.lit(1).alias("kind"), F.xxhash64("doc_id", "text").alias("n")))
+    alone = F.struct(F.lit(2).alias("kind"), F.col("key").alias("n"))
+    placed = numbered.join(groups.withColumnRenamed("id", "key"), "key").groupBy(F.coalesce(alike, same, alone).alias("group"))
+    first = placed.agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first"))
+    return numbered.join(first.select("first.key"), "key", "left_semi").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

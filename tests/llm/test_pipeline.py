@@ -58,6 +58,19 @@ def test_stages(spark, planted):
     assert [r.doc_id for r in hit.where("contaminated").collect()] == [63]
 
 
+def test_rows_without_id_are_near_copies_too(spark):
+    rng = random.Random(2)
+    a, b, c = ([sentence(rng, 1) for _ in range(100)] for _ in range(3))
+    texts = [(7, a), (None, a), (None, c), (None, c), (9, c), (None, b), (None, b)]
+    rows = [(i, " ".join(t), "en", "s", 1, "x", "y", 7) for i, t in texts]
+    rows += [(i, "", "en", "s", 1, "x", "y", 7) for i in (3, 3, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, len(r.text) > 0) for r in kept) == [
+        (False, 3, False), (False, 7, True), (False, 9, True), (True, 0, False), (True, 0, False), (True, 0, True)
+    ]
+
+
 def test_run_and_empty_tables(spark, planted, tmp_path):
     _, folder, _ = planted
     assert corpus_pipeline.run(spark, folder).count() > 0
