@@ -29,19 +29,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of five-word-shingle near copies the document of smallest id stays.
 
-    Rows are compared under numbers of their own, so a row without an id is grouped like
-    any other; it stays only if its group has no id.  Of texts without words, rows that
+    Rows are compared under a 64-bit hash of id and text, so a row without an id is grouped
+    like any other; it stays only if its group has no id.  Of texts without words, rows that
     repeat an id and a text stay once and rows without an id all stay.
     """
-    numbered = whole_rows(docs).withColumn("key", F.monotonically_increasing_id())
-    numbered = materialize(numbered, "numbered")  # a number must not change when a task is run again
-    groups = superminhash.near_duplicates(numbered.select("key", "text"), k=5, percent=80, id_col="key")
-    alike = F.when(F.col("n_shingles") > 0, F.struct(F.lit(0).alias("kind"), F.col("component_id").alias("n")))
-    same = F.when(F.col("doc_id").isNotNull(), F.struct(F.lit(1).alias("kind"), F.xxhash64("doc_id", "text").alias("n")))
-    alone = F.struct(F.lit(2).alias("kind"), F.col("key").alias("n"))
-    placed = numbered.join(groups.withColumnRenamed("id", "key"), "key").groupBy(F.coalesce(alike, same, alone).alias("group"))
-    first = placed.agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first"))
-    return numbered.join(first.select("first.key"), "key", "left_semi").select("row.*")
+    keyed = whole_rows(docs).withColumn("key", F.xxhash64("doc_id", "text"))
+    groups = superminhash.near_duplicates(keyed.select("key", "text"), k=5, percent=80, id_col="key")
+    # rows of one key are alike: which one stays is settled at the end
+    groups = groups.groupBy(F.col("id").alias("key")).agg(
+        F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n"), F.max("component_id").alias("component")
+    )
+    ids = keyed.groupBy("key").agg(F.max("doc_id").alias("doc_id"))
+    group = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "times", "n"))
+    chosen = groups.join(ids, "key").groupBy(group.alias("group")).agg(first.alias("first")).select("first.*")
+    chosen = materialize(
+        chosen.select("key", ((F.col("times") == 1) | (F.col("n") == 0) & F.col("no_id")).alias("all")), "chosen"
+    )
+    kept = keyed.select("key", "row").join(chosen, "key")
+    repeated = kept.where("not all").groupBy("key").agg(F.first("row").alias("row"))
+    return kept.where("all").select("row").unionByName(repeated.select("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
