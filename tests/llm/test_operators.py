@@ -343,18 +343,32 @@ def test_scores(docs, texts, empty):
     assert ppm.score_documents(empty).count() == 0
 
 
-def whole_trie_scores(texts, left_out):
-    """Score per text from one trie of all training texts in one place."""
-    toks = {i: ppm.tokens(t) for i, t in enumerate(texts)}
-    learnt = [ppm.positions(ws)[0] for i, ws in toks.items() if i not in left_out]
-    model = ppm.ByteModel.fit(*(a.astype(t) for a, t in zip(np.unique(np.concatenate(learnt), return_counts=True), ("u8", "f8"))))
-    out = {}
-    for i, ws in toks.items():
-        grams, ends = ppm.positions(ws)
-        upto = np.cumsum(model.score(grams))[ends - 1]
-        ids = np.unique(ws, return_inverse=True)[1]
-        out[i] = ppm.adaptive_score(ids, np.diff(upto, prepend=0.0))
-    return out
+def brute_ppm(data, learnt, order=ppm.ORDER):
+    """log10 probability of bytes after PPM with exclusion over learnt sequences, symbol by
+    symbol from plain dictionaries of contexts."""
+    tables = [{} for _ in range(order + 1)]
+    for seq in learnt:
+        for i in range(order, len(seq)):
+            for k in range(order + 1):
+                tables[k].setdefault(seq[i - k : i], Counter())[seq[i]] += 1
+    total = 0.0
+    for i in range(order, len(data)):
+        if data[i - 1 : i + 1] == b"  ":
+            continue  # padding
+        gone, p = set(), 1.0
+        for k in range(order, -1, -1):
+            seen = {c: n for c, n in tables[k].get(data[i - k : i], {}).items() if c not in gone}
+            whole = sum(seen.values())
+            if data[i] in seen:
+                p *= (seen[data[i]] - ppm.ESCAPE) / whole
+                break
+            if seen:
+                p *= ppm.ESCAPE * len(seen) / whole
+            gone |= set(tables[k].get(data[i - k : i], {}))
+        else:
+            p /= 257 - len(gone)
+        total += math.log10(p)
+    return total
 
 
 def scored(spark, texts):
@@ -362,10 +376,21 @@ def scored(spark, texts):
     return {r.doc_id: r for r in ppm.score_documents(df, chunk_bytes=20_000).collect()}
 
 
-def test_scores_are_those_of_one_whole_trie(spark, texts):
-    rare = [*texts, "zq\u4e16\u754c qqz~1 ~2"]
-    got = scored(spark, rare)
-    for i, s in whole_trie_scores(rare, {i for i, r in got.items() if r.held_out}).items():
+def padded(text):
+    return b" " * ppm.ORDER + b" ".join([*ppm.tokens(text), b""])
+
+
+@pytest.mark.parametrize("slice_tokens, share", [(1 << 20, 4096), (50, 2)])
+def test_scores_are_those_of_plain_partial_matching(spark, monkeypatch, slice_tokens, share):
+    monkeypatch.setattr(ppm, "_SLICE_TOKENS", slice_tokens)
+    rng = random.Random(6)
+    texts = [None, "", " ", *(words(rng, rng.randint(1, 60)) for _ in range(60)), "zq\u4e16\u754c qqz~1 ~2", words(rng, 900)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in ppm.score_documents(df, chunk_bytes=1000, group_chunks=share).collect()}
+    assert len(got) == len(texts) and any(r.held_out for r in got.values())
+    learnt = [padded(t) for i, t in enumerate(texts) if not got[i].held_out]
+    for i in [0, 1, 7, 20, 63, 64, *[i for i, r in got.items() if r.held_out][:4]]:
+        s = brute_ppm(padded(texts[i]), learnt)
         assert abs(got[i].score - s) < 1e-5 * max(1, abs(s)), i
 
 
@@ -395,15 +420,6 @@ def test_no_gram_is_left_out_however_many_there_are():
         assert len(part.grams[ppm.ORDER]) == len(mine) and np.allclose(part.score(mine), whole.score(mine))
 
 
-def test_adaptive_scores_follow_the_sequence():
-    ids, trie = np.array([0, 1, 0, 0, 2]), np.array([-1.0, -2.0, -1.0, -1.0, -3.0])
-    seen, total = Counter(), 0.0
-    for t, (i, s) in enumerate(zip(ids, trie)):
-        total += math.log10(0.85 * 10**s + 0.15 * seen[i] / t) if t else s
-        seen[i] += 1
-    assert abs(ppm.adaptive_score(ids, trie, 0.15) - total) < 1e-9
-
-
 # --- 9 mixing
 
 

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +24,15 @@ CHUNK_BYTES = 8 << 20
 #: The token that ends a text: no word can be or hold a line feed.
 END = b"\n"
 _GAP = 32
-#: Tokens whose positions are held at once, with what is left of their last text.
-_SLICE_TOKENS = 1 << 17
-_ALL = np.uint64((1 << 64) - 1)
+#: Tokens whose positions are held at once, and those before them that contexts can reach.
+_SLICE_TOKENS = 1 << 20
+_REACH = ORDER // 2 + 1
+#: Chunks whose packets of one bucket meet in one group.
+GROUP_CHUNKS = 4096
+#: Bits of the number of buckets, at most.
+MAX_BITS = 12
 #: Share of one occurrence that each kind of symbol in a context leaves to the escape.
 ESCAPE = 0.3
-#: Weight of the words that the document has had so far.
-ADAPTIVE = 0.15
 
 
 def positions(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -168,46 +168,31 @@ def tokens(text: str | None) -> list[bytes]:
     return [*space_words(text, lower=True), END]
 
 
-class Dictionary:
-    """The distinct tokens of a chunk's documents in the order of their hashes."""
-
-    def __init__(self, texts: list[list[bytes]], train: np.ndarray):
-        counted: Counter = Counter()
-        for words, learns in zip(texts, train):
-            if learns:
-                counted.update(words)
-        words = list({w for ws in texts for w in ws})
-        keys = hash_words(words)
-        order = np.argsort(keys, kind="stable")
-        self.words = [words[i] for i in order]
-        self.keys = keys[order]
-        self.counts = np.fromiter((counted[w] for w in self.words), np.int64, len(words))
-
-    def slices(self, bits: int):
-        """(bucket, slice) of every bucket of leading hash bits that has a token."""
-        yield from _slices(self.keys >> np.uint64(64 - bits))
-
-
-def _sliced(texts: Iterable[list[bytes]]) -> Iterator[list[bytes]]:
-    """The tokens of whole texts, some ``_SLICE_TOKENS`` at a time."""
-    out: list[bytes] = []
-    for words in texts:
-        out += words
-        if len(out) >= _SLICE_TOKENS:
-            yield out
-            out = []
-    if out:
-        yield out
-
-
-def count_grams(texts: Iterable[list[bytes]], mask: np.uint64 = _ALL) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct grams of the texts, ascending, with their counts."""
-    grams, n = np.empty(0, np.uint64), np.empty(0)
-    for words in _sliced(texts):
-        more, times = np.unique(positions(words)[0] & mask, return_counts=True)
-        grams, where = np.unique(np.concatenate((grams, more)), return_inverse=True)
-        n = np.bincount(where, weights=np.concatenate((n, times)), minlength=len(grams))
-    return grams, n.astype(np.int64)
+def _sliced(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``positions`` of a long sequence of tokens, some ``_SLICE_TOKENS`` at a time."""
+    for start in range(0, len(words), _SLICE_TOKENS):
+        before = min(start, _REACH)
+        grams, ends = positions(words[start - before : start + _SLICE_TOKENS])
+        known = int(ends[before - 1]) if before else 0
+        yield grams[known:], ends[before:] - known
+
+
+def count_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of a sequence of tokens, ascending, with their counts."""
+    parts = [np.unique(grams, return_counts=True) for grams, _ in _sliced(words)]
+    if len(parts) == 1:
+        return parts[0]
+    if not parts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, with the sums of their counts."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else order
+    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
 def by_context(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,77 +215,97 @@ def _slices(buckets: np.ndarray):
             yield int(buckets[a]), slice(a, b)
 
 
-_ROWS = "chunk long, kind int, bucket long, keys binary, counts binary"
+def _flat(texts: list[list[bytes]]) -> list[bytes]:
+    return [w for words in texts for w in words]
+
+
+_TOKENS, _GRAMS = 0, 1
+_PACKETS = "chunk long, kind int, bucket long, keys binary, counts binary"
 
 
 def _gather(bits: int):
-    """Of each chunk: its tokens (kind 0) and grams (kind 1) with counts, by bucket."""
+    """Of each chunk: its distinct tokens and grams with their counts in the documents to
+    learn from, packed by bucket."""
 
     def gather(key, docs: pd.DataFrame) -> pd.DataFrame:
-        texts, train = [tokens(t) for t in docs["text"]], docs["train"].to_numpy()
-        made = Dictionary(texts, train)
+        texts, train = [tokens(t) for t in docs["text"]], docs["train"].to_numpy(bool)
+        learn = _flat([ws for ws, t in zip(texts, train) if t])
+        other = _flat([ws for ws, t in zip(texts, train) if not t])
+        codes, found = pd.factorize(hash_words(learn + other))
+        times = np.bincount(codes[: len(learn)], minlength=len(found))
+        order = np.argsort(found)
+        found, times = found[order], times[order]
         out = [
-            (key[0], 0, b, made.keys[s].tobytes(), made.counts[s].tobytes())
-            for b, s in made.slices(bits)
+            (key[0], _TOKENS, b, found[s].tobytes(), times[s].astype(np.int64).tobytes())
+            for b, s in _slices(found >> np.uint64(64 - bits))
         ]
-        grams, times = count_grams(ws for ws, learns in zip(texts, train) if learns)
-        other, _ = count_grams(ws for ws, learns in zip(texts, train) if not learns)
-        other = np.setdiff1d(other, grams, assume_unique=True)
-        grams = np.concatenate((grams, other))
-        times = np.concatenate((times, np.zeros(len(other), np.int64)))
-        ascending = np.argsort(grams)
-        grams, times = grams[ascending], times[ascending]
+        grams, times = count_grams(learn)
+        more = np.setdiff1d(count_grams(other)[0], grams, assume_unique=True)
+        grams = np.concatenate((grams, more))
+        order = np.argsort(grams)
+        grams, times = grams[order], np.concatenate((times, np.zeros(len(more), np.int64)))[order]
         buckets, order = by_context(grams, bits)
         grams, times = grams[order], times[order]
         out += [
-            (key[0], 1, b, grams[s].tobytes(), times[s].tobytes()) for b, s in _slices(buckets)
+            (key[0], _GRAMS, b, grams[s].tobytes(), times[s].astype(np.int64).tobytes())
+            for b, s in _slices(buckets)
         ]
         return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "keys", "counts"])
 
     return gather
 
 
-def _sum_bucket(low: Broadcast):
-    """Of one bucket, back to each chunk in its own order: totals over all chunks of its
-    tokens (kind 0), or the log10 probability of its grams (kind 1) after the counts of all
-    chunks.  n and v are the bucket's tokens and kinds."""
-
-    def sum_bucket(key, rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
-        flat = np.unique(np.concatenate(keys))
-        total = np.zeros(len(flat), dtype=np.int64)
-        for k, counts in zip(keys, rows["counts"]):
-            total[np.searchsorted(flat, k)] += np.frombuffer(counts, np.int64)
-        known = total > 0
-        if key[0] == 0:
-            value = total
-        else:
-            model = ByteModel.fit(flat[known], total[known].astype(float), base=low.value)
-            value = model.score(flat).astype(np.float32)
-        out = [
-            (chunk, key[0], key[1], b"", value[np.searchsorted(flat, k)].tobytes(), 0, 0)
-            for chunk, k in zip(rows["chunk"], keys)
-        ]
-        if key[0] == 0:
-            out.append((-1, 2, key[1], b"", b"", int(total.sum()), int(known.sum())))
-        return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "keys", "counts", "n", "v"])
+_GROUPS = "kind int, bucket long, keys binary, counts binary, chunks binary, sizes binary, at binary"
 
-    return sum_bucket
 
+def _meet(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """One bucket of some chunks: its distinct keys with their sums, and where each chunk's
+    keys stand among them."""
+    keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
+    flat = np.concatenate(keys)
+    distinct, where = np.unique(flat, return_inverse=True)
+    counts = np.concatenate([np.frombuffer(c, np.int64) for c in rows["counts"]])
+    total = np.bincount(where, weights=counts, minlength=len(distinct)).astype(np.int64)
+    sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+    parts = (distinct, total, rows["chunk"].to_numpy(np.int64), sizes, where.astype(np.uint32))
+    columns = _GROUPS.replace(" binary", "").replace(" int", "").replace(" long", "").split(", ")
+    return pd.DataFrame([(key[0], key[1], *(p.tobytes() for p in parts))], columns=columns)
 
-def _low_levels(dealt: DataFrame) -> ByteModel:
-    """The levels up to ``LOW_ORDER`` over all documents to learn from."""
-    mask = np.uint64((1 << 8 * (LOW_ORDER + 1)) - 1)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, n = count_grams((tokens(t) for batch in batches for t in batch["text"]), mask)
-        yield pd.DataFrame({"gram": grams.astype(np.int64), "n": n})
+def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for kind, bucket, keys, counts in zip(batch["kind"], batch["bucket"], batch["keys"], batch["counts"]):
+            n = np.frombuffer(counts, np.int64)
+            yield pd.DataFrame({"kind": kind, "bucket": bucket, "key": np.frombuffer(keys, np.int64), "n": n})
+
 
+def _return(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each chunk's values in its own order, from a group and its bucket's values."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            known = np.frombuffer(row.known, np.uint64)
+            value = np.frombuffer(row.value, np.float32 if row.kind == _GRAMS else np.int64)
+            value = value[np.searchsorted(known, np.frombuffer(row.keys, np.uint64))]
+            value = value[np.frombuffer(row.at, np.uint32)]
+            ends = np.cumsum(np.frombuffer(row.sizes, np.int64))
+            packets = [part.tobytes() for part in np.split(value, ends[:-1])]
+            chunks = np.frombuffer(row.chunks, np.int64)
+            yield pd.DataFrame({"chunk": chunks, "kind": row.kind, "bucket": row.bucket, "packet": packets})
+
+
+def _byte_model(keys: np.ndarray, counts: np.ndarray, base: ByteModel) -> np.ndarray:
+    """log10 probability of a bucket's grams, ascending, after the counts of all documents."""
+    known = counts > 0
+    model = ByteModel.fit(keys[known], counts[known].astype(float), base=base)
+    return model.score(keys).astype(np.float32)
+
+
+def _low_levels(totals: DataFrame) -> ByteModel:
+    """The levels up to ``LOW_ORDER`` over all documents to learn from."""
+    short = F.col("key").bitwiseAND(F.lit((1 << 8 * (LOW_ORDER + 1)) - 1)).alias("gram")
     rows = (
-        dealt.where("train")
-        .select("text")
-        .mapInPandas(count, "gram long, n long")
-        .groupBy("gram")
+        totals.where(f"kind = {_GRAMS} and n > 0")
+        .groupBy(short)
         .agg(F.sum("n").alias("n"))
         .toPandas()
         .sort_values("gram")
@@ -308,117 +313,120 @@ def _low_levels(dealt: DataFrame) -> ByteModel:
     return ByteModel.fit(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(float), LOW_ORDER)
 
 
-def adaptive_score(ids: np.ndarray, trie: np.ndarray, weight: float = ADAPTIVE) -> float:
-    """log10 probability of a token sequence: the trie's probability of each token mixed
-    with its share among the tokens that the document has had before it."""
-    n = len(ids)
-    order = np.argsort(ids, kind="stable")
-    same = ids[order]
-    first = np.flatnonzero(np.concatenate(([True], same[1:] != same[:-1])))
-    earlier = np.empty(n)
-    earlier[order] = np.arange(n) - np.repeat(first, np.diff(first, append=n))
-    out = trie.copy()
-    if n > 1:
-        mixed = (1 - weight) * 10.0 ** trie[1:] + weight * earlier[1:] / np.arange(1, n)
-        # a probability too small for a float is left to the trie's logarithm
-        floor = trie[1:] + math.log10(1 - weight)
-        out[1:] = np.where(earlier[1:] > 0, np.log10(np.maximum(mixed, 1e-300)), floor)
-    return float(out.sum())
-
-
-def _token_prices(
-    texts: list[list[bytes]], bits: int, returned: dict[tuple[int, int], bytes]
-) -> np.ndarray:
-    """log10 probability of each token of each text where it stands, from what the buckets
-    sent for the chunk's distinct grams."""
-    slices = []
-    for words in _sliced(texts):
-        found, ends = positions(words)
-        codes, distinct = pd.factorize(found)
-        slices.append((codes.astype(np.int32), distinct, ends))
-    grams = np.unique(np.concatenate([distinct for _, distinct, _ in slices]))
+def _price(
+    words: list[bytes], bits: int, returned: dict[tuple[int, int], bytes]
+) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability of each position of a chunk's tokens, from what the buckets sent for
+    its distinct grams, and where each token ends among the positions."""
+    parts, stops, done = [], [], 0
+    for grams, ends in _sliced(words):
+        codes, distinct = pd.factorize(grams)
+        parts.append((codes.astype(np.int32), distinct))
+        stops.append(ends + done)
+        done += len(grams)
+    grams = np.unique(np.concatenate([distinct for _, distinct in parts]))
     price = np.empty(len(grams))
     buckets, order = by_context(grams, bits)
     for b, s in _slices(buckets):
-        price[order[s]] = np.frombuffer(returned[1, b], np.float32)
-    out = []
-    for codes, distinct, ends in slices:
-        each = price[np.searchsorted(grams, distinct)][codes]
-        out.append(np.add.reduceat(each, np.concatenate(([0], ends[:-1]))))
-    return np.concatenate(out)
+        price[order[s]] = np.frombuffer(returned[_GRAMS, b], np.float32)
+    each = [price[np.searchsorted(grams, distinct)][codes] for codes, distinct in parts]
+    return np.concatenate(each), np.concatenate(stops)
 
 
 def score_documents(
     docs: DataFrame,
     parts: int = 10,
     chunk_bytes: int = CHUNK_BYTES,
+    group_chunks: int = GROUP_CHUNKS,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
-    The score follows each document's bytes in order: contexts run over its words, and words
-    that it has had before gain.  Documents are dealt to chunks by a hash of their id.  A chunk sends its distinct tokens
-    (hashed to 64 bits) and byte grams, packed by bucket of hash space; a bucket sums them
-    over all chunks and sends each chunk the totals of its tokens and the probabilities of
-    its grams.  Grams are dealt by the last bytes of their contexts, so that a bucket has all
-    that its longer contexts hold; the levels up to ``LOW_ORDER``, bounded by the number of
-    byte values, are counted first and broadcast.  So every gram of all documents counts,
-    neither trie nor vocabulary is ever in one place, and what moves is the text and each
-    chunk's vocabulary and grams, however many documents share them.
-
-    A null text is an empty one: one end.  A null id counts as held out.  Without training
-    documents N and V are 0 and the trie is uniform.
+    The score is the code length of the document's bytes in order after a trie of all
+    training documents: contexts run over its words.
+
+    1. Documents are dealt to chunks by a hash of id and text.  A chunk sends its distinct
+       tokens (hashed to 64 bits) and byte grams, packed by bucket; grams are dealt by the
+       last bytes of their contexts, so that a bucket has its longer contexts whole.
+    2. Packets of one bucket meet in groups of ``group_chunks`` chunks, which leave their
+       distinct keys, their sums, and each chunk's places among these keys.
+    3. Sums are added up over groups key by key.  The levels up to ``LOW_ORDER``, bounded by
+       the number of byte values, are broadcast; each bucket fits the longer levels and
+       prices its grams.
+    4. Groups meet their bucket's prices, send them back to the chunks, and documents are
+       scored.
+
+    Every gram counts, and neither trie nor vocabulary is ever in one place; what moves is
+    the text and each chunk's vocabulary and grams.
+
+    A null text is an empty one: one end.  A null id counts as held out.  Repeated rows each
+    count and each have a result.  Without training documents N and V are 0 and the trie is
+    uniform; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_chunks = max(8, -(-size // chunk_bytes))
-    bits = max(4, min(16, math.ceil(math.log2(n_chunks))))
+    bits = max(4, min(MAX_BITS, math.ceil(math.log2(n_chunks))))
     dealt = docs.select(
         "doc_id",
         "text",
         (~held_out(F.col("doc_id"), parts)).alias("train"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).alias("chunk"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).alias("chunk"),
     )
-    low = spark.sparkContext.broadcast(_low_levels(dealt))
+    packets = dealt.groupBy("chunk").applyInPandas(_gather(bits), _PACKETS)
+    share = F.floor(F.col("chunk") / group_chunks).alias("share")
+    groups = materialize(packets.groupBy("kind", "bucket", share).applyInPandas(_meet, _GROUPS), "gram-groups")
     totals = materialize(
-        dealt.groupBy("chunk")
-        .applyInPandas(_gather(bits), _ROWS)
-        .groupBy("kind", "bucket")
-        .applyInPandas(_sum_bucket(low), _ROWS + ", n long, v long"),
-        "word-totals",
+        groups.select("kind", "bucket", "keys", "counts")
+        .mapInPandas(_unpack, "kind int, bucket long, key long, n long")
+        .groupBy("kind", "bucket", "key")
+        .agg(F.sum("n").alias("n")),
+        "gram-totals",
     )
-    n, v = totals.where("kind = 2").agg(F.sum("n"), F.sum("v")).first()
-    n, v = n or 0, v or 0
+    n, v = totals.where(f"kind = {_TOKENS} and n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
+    n = n or 0
     rest = math.log10(n + 0.1 * (v + 1))
+    low = spark.sparkContext.broadcast(_low_levels(totals))
+
+    def value(key, rows: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = rows["key"].to_numpy().view(np.uint64), rows["n"].to_numpy(np.int64)
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        out = _byte_model(keys, counts, low.value) if key[0] == _GRAMS else counts
+        columns = ["kind", "bucket", "known", "value"]
+        return pd.DataFrame([(key[0], key[1], keys.tobytes(), out.tobytes())], columns=columns)
+
+    values = totals.groupBy("kind", "bucket").applyInPandas(
+        value, "kind int, bucket long, known binary, value binary"
+    )
+    returned = groups.drop("counts").join(values, ["kind", "bucket"]).mapInPandas(
+        _return, "chunk long, kind int, bucket long, packet binary"
+    )
 
     def score(_, docs: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
+        packets = dict(zip(zip(sums["kind"], sums["bucket"]), sums["packet"]))
         texts = [tokens(t) for t in docs["text"]]
-        made = Dictionary(texts, np.zeros(len(docs), dtype=bool))
-        counts = np.zeros(len(made.words), dtype=np.int64)
-        returned = dict(zip(zip(sums["kind"], sums["bucket"]), sums["counts"]))
-        for b, s in made.slices(bits):
-            counts[s] = np.frombuffer(returned[0, b], np.int64)
-        base = np.log10(counts + 0.1) - rest
-        byte_score = _token_prices(texts, bits, returned)
-        number = dict(zip(made.words, range(len(made.words))))
-        out, at = [], 0
-        for words in texts:
-            byte_scores = byte_score[at : at + len(words)]
-            at += len(words)
-            ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            out.append(
-                (
-                    len(ids),
-                    int((counts[ids] > 0).sum()),
-                    float(base[ids].sum()),
-                    adaptive_score(ids, byte_scores),
-                )
-            )
-        scored = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "score"])
-        scored.insert(0, "doc_id", docs["doc_id"].array)
-        scored.insert(1, "held_out", ~docs["train"].to_numpy())
-        return scored
-
-    returned = totals.where("kind < 2").select("chunk", "kind", "bucket", "counts")
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        words = _flat(texts)
+        codes, found = pd.factorize(hash_words(words))
+        order = np.argsort(found)
+        counts = np.empty(len(found), dtype=np.int64)
+        for b, s in _slices(found[order] >> np.uint64(64 - bits)):
+            counts[order[s]] = np.frombuffer(packets[_TOKENS, b], np.int64)
+        # every text has its end, so no part is empty
+        starts = np.cumsum(sizes) - sizes
+        price, stops = _price(words, bits, packets)
+        begins = np.concatenate(([0], stops[starts[1:] - 1]))
+        return pd.DataFrame(
+            {
+                "doc_id": docs["doc_id"].array,
+                "held_out": ~docs["train"].to_numpy(bool),
+                "n_tokens": sizes,
+                "n_known": np.add.reduceat((counts > 0).astype(np.int64)[codes], starts),
+                "base_score": np.add.reduceat((np.log10(counts + 0.1) - rest)[codes], starts),
+                "score": np.add.reduceat(price, begins),
+            }
+        )
+
     return (
         dealt.groupBy("chunk")
         .cogroup(returned.groupBy("chunk"))
