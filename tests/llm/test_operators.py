@@ -135,6 +135,54 @@ def test_templates_choose_the_slot_of_the_text(spark):
     assert html_template.extract_pages(pages.limit(0)).count() == 0
 
 
+def plain_pages(n):
+    """Pages whose elements are all alike in name: long texts that repeat, short stories that don't."""
+    rng = random.Random(12)
+    sides = [words(rng, 60) for _ in range(2)]
+    for k in range(n):
+        story = f"<h1>{words(rng, 4)} {k}</h1>" + "".join(f"<p>{words(rng, 12)}</p>" for _ in range(rng.randint(1, 5)))
+        text = " ".join(story.replace("<h1>", " ").replace("</h1>", " ").replace("<p>", " ").replace("</p>", " ").split())
+        yield k, f"http://h.example/{k}", f"<body><div>home {k % 3}</div><div>{sides[k % 2]}</div><div>{story}</div><div>end</div></body>", text
+
+
+def test_templates_work_without_names(spark):
+    rows = list(plain_pages(24))
+    pages = spark.createDataFrame([r[:3] for r in rows] + [rows[0][:3]], "page_id long, url string, html string")
+    got = html_template.extract_pages(pages.repartition(3)).collect()
+    assert sorted((r.page_id, r.text) for r in got) == sorted([(r[0], r[3]) for r in rows] + [(0, rows[0][3])])
+
+
+def test_templates_need_occurrence_vectors(spark, monkeypatch):
+    rows = list(plain_pages(24))
+    pages = spark.createDataFrame([("h", r[0], r[2]) for r in rows], "host string, page long, html string")
+    assert [len(r.regions) for r in html_template.host_templates(pages).collect()] == [2]
+    # with one vector for all tokens classes cannot be told apart, and none is valid
+    alike = pages.mapInPandas(html_template._tokens, html_template._TOKENS).withColumns({"v1": F.lit(1), "v2": F.lit(1)})
+    monkeypatch.setattr(html_template, "scan_tokens", lambda pages: alike)
+    assert html_template.host_templates(pages).count() == 0
+
+
+def test_hosts_with_equal_pages_keep_templates_apart(spark):
+    rows = list(plain_pages(12))
+    both = [(r[0], f"http://{h}.example/{r[0]}", r[2]) for r in rows for h in ("a", "b")]
+    other = [(100 + k, f"http://c.example/{k}", f"<body><div>{'long text here ' * 9} {k}</div><div>x</div></body>") for k in range(5)]
+    pages = spark.createDataFrame(both + other, "page_id long, url string, html string")
+    got = {(r.page_id, r.url): r.text for r in html_template.extract_pages(pages).collect()}
+    assert all(got[r[0], f"http://{h}.example/{r[0]}"] == r[3] for r in rows for h in "ab")
+    assert got[100, "http://c.example/0"].endswith("here 0")
+
+
+def test_all_slots_are_extracted():
+    slots = html_template.slot_texts("<body><div>a</div><div>b<p>c</p>d</div></body>", None)
+    assert slots == {"*body#1/div#1": "a", "*body#1/div#2": "b d", "*body#1/div#2/p#1": "c"}
+    page = html_template.parse("<body><div>a</div><div>b</div></body>")
+    told = html_template.slot_texts("<body><div>a</div><div>b</div></body>", page.keys[1:2] + page.keys[3:])
+    assert told == {"body#1/div#1": "a", "*body#1/div#2": "b"}
+    read = html_template.main_text
+    two = "<article class=post>a b c</article><article class=teaser>t</article><article class=post>d</article>"
+    assert read(two, None) == "a b c d"
+
+
 # --- 3 quality rules
 
 

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +53,11 @@ MARKS = frozenset(
     "search pagination pager copyright disclaimer skip toolbar tags".split()
 )
 MAIN = ("article", "main")
+#: Elements that can be the region of the main text.
+REGIONS = frozenset("html body main article section div center form table tbody tr td".split())
+#: A valid class has so many tokens at least, and stands on one of so many pages of its host.
+CLASS_TOKENS = 3
+CLASS_PAGES = 10
 #: Hosts whose templates are broadcast: a host and a path, some 200 bytes each.
 MAX_HOSTS = 50_000
 _TOKEN = re.compile(
@@ -67,12 +73,34 @@ _DIGITS = re.compile(r"\d+")
 
 
 @dataclass
-class Block:
-    """Text of one block with the path of elements around it."""
+class Page:
+    """A page's elements, each after its parent (0 is the page itself), and its text blocks.
 
-    path: tuple[str, ...]
-    aside: bool
-    text: str
+    An element's key is a hash of its place: its parent's key, its role - name and class
+    names - and its number among the children of that role.
+    """
+
+    names: list[str]
+    roles: list[str]
+    parents: list[int]
+    keys: list[int]
+    aside: list[bool]
+    blocks: list[tuple[int, str]]
+
+    def inside(self, wanted: set[int]) -> list[bool]:
+        """Whether each element is, or is in, one of the wanted elements."""
+        out = [0 in wanted]
+        for k in range(1, len(self.names)):
+            out.append(k in wanted or out[self.parents[k]])
+        return out
+
+    def regions(self) -> list[list[int]]:
+        """Keys of the regions around each element, itself included, outermost first."""
+        out: list[list[int]] = [[]]
+        for k in range(1, len(self.names)):
+            around = out[self.parents[k]]
+            out.append([*around, self.keys[k]] if self.names[k] in REGIONS else around)
+        return out
 
 
 def marked_name(name: str) -> bool:
@@ -137,29 +165,26 @@ def _asides(names: list[str], parents: list[int], offs: list[int], chars: list[i
     return out
 
 
-def blocks(page: str | None) -> tuple[list[Block], Counter]:
-    """The page's text blocks in order, and how often each markup token occurs.
+def parse(page: str | None) -> Page:
+    """The page's elements and its text blocks in order.
 
-    A markup token is a start tag in its role: the path of elements down to it.  Unclosed
-    elements are closed as HTML says for paragraphs, items and cells; an end tag without
-    a start is ignored, and the end of a block element closes what is open inside it.
+    Unclosed elements are closed as HTML says for paragraphs, items and cells; an end tag
+    without a start is ignored, and the end of a block element closes what is open inside.
     """
-    out: list[Block] = []
-    seen: Counter = Counter()
+    out = Page([""], [""], [0], [0], [False], [])
     if not page:
-        return out, seen
-    stack: list[tuple[str, str, int]] = []  # name, role, number of the element
-    names, parents, offs, chars = [""], [0], [0], [0]  # by number; 0 is the page
-    standing: list[int] = []  # the element of each block
+        return out
+    stack: list[int] = [0]
+    offs, chars = [0], [0]
+    children: list[Counter] = [Counter()]
     parts: list[str] = []
 
     def flush() -> None:
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            standing.append(stack[-1][2] if stack else 0)
-            chars[standing[-1]] += len(text)
-            out.append(Block(tuple(r for _, r, _ in stack), False, text))
+            chars[stack[-1]] += len(text)
+            out.blocks.append((stack[-1], text))
 
     at, end = 0, len(page)
     while at < end:
@@ -181,39 +206,41 @@ def blocks(page: str | None) -> tuple[list[Block], Counter]:
         if name in BLOCKS:
             flush()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
+            for k in range(len(stack) - 1, 0, -1):
+                if out.names[stack[k]] == name:
                     del stack[k:]
                     break
-                if name not in BLOCKS and stack[k][0] in BLOCKS:
+                if name not in BLOCKS and out.names[stack[k]] in BLOCKS:
                     break  # an inline element does not end the block it is in
             continue
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in CLOSES.get(name, ()):
+        for k in range(len(stack) - 1, 0, -1):
+            if out.names[stack[k]] in CLOSES.get(name, ()):
                 flush()
                 del stack[k:]
                 break
-            if stack[k][0] in FENCES:
+            if out.names[stack[k]] in FENCES:
                 break
         role, off = element(name, attributes or "")
-        path = (*(r for _, r, _ in stack), role)
-        seen["/".join(path)] += 1
+        parent = stack[-1]
+        children[parent][role] += 1
+        place = f"{out.keys[parent]}/{role}#{children[parent][role]}"
+        out.names.append(name)
+        out.roles.append(role)
+        out.parents.append(parent)
+        out.keys.append(xxhash.xxh3_64_intdigest(place.encode("utf-8", "surrogatepass")) - (1 << 63))
+        offs.append(off)
+        chars.append(0)
+        children.append(Counter())
         if name in VOID or (attributes or "").endswith("/") and name not in BLOCKS:
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        parents.append(stack[-1][2] if stack else 0)
-        stack.append((name, role, len(names)))
-        names.append(name)
-        offs.append(off)
-        chars.append(0)
+        stack.append(len(out.names) - 1)
     flush()
-    aside = _asides(names, parents, offs, chars)
-    for block, k in zip(out, standing):
-        block.aside = aside[k]
-    return out, seen
+    out.aside = _asides(out.names, out.parents, offs, chars)
+    return out
 
 
 def host_of(url: Column) -> Column:
@@ -222,96 +249,201 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def _occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, times, text) for every markup token of every page.
+def page_mark(page: int) -> tuple[int, int]:
+    """Two numbers whose sums over pages stand for a set of pages."""
+    page = xxhash.xxh3_64_intdigest(page.to_bytes(8, "little", signed=True))
+    return page & 0xFFFFFFFF, page >> 32
+
 
-    ``times`` is how often the token occurs on the page and ``text`` how many characters
-    of text stand directly in it, outside what is plainly not main text.
+_TOKENS = (
+    "host string, key long, text long, on long, v1 long, v2 long, chars long, heads long, "
+    "region boolean, around array<long>"
+)
+
+
+def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Tokens of the pages of each host, with what they add to the occurrence vector.
+
+    A token is an element in its place (``text`` 0), or a text in its place.  A text in what
+    is plainly not main text is no token; ``heads`` is 1 for a text in an ``h1``.
     """
+    for batch in batches:
+        found: dict[tuple[str, int, int], list] = {}
+        for host, mark, source in zip(batch["host"], batch["page"], batch["html"]):
+            page = parse(source)
+            around, (v1, v2) = page.regions(), page_mark(mark)
+            here = {(page.keys[k], 0): (0, 0, k) for k in range(1, len(page.names))}
+            for k, text in page.blocks:
+                if not page.aside[k]:
+                    code = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 | 1
+                    here[page.keys[k], code] = (len(text), int(page.names[k] == "h1"), k)
+            for (key, code), (chars, heads, k) in here.items():
+                row = found.get((host, key, code))
+                if row:
+                    row[0] += 1
+                    row[1] += v1
+                    row[2] += v2
+                else:
+                    region = not code and page.names[k] in REGIONS
+                    found[host, key, code] = [1, v1, v2, chars, heads, region, around[k]]
+        yield pd.DataFrame(
+            [(*k, *v) for k, v in found.items()],
+            columns=["host", "key", "text", "on", "v1", "v2", "chars", "heads", "region", "around"],
+        )
+
+
+def scan_tokens(pages: DataFrame) -> DataFrame:
+    """The tokens of pages (host, page, html), summed by batch."""
+    return pages.select("host", "page", "html").mapInPandas(_tokens, _TOKENS)
+
+
+def choose_region(rows: list[tuple[int, list[int], int, int, int]]) -> list[int]:
+    """The template's regions around the main text, outermost first; [] if there are none.
+
+    A row is a region of the template: key, keys around it and its own, characters of
+    different texts in it, different ``h1`` texts in it, pages it is on.  From the page down,
+    the region is taken that has more than half of the texts of the one around it, unless
+    that leaves behind a heading of its own on half the pages.  A text that comes back page
+    after page counts once, so what repeats weighs little.
+    """
+    known = {r[0]: r for r in rows}
+    below: dict[int, list] = {}
+    for r in rows:
+        outer = next((k for k in reversed(r[1][:-1]) if k in known), 0)
+        below.setdefault(outer, []).append(r)
+    path, here = [], 0
+    chars, heads = sum(r[2] for r in below.get(0, ())), sum(r[3] for r in below.get(0, ()))
+    while below.get(here):
+        best = max(below[here], key=lambda r: (r[2], -r[0]))
+        if 2 * best[2] <= chars or heads > best[3] and 2 * (heads - best[3]) >= best[4]:
+            break
+        here, chars, heads = best[0], best[2], best[3]
+        path.append(here)
+    return path
+
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for host, page, source in zip(batch["host"], batch["page"], batch["html"]):
-                found, seen = blocks(source)
-                chars: Counter = Counter()
-                for b in found:
-                    if not b.aside:
-                        chars["/".join(b.path)] += len(b.text)
-                rows += [(host, page, t, n, chars[t]) for t, n in seen.items()]
-            yield pd.DataFrame(rows, columns=["host", "page", "token", "times", "chars"])
-
-    return pages.mapInPandas(scan, "host string, page long, token string, times int, chars long")
-
-
-def host_templates(pages: DataFrame, min_pages: int = 2) -> DataFrame:
-    """(host, slots): the path of the slot that holds each host's main text.
-
-    Tokens of a host with the same occurrence vector - the same count on every page - are
-    an equivalence class.  A class is valid if its tokens occur once a page on more than
-    half of at least ``min_pages`` pages; valid classes nest by their paths and are the
-    template.  Vectors are compared by an order-free hash, so a host of any size is summed
-    by partial aggregation.  Of the template's elements the slot is the deepest one whose
-    inside, with the repeating elements that no class fixes, holds at least nine tenths of
-    the host's text outside plainly marked regions.
+def host_templates(pages: DataFrame) -> DataFrame:
+    """(host, regions): the regions of each host's template around its main text.
+
+    Tokens of a host that stand on the same pages - with the same occurrence vector - are an
+    equivalence class.  A class is valid if it has ``CLASS_TOKENS`` tokens and stands on two
+    pages, and on one of ``CLASS_PAGES``, at least.
+    The elements of valid classes are the template; they nest by their places, and what
+    stands between them are its slots, weighed by their texts.  ``choose_region`` goes down
+    from region to region.
+
+    Vectors are compared by sums of page hashes, so a host of any size is summed by partial
+    aggregation; only regions of valid classes, few however many pages a host has, meet in
+    one group.
     """
-    seen = _occurrences(pages).where("host is not null")
-    vectors = seen.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("on_pages"),
-        F.max("times").alias("most"),
-        F.bit_xor(F.xxhash64("page", "times")).alias("vector"),
-        F.sum("chars").alias("chars"),
+    tokens = materialize(
+        scan_tokens(pages.where("host is not null"))
+        .groupBy("host", "key", "text").agg(
+            *[F.sum(c).alias(c) for c in ("on", "v1", "v2")],
+            *[F.first(c).alias(c) for c in ("chars", "heads", "region", "around")],
+        ),
+        "page-tokens",
     )
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    classes = vectors.groupBy("host", "vector", "on_pages", "most").agg(
-        F.collect_list(F.struct("token", "chars")).alias("tokens")
+    standing = (
+        tokens.join(sizes, "host")
+        .where(f"on >= 2 and {CLASS_PAGES} * on >= pages")
+        .select("host", "key", "text", "on", "v1", "v2", "region", "around")
+    )
+    classes = (
+        standing.groupBy("host", "v1", "v2")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("on").alias("low"), F.max("on").alias("high"))
+        .where(f"n >= {CLASS_TOKENS} and low = high")
+        .select("host", "v1", "v2")
+    )
+    fixed = standing.where("region").join(classes, ["host", "v1", "v2"])
+    texts = tokens.where("text <> 0").groupBy("host", "key").agg(
+        F.sum("chars").alias("chars"), F.sum("heads").alias("heads"), F.first("around").alias("around")
+    )
+    held = (
+        texts.select("host", "chars", "heads", F.explode("around").alias("key"))
+        .groupBy("host", "key")
+        .agg(F.sum("chars").alias("chars"), F.sum("heads").alias("heads"))
+    )
+
+    def choose(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        around = [list(map(int, a)) for a in rows["around"]]
+        path = choose_region(list(zip(rows["key"], around, rows["chars"], rows["heads"], rows["on"])))
+        return pd.DataFrame({"host": [key[0]], "regions": [path]})
+
+    return (
+        fixed.join(held, ["host", "key"])
+        .select("host", "key", "around", "chars", "heads", "on")
+        .groupBy("host")
+        .applyInPandas(choose, "host string, regions array<long>")
     )
 
-    def choose(key, rows: pd.DataFrame) -> pd.DataFrame:
-        chars: Counter = Counter()
-        fixed: set[str] = set()
-        for tokens, on, most, pages in zip(rows["tokens"], rows["on_pages"], rows["most"], rows["pages"]):
-            valid = most == 1 and pages >= min_pages and 2 * on > pages
-            for t in tokens:
-                chars[t["token"]] += t["chars"]
-                if valid:
-                    fixed.add(t["token"])
-        total = sum(chars.values())
-        best, depth = "", 0
-        for token in sorted(fixed):
-            inside = sum(n for t, n in chars.items() if t == token or t.startswith(token + "/"))
-            if total and 10 * inside >= 9 * total and token.count("/") + 1 > depth:
-                best, depth = token, token.count("/") + 1
-        return pd.DataFrame({"host": [key[0]], "slot": [best]})
-
-    return classes.join(sizes, "host").groupBy("host").applyInPandas(choose, "host string, slot string")
-
-
-def main_text(page: str | None, slot: str | None) -> str:
-    """Main text of one page, given the slot that its host's template has for it.
-
-    Marked regions - menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-    comments - are left out by element or by whole class, id or role, but never what holds
-    the largest article or, by a mark, most of the page's text.  A page with an article or
-    main element is read there; else in its host's slot, if the page has it; else whole.
+
+def main_region(page: Page, regions: list[int]) -> set[int]:
+    """The elements that hold the page's main text: the innermost of the template's regions
+    that has text, or the whole page.
+
+    Where that is inside an article or main element, or around one, that element is taken,
+    with those beside it of the same role; the largest, if there are several.
+    """
+    chars = [0] * len(page.names)
+    for k, text in page.blocks:
+        chars[k] += 0 if page.aside[k] else len(text)
+    for k in range(len(page.names) - 1, 0, -1):
+        chars[page.parents[k]] += chars[k]
+    place = {key: k for k, key in enumerate(page.keys)}
+    found = next((place[key] for key in reversed(regions) if key in place and chars[place[key]]), 0)
+    mains = [[k for k in range(len(page.names)) if page.names[k] == name and chars[k]] for name in MAIN]
+    mains = next((m for m in mains if m), [])
+    if not mains:
+        return {found}
+    here, outer, k = page.inside({found}), {0}, found
+    while k:
+        outer.add(k)
+        k = page.parents[k]
+    best = max(mains, key=lambda k: (k in outer, here[k], chars[k], -k))
+    if best not in outer and not here[best]:
+        return {found}
+    return {k for k in mains if page.parents[k] == page.parents[best] and page.roles[k] == page.roles[best]}
+
+
+def main_text(source: str | None, regions: list[int] | None) -> str:
+    """Main text of one page, given the regions that its host's template has around it.
+
+    Inside the region, what is marked as something else - menus, headers, footers, sidebars,
+    notices, adverts, forms, scripts, comments - is left out by element or by whole class,
+    id or role, but never what holds the largest article or, by a mark, most of the text.
     """
-    found, _ = blocks(page)
-    kept = [b for b in found if not b.aside]
-    for name in MAIN:
-        inside = [b for b in kept if any(r.split(".")[0] == name for r in b.path)]
-        if inside:
-            return " ".join(b.text for b in inside)
-    if slot:
-        inside = [b for b in kept if "/".join(b.path) == slot or "/".join(b.path).startswith(slot + "/")]
-        if inside:
-            kept = inside
-    return " ".join(b.text for b in kept)
+    page = parse(source)
+    if not page.blocks:
+        return ""
+    inside = page.inside(main_region(page, regions or []))
+    return " ".join(text for k, text in page.blocks if inside[k] and not page.aside[k])
+
+
+def slot_texts(source: str | None, regions: list[int] | None) -> dict[str, str]:
+    """All slots of one page: place of the element (names and numbers) to the text directly
+    in it; those of the main text are marked by a leading ``*``."""
+    page = parse(source)
+    inside = page.inside(main_region(page, regions or [])) if page.blocks else []
+    out: dict[str, str] = {}
+    for k, text in page.blocks:
+        names, at = [], k
+        while at:
+            twins = [j for j in range(1, at + 1) if page.parents[j] == page.parents[at] and page.roles[j] == page.roles[at]]
+            names.append(f"{page.roles[at]}#{len(twins)}")
+            at = page.parents[at]
+        place = "*" * (inside[k] and not page.aside[k]) + "/".join(reversed(names))
+        out[place] = f"{out[place]} {text}" if place in out else text
+    return out
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    Null and empty pages have the text ''.  A page without host is read without template.
+    Null and empty pages have the text ''.  A page that no template fits - it has no host,
+    or is the only one there - is read whole but for what is marked.
+    Repeated rows each have a result.  An empty table gives an empty result.
     The templates are one row a host: counted first, they are broadcast up to ``MAX_HOSTS``,
     so that pages do not move; beyond that both sides shuffle and AQE splits a host that
     holds many pages.
@@ -324,12 +456,11 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for sources, slots in batches:
-            yield pd.Series([main_text(h, s) for h, s in zip(sources, slots)], dtype=object)
+        for sources, regions in batches:
+            found = [main_text(h, None if r is None else list(map(int, r))) for h, r in zip(sources, regions)]
+            yield pd.Series(found, dtype=object)
 
-    text = keyed.join(templates, "host", "left").withColumn("text", read("html", "slot"))
+    text = keyed.join(templates, "host", "left").withColumn("text", read("html", "regions"))
     return text.select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
     )
-
-
