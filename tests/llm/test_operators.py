@@ -334,7 +334,21 @@ def brute_repeats(texts, width):
     return out
 
 
-@pytest.mark.parametrize("width, bucket", [(400, 256), (200, 3)])
+def test_long_texts_are_scanned_block_by_block(monkeypatch):
+    data = np.frombuffer(words(random.Random(1), 900).encode(), np.uint8)
+
+    def anchors():
+        first, last, place, anchor, _ = suffix_dedup.segments(data, 200)
+        return [(i, f + p, a) for f, e, p, a in zip(first, last, place, anchor) for i in range(f, e + 1)]
+
+    whole = anchors()
+    assert [i for i, _, _ in whole] == list(range(len(data) - 199))
+    for starts in (1, 64, 500):
+        monkeypatch.setattr(suffix_dedup, "SCAN_STARTS", starts)
+        assert anchors() == whole
+
+
+@pytest.mark.parametrize("width, bucket", [(400, 256), (200, 3), (200, 12), (200, 0)])
 def test_repeats(spark, monkeypatch, width, bucket):
     monkeypatch.setattr(suffix_dedup, "BUCKET_SEGMENTS", bucket)
     rng = random.Random(9)
@@ -356,6 +370,18 @@ def test_repeats(spark, monkeypatch, width, bucket):
     assert suffix_dedup.remove_documents(df.limit(0)).count() == 0
 
 
+def test_repeats_with_odd_ids_and_columns(spark):
+    rng = random.Random(3)
+    a, b = words(rng, 150), words(rng, 150)
+    rows = [("x", a), ("x", a), (None, b), (None, b), (None, None), ("y", "é" + b), ("z", words(rng, 200))]
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "doc_id string, text string, k1 int, k2 int, first int, ranges int")
+    got = suffix_dedup.remove_documents(df).collect()
+    told = brute_repeats([r[1] for r in rows], 400)
+    assert sorted((r.doc_id or "", r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(
+        (r[0] or "", *t) for r, t in zip(rows, told)
+    )
+
+
 def test_the_cover_reaches_every_pair():
     cover = set(suffix_dedup.difference_cover(100).tolist())
     for d in range(100):
@@ -428,9 +454,20 @@ def padded(text):
     return b" " * ppm.ORDER + b" ".join([*ppm.tokens(text), b""])
 
 
-@pytest.mark.parametrize("slice_tokens, share", [(1 << 20, 4096), (50, 2)])
-def test_scores_are_those_of_plain_partial_matching(spark, monkeypatch, slice_tokens, share):
-    monkeypatch.setattr(ppm, "_SLICE_TOKENS", slice_tokens)
+def test_slices_have_the_positions_of_the_whole(monkeypatch):
+    rng = random.Random(5)
+    flat = [w for n in (1, 0, 30, 2, 50) for w in ppm.tokens(words(rng, n))]
+    grams, ends = ppm.positions(flat)
+    for size in (1, 2, 7, 1000):
+        monkeypatch.setattr(ppm, "_SLICE_TOKENS", size)
+        parts = list(ppm._sliced(flat))
+        assert np.array_equal(np.concatenate([g for g, _ in parts]), grams)
+        before = np.cumsum([0] + [len(g) for g, _ in parts])
+        assert np.array_equal(np.concatenate([e + b for (_, e), b in zip(parts, before)]), ends)
+
+
+@pytest.mark.parametrize("share", [4096, 2])
+def test_scores_are_those_of_plain_partial_matching(spark, share):
     rng = random.Random(6)
     texts = [None, "", " ", *(words(rng, rng.randint(1, 60)) for _ in range(60)), "zq\u4e16\u754c qqz~1 ~2", words(rng, 900)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)

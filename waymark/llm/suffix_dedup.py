@@ -32,6 +32,9 @@ BLOCK_BYTES = 4 << 20
 BUCKET_SEGMENTS = 256
 #: Suffixes to a piece of a split bucket.
 PIECE = 16
+#: Starts of a text that are looked at together; longer texts are taken block by block.
+SCAN_STARTS = 1 << 22
+#: Bits of a key that hold a place in such a block.
 _PLACE = np.uint64(28)
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -68,11 +71,20 @@ def difference_cover(period: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, ...]:
-    """(first, last, offset, anchor, print) of the maximal runs of starts with one anchor.
+    """(first, last, offset, anchor, print) of the runs of starts with one anchor.
 
     ``offset`` is the anchor's place behind ``first``; ``print`` is a hash of the bytes
-    from ``first`` to the end of the last window, and of offset and run length.
+    from ``first`` to the end of the last window, and of offset and run length.  A run
+    ends at the latest with a block of ``SCAN_STARTS`` starts.
     """
+    blocks = []
+    for start in range(0, max(1, len(data) - width + 1), SCAN_STARTS):
+        first, last, *rest = _block_segments(data[start : start + SCAN_STARTS + width - 1], width)
+        blocks.append((first + start, last + start, *rest))
+    return blocks[0] if len(blocks) == 1 else tuple(map(np.concatenate, zip(*blocks)))
+
+
+def _block_segments(data: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     n = len(data)
     if n < width:
         none = np.empty(0, dtype=np.int64)
@@ -276,7 +288,7 @@ def _sort_blocks(width: int, block_bytes: int):
 
 def _pieces(width: int):
     """A split bucket's pieces: a hash of what all their windows share, a hash of the whole
-    piece, and the hashes of the windows themselves."""
+    piece, and its bytes with the anchor's place among them."""
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -289,53 +301,78 @@ def _pieces(width: int):
                 # pieces are counted from the anchor, so that equal windows share a piece
                 distance = place - np.arange(len(data) - width + 1)
                 edges = np.flatnonzero(np.diff(distance // PIECE)) + 1
-                windows = strings.hashes(np.arange(len(distance)), width).view(np.int64)
                 for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(distance)]):
                     low = place - int(distance[a]) // PIECE * PIECE
                     core = strings.hashes(np.array([low]), width - PIECE + 1).view(np.int64)
                     whole = strings.hashes(np.array([a]), b - a - 1 + width)
                     whole = mix(whole ^ np.uint64(distance[a])).view(np.int64)
-                    rows = first + a, first + b - 1, windows[a:b].tobytes()
-                    out.append((k1, k2, int(core[0]), int(whole[0]), *rows))
-            yield pd.DataFrame(out, columns=["k1", "k2", "core", "print", "first", "last", "windows"])
+                    piece = data[a : b - 1 + width].tobytes()
+                    out.append((k1, k2, int(core[0]), int(whole[0]), first + a, first + b - 1, place - a, piece))
+            yield pd.DataFrame(out, columns=["k1", "k2", "core", "print", "first", "last", "place", "part"])
 
     return split
 
 
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        hashes = [np.frombuffer(w, dtype=np.int64) for w in batch["windows"]]
-        times = [len(h) for h in hashes]
-        starts = [f + np.arange(n) for f, n in zip(batch["first"], times)]
-        yield pd.DataFrame(
-            {
-                "k1": np.repeat(batch["k1"].to_numpy(), times),
-                "k2": np.repeat(batch["k2"].to_numpy(), times),
-                "window": np.concatenate(hashes) if hashes else np.empty(0, np.int64),
-                "first": np.concatenate(starts) if starts else np.empty(0, np.int64),
-            }
-        )
+def _windows(width: int):
+    """Hashes of the single windows of pieces."""
+
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k1, k2, first, part in zip(batch["k1"], batch["k2"], batch["first"], batch["part"]):
+                data = np.frombuffer(part, dtype=np.uint8)
+                starts = np.arange(len(data) - width + 1)
+                hashes = Strings(data).hashes(starts, width).view(np.int64)
+                yield pd.DataFrame({"k1": k1, "k2": k2, "window": hashes, "first": first + starts})
+
+    return windows
 
 
 def _split_buckets(hot: DataFrame, width: int) -> DataFrame:
-    """Repeated starts of buckets with very many different segments, without sorting one in
-    one task: equal pieces are counted, and only where different pieces share their core
-    are single windows counted."""
+    """Repeated starts of buckets with very many different segments, which no task could
+    sort whole.  They are split into finer buckets of pieces that share a longer string, and
+    these are sorted; where even such a bucket has very many different pieces, windows are
+    counted one by one."""
     pieces = materialize(
-        hot.mapInPandas(_pieces(width), f"{_KEY}, core long, print long, first int, last int, windows binary"),
+        hot.mapInPandas(
+            _pieces(width), f"{_KEY}, core long, print long, first int, last int, place int, part binary"
+        ),
         "pieces",
     )
     kinds = materialize(
-        pieces.groupBy("core", "print").agg(F.count(F.lit(1)).alias("n")), "piece-kinds"
+        pieces.groupBy("core", "print").agg(
+            F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "first", "place", "part")]
+        ),
+        "piece-kinds",
+    )
+    equal = pieces.drop("part").join(kinds.where("n > 1").select("core", "print"), ["core", "print"])
+    mixed = materialize(
+        kinds.groupBy("core").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "piece-buckets"
+    )
+    rest = kinds.join(mixed, "core").withColumn("anchor", F.col("core"))
+    single = materialize(
+        rest.where(F.col("m") > BUCKET_SEGMENTS)
+        .select("k1", "k2", "first", "part")
+        .mapInPandas(_windows(width), f"{_KEY}, window long, first int"),
+        "windows",
+    )
+    twice = materialize(
+        single.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window"), "twice"
+    )
+    return (
+        equal.select("k1", "k2", "first", "last")
+        .unionByName(_sorted(rest.where(F.col("m") <= BUCKET_SEGMENTS), width))
+        .unionByName(single.join(twice, "window").selectExpr("k1", "k2", "first", "first as last"))
+    )
+
+
+def _sorted(parts: DataFrame, width: int) -> DataFrame:
+    """Ranges of repeated starts, bucket by bucket through the sort of suffixes."""
+    return (
+        parts.select("k1", "k2", "anchor", "first", "place", "part")
+        .repartition("anchor")
+        .sortWithinPartitions("anchor")
+        .mapInPandas(_sort_blocks(width, BLOCK_BYTES), _RANGES)
     )
-    equal = pieces.join(kinds.where("n > 1").select("core", "print"), ["core", "print"])
-    mixed = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("core")
-    one_of_each = pieces.join(mixed, "core").dropDuplicates(["core", "print"])
-    rest = one_of_each.mapInPandas(_windows, f"{_KEY}, window long, first int")
-    rest = materialize(rest, "windows")
-    twice = rest.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
-    single = rest.join(twice, "window").selectExpr("k1", "k2", "first", "first as last")
-    return equal.select("k1", "k2", "first", "last").unionByName(single)
 
 
 def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -348,7 +385,10 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     found = materialize(docs.mapInPandas(_scan(width), _SEGMENTS), "segments")
     own = found.where("anchor is null").select("k1", "k2", "first", "last")
     found = found.where("anchor is not null")
-    often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # counts are written before they are joined, so that AQE can split a frequent anchor
+    often = materialize(
+        found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors"
+    )
     shared = materialize(found.join(often, "anchor"), "shared-segments")
     kinds = materialize(
         shared.groupBy("anchor", "print").agg(
@@ -358,9 +398,11 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         "segment-kinds",
     )
     equal = shared.join(kinds.where("n > 1").select("anchor", "print"), ["anchor", "print"])
-    mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    mixed = materialize(
+        kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "anchor-kinds"
+    )
     wanted = (
-        kinds.join(mixed, "anchor")
+        kinds.select("k1", "k2", "anchor", "first", "last", "place").join(mixed, "anchor")
         .withColumn("hot", F.col("m") > BUCKET_SEGMENTS)
         .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct("anchor", "first", "last", "place", "hot")).alias("wanted"))
@@ -371,15 +413,9 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         ),
         "segment-bytes",
     )
-    sorted_blocks = (
-        parts.where("not hot")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor")
-        .mapInPandas(_sort_blocks(width, BLOCK_BYTES), _RANGES)
-    )
     return (
         own.unionByName(equal.select("k1", "k2", "first", "last"))
-        .unionByName(sorted_blocks)
+        .unionByName(_sorted(parts.where("not hot"), width))
         .unionByName(_split_buckets(parts.where("hot"), width))
     )
 
@@ -400,12 +436,13 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     last, of ``width``-byte strings in its text's UTF-8 bytes that also start anywhere else.
 
     Null is an empty text; a text shorter than ``width`` has no such string; matches never
-    cross texts; repeated rows repeat each other.
+    cross texts; repeated rows repeat each other, and so do rows that share an id.  Ids may be
+    null and of any type.  An empty table gives an empty result.
     """
     keyed = docs.select(
         "doc_id",
         "text",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("k1"),
+        F.xxhash64("doc_id").alias("k1"),
         F.xxhash64("text").alias("k2"),
     )
     found = repeated_ranges(keyed.where(F.octet_length("text") >= width).select("k1", "k2", "text"), width)
