@@ -544,8 +544,8 @@ def test_mixture(spark, docs, empty):
 def test_windows_found(spark, empty):
     rng = random.Random(3)
     items = [(i, None if i == 0 else " ".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 4, 13, 15])))) for i in range(12)]
-    items.append((12, items[5][1]))
-    texts = [None, "", "A-b.c"] + [" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 120))) for _ in range(60)]
+    items += [(12, items[5][1]), (None, "n u l l"), (None, "")]
+    texts = [None, "", "A-b.c", "x n u L L y n u l", "n u l l", "n u l l"] + [" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 120))) for _ in range(60)]
     texts += [f"x {items[k][1]} y" for k in range(1, 12)]
     df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, n_hit int")
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -559,14 +559,17 @@ def test_windows_found(spark, empty):
                 for p in range(len(ws) - n + 1):
                     if ws[p : p + n] == w[a : a + n]:
                         hit |= set(range(p, p + n))
-                        found.add(str(item))
+                        if item is not None:
+                            found.add(str(item))
         r = got[i]
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == (len(ws), len(hit), len(found), decontaminate.digest(list(found)))
         assert r.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(ws))
-    small = decontaminate.find_hits(df, bench, block_words=10).collect()
-    assert {r.doc_id: [tuple(s) for s in r.hit_spans] for r in small} == {
-        r.doc_id: [tuple(s) for s in r.hit_spans] for r in decontaminate.find_hits(df, bench).collect()
-    }
+    small = decontaminate.find_hits(df, bench, block_words=25).collect()
+
+    def told(rows):
+        return {r.doc_id: (r.n_words, [tuple(s) for s in r.hit_spans], sorted(r.hit_items)) for r in rows}
+
+    assert len(small) == len(texts) and told(small) == told(decontaminate.find_hits(df, bench).collect())
     assert decontaminate.decontaminate_documents(empty, bench).count() == 0
     assert decontaminate.decontaminate_documents(df, bench.limit(0)).where("n_hit > 0").count() == 0
 

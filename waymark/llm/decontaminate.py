@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, SparkContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymark.llm.storage import materialize
+
 #: ASCII letters are lower-cased, digits and all bytes from 0x80 stay, the rest separates.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256)
 )
 WINDOW = 13
-#: Words of test items in one automaton; larger benchmarks take several passes.
-BLOCK_WORDS = 1_000_000
+#: Words of test items in one automaton; a larger benchmark takes a pass over the documents
+#: for each such block.
+BLOCK_WORDS = 250_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -31,10 +36,11 @@ class SuffixAutomaton:
     A window is ``window`` consecutive words of an item; an item of fewer words, but not
     none, is one window as a whole.  States hold transitions by word number, the suffix
     link and the longest length.  ``due[state]`` lists (length, items): the windows that
-    end where that state ends, found along the suffix links.
+    end where that state ends, found along the suffix links.  An item without id has
+    windows but is not named.
     """
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -58,7 +64,9 @@ class SuffixAutomaton:
                     at = state
                     while self.length[self.link[at]] >= size:
                         at = self.link[at]
-                    own.setdefault(at, {}).setdefault(size, set()).add(item)
+                    named = own.setdefault(at, {}).setdefault(size, set())
+                    if item is not None:
+                        named.add(item)
         self.due: list[tuple[tuple[int, frozenset[str]], ...]] = [()] * len(self.next)
         for state in sorted(range(len(self.next)), key=self.length.__getitem__):
             mine = tuple((n, frozenset(s)) for n, s in own.get(state, {}).items())
@@ -139,12 +147,12 @@ class SuffixAutomaton:
         return spans, found
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The stated query set, block by block; one block is in memory at a time."""
     block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
         ws = words(row[1])
-        if ws and row[0] is not None:
+        if ws:
             block.append((row[0], ws))
             size += len(ws)
         if size >= block_words:
@@ -154,50 +162,92 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str,
         yield block
 
 
-def find_hits(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
-) -> DataFrame:
-    """Add n_words, ``hit_spans`` (word ranges [start, end)) and ``hit_items`` to ``docs``.
-
-    The items are the stated query set: they are read in blocks of ``block_words`` words,
-    each block's automaton is broadcast and all documents stream past it, without a
-    shuffle.  Old columns of the added names are replaced.  A null or empty text has no
-    words and no hits; items without words or id have no windows; equal items all count.
-    """
-    sc = docs.sparkSession.sparkContext
-    models = [
-        sc.broadcast(SuffixAutomaton(block, window)) for block in _blocks(benchmark, block_words)
-    ]
-    schema = "n_words long, spans array<array<int>>, items array<string>"
+def _hits(automaton: SuffixAutomaton, texts: Column) -> tuple[Column, Broadcast]:
+    """Number of words, hit spans and items of each text for one block of items."""
+    shared = SparkContext.getOrCreate().broadcast(automaton)
 
-    @F.pandas_udf(schema)
+    @F.pandas_udf("n_words long, spans array<array<int>>, items array<string>")
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automata = [m.value for m in models]
         for batch in batches:
             out = []
             for text in batch:
                 ws = words(text)
-                spans, items = [], set()
-                for a in automata:
-                    s, i = a.scan(ws)
-                    spans = merged(spans + s) if spans else s
-                    items |= i
+                spans, items = shared.value.scan(ws)
                 out.append((len(ws), [list(x) for x in spans], sorted(items)))
             yield pd.DataFrame(out, columns=["n_words", "spans", "items"])
 
+    return hits(texts), shared
+
+
+def find_hits(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """Add n_words, ``hit_spans`` (word ranges [start, end)) and ``hit_items`` to ``docs``.
+
+    The items are the stated query set.  They are read in blocks of ``block_words`` words,
+    so that neither the driver nor a worker ever holds more than one block's automaton.
+    All blocks but the last pass over the documents one after the other and leave the hits
+    of the texts that have any, by a hash of the text; the last pass adds its own to these.
+    A benchmark of one block takes a single pass without a shuffle.
+
+    Old columns of the added names are replaced.  A null or empty text has no words and no
+    hits; items without words have no windows; windows of an item without id hit words but
+    name no item; equal items all count; repeated rows each have their hits.  An empty table
+    on either side gives rows without hits, or none.
+    """
     made = ("n_words", "hit_spans", "hit_items")
-    found = docs.select(
-        F.struct(*[c for c in docs.columns if c not in made]).alias("row"),
-        hits(F.col("text")).alias("hits"),
-    )
+    rows = docs.select(F.struct(*[c for c in docs.columns if c not in made]).alias("row"), "text")
+    before: list[DataFrame] = []
+    last: list = []
+    for block in _blocks(benchmark, block_words):
+        if last:
+            before.append(_one_block(rows, SuffixAutomaton(last, window)))
+        last = block
+    hits, _ = _hits(SuffixAutomaton(last, window), F.col("text"))
+    if not before:
+        found = rows.select("row", hits.alias("hits"))
+        spans, items = F.col("hits.spans"), F.col("hits.items")
+    else:
+        earlier = functools.reduce(DataFrame.unionByName, before).groupBy("code").agg(
+            F.flatten(F.collect_list("spans")).alias("old_spans"),
+            F.flatten(F.collect_list("items")).alias("old_items"),
+        )
+        found = (
+            rows.withColumn("code", F.xxhash64("text"))
+            .join(earlier, "code", "left")
+            .select("row", hits.alias("hits"), "old_spans", "old_items")
+        )
+        none = F.array()
+        spans = _merge(F.concat("hits.spans", F.coalesce("old_spans", none)))
+        items = F.array_distinct(F.concat("hits.items", F.coalesce("old_items", none)))
     return found.select(
         "row.*",
         F.col("hits.n_words").alias("n_words"),
-        F.col("hits.spans").alias("hit_spans"),
-        F.col("hits.items").alias("hit_items"),
+        spans.alias("hit_spans"),
+        items.alias("hit_items"),
     )
 
 
+def _one_block(rows: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
+    """(code, spans, items) of the different texts that one block of items hits."""
+    hits, shared = _hits(automaton, F.col("text"))
+    found = rows.select(F.xxhash64("text").alias("code"), hits.alias("hits")).where("size(hits.spans) > 0")
+    found = found.groupBy("code").agg(F.first("hits.spans").alias("spans"), F.first("hits.items").alias("items"))
+    found = materialize(found, "block-hits")
+    shared.destroy()
+    return found
+
+
+def _merge(spans: Column) -> Column:
+    """``merged`` of an array of ranges."""
+
+    @F.pandas_udf("array<array<int>>")
+    def merge(batch: pd.Series) -> pd.Series:
+        return pd.Series([[list(x) for x in merged([tuple(map(int, s)) for s in row])] for row in batch])
+
+    return merge(spans)
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Sorted, non-touching ranges with the same union."""
     out: list[tuple[int, int]] = []
