@@ -16,6 +16,9 @@ from waymark.llm.storage import materialize
 SYMBOLS = "#*$%&|<>"
 #: Labelled rows that a fit may use, taken in the order of a hash of doc_id.
 SAMPLE_ROWS = 20_000
+#: Rows that teach, to a labelled row on average, where several documents share an id; the
+#: first in the order of a hash of doc_id, label and statistics.
+MAX_ROWS_PER_LABEL = 2
 COUNTS = (
     "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_distinct n_upper "
     "n_letters n_digits n_exclaim n_stops"
@@ -218,7 +221,8 @@ def fit(
         statistics.where("n_words > 0")
         .join(F.broadcast(sample), "doc_id")
         .select("doc_id", "quality", *STATISTICS)
-        .limit(2 * sample_rows)
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *STATISTICS)
+        .limit(MAX_ROWS_PER_LABEL * sample_rows)
         .toPandas()
         .sort_values(["doc_id", "quality", *STATISTICS], kind="stable", ignore_index=True)
     )
