@@ -147,7 +147,23 @@ def small_enough(targets: DataFrame, most_rows: int = 20000) -> bool:
     return targets.limit(most_rows + 1).count() <= most_rows
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A row's own key: its id, or a hash of its text where it has none, so that rows
+    without id are spread like all others."""
+    nameless = F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    return F.coalesce(doc_id.cast("string"), nameless)
+
+
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken of every document."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return mix_sources(sized)
+    """doc_id, source, size, source_size, target, copies, taken of every document.
+
+    A null text has size 0 and is never taken; rows that share id and text are
+    interchangeable.  Words are counted once and kept as numbers.
+    """
+    sized = docs.select(
+        "doc_id",
+        "source",
+        word_count(F.col("text")).alias("size"),
+        row_key(F.col("doc_id"), F.col("text")).alias("key"),
+    )
+    return mix_sources(materialize(sized, "sizes"), key_col="key").drop("key")

@@ -87,7 +87,8 @@ SQL: dict[str, str] = {}
 SQL["op9_mixing"] = r"""
 WITH sized AS (
   SELECT doc_id, source,
-         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, ''))) AS own_key
   FROM documents
 ), totals AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
@@ -110,7 +111,7 @@ WITH sized AS (
 ), keyed AS (
   SELECT s.*, t.source_size, t.target,
          sum(size) OVER (PARTITION BY s.source
-           ORDER BY md5('mix:' || coalesce(s.doc_id::VARCHAR, 'null')), size
+           ORDER BY md5('mix:' || own_key), size
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), cut AS (
