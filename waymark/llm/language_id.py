@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -213,8 +214,9 @@ def fit(docs: DataFrame, parts: int = 5, sample_chars: int = SAMPLE_CHARS) -> Id
     Characters are totalled per language first, which gives each language the sampling
     rate that is expected to yield ``sample_chars``; documents are then taken whole by a
     hash of their id.  Nine tenths of the sample fit the models, one tenth calibrates
-    rejection.  Word counts are summed in Spark; only those of the bounded sample reach
-    the driver.  No language at all gives a model that answers ``und``.
+    rejection.  Word counts are summed in Spark and each language's model is fitted in a task;
+    sorted arrays, bounded by the sample of a language, reach the driver, for as many
+    languages as there are.  No language at all gives a model that answers ``und``.
     """
     usable = docs.where("text is not null and lang is not null").where(~held_out(F.col("doc_id"), parts))
     sizes = usable.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()
@@ -237,19 +239,25 @@ def fit(docs: DataFrame, parts: int = 5, sample_chars: int = SAMPLE_CHARS) -> Id
                 seen = Counter(w for t in texts for w in letter_runs(t))
                 yield pd.DataFrame({"lang": lang, "word": list(seen), "n": list(seen.values())})
 
-    counted = (
+    def learn(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("word", kind="stable")
+        model = fit_language(dict(zip(rows["word"], rows["n"])))
+        return pd.DataFrame({"lang": [key[0]], "model": [pickle.dumps(model)]})
+
+    learnt = (
         taken.where("not check")
         .select("lang", "text")
         .mapInPandas(count, "lang string, word string, n long")
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
-        .sort_values(["lang", "word"], kind="stable")
+        .groupBy("lang")
+        .applyInPandas(learn, "lang string, model binary")
+        .collect()
     )
-    by_lang = {k: dict(zip(g["word"], g["n"])) for k, g in counted.groupby("lang")}
-    names = [k for k in names if by_lang.get(k)]
+    models = {r["lang"]: pickle.loads(bytes(r["model"])) for r in learnt}
+    names = [k for k in names if k in models]
     n = len(names)
-    model = Identifier(names, [fit_language(by_lang[k]) for k in names], np.zeros(n), np.zeros(n))
+    model = Identifier(names, [models[k] for k in names], np.zeros(n), np.zeros(n))
     if not n:
         return model
     stats = (
