@@ -64,9 +64,10 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         "doc_id",
         "source",
         mixing.word_count(F.col("text")).alias("size"),
+        mixing.row_key(F.col("doc_id"), F.col("text")).alias("key"),
         F.struct(*docs.columns).alias("row"),
     )
-    mixed = mixing.mix_sources(sized).where("copies > 0")
+    mixed = mixing.mix_sources(sized, key_col="key").where("copies > 0")
     rows = mixed.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
     return rows.select("row.*")
 
