@@ -454,6 +454,15 @@ def padded(text):
     return b" " * ppm.ORDER + b" ".join([*ppm.tokens(text), b""])
 
 
+def test_packets_are_read_back():
+    rng = np.random.default_rng(3)
+    for kind in (np.uint32, np.uint64):
+        for values in (rng.integers(0, 1 << 31, 500).astype(kind), np.empty(0, kind), np.array([np.iinfo(kind).max, 0], kind)):
+            assert np.array_equal(ppm.unpack(ppm.pack(values), kind), values)
+    grams = rng.integers(0, 1 << 48, 500, dtype=np.uint64)
+    assert np.array_equal(ppm.to_grams(ppm.to_codes(grams)), grams)
+
+
 def test_slices_have_the_positions_of_the_whole(monkeypatch):
     rng = random.Random(5)
     flat = [w for n in (1, 0, 30, 2, 50) for w in ppm.tokens(words(rng, n))]

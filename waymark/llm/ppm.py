@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.language_id import held_out
@@ -29,6 +29,8 @@ _SLICE_TOKENS = 1 << 20
 _REACH = ORDER // 2 + 1
 #: Chunks whose packets of one bucket meet in one group.
 GROUP_CHUNKS = 4096
+#: Groups of one bucket whose sums are added up at a time.
+MERGE_SHARES = 64
 #: Bits of the number of buckets, at most.
 MAX_BITS = 12
 #: Share of one occurrence that each kind of symbol in a context leaves to the escape.
@@ -195,16 +197,48 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
+_UPPER = np.uint64(8 * (ORDER - LOW_ORDER - 1))
+_BYTE = np.uint64(8)
+
+
+def to_codes(grams: np.ndarray) -> np.ndarray:
+    """Grams with the last bytes of their contexts, one more than ``LOW_ORDER``, in front."""
+    last = (grams >> _BYTE) & np.uint64((1 << 8 * (LOW_ORDER + 1)) - 1)
+    upper = grams >> np.uint64(8 * (LOW_ORDER + 2))
+    return last << (_UPPER + _BYTE) | upper << _BYTE | grams & np.uint64(255)
+
+
+def to_grams(codes: np.ndarray) -> np.ndarray:
+    last = codes >> (_UPPER + _BYTE)
+    upper = (codes >> _BYTE) & np.uint64((1 << int(_UPPER)) - 1)
+    return upper << np.uint64(8 * (LOW_ORDER + 2)) | last << _BYTE | codes & np.uint64(255)
+
+
 def by_context(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of distinct grams, ascending, and the order that sorts the grams so.
+    """Buckets of distinct grams, ascending, and the order that sorts the grams so, and by
+    their codes in a bucket.
 
     Grams whose contexts end in the same bytes, one more than ``LOW_ORDER``, share a bucket,
     so it has every longer context of its grams whole.
     """
-    last = (grams >> np.uint64(8)) & np.uint64((1 << 8 * (LOW_ORDER + 1)) - 1)
-    buckets = mix(last) >> np.uint64(64 - bits)
+    codes = to_codes(grams)
+    first = np.argsort(codes)
+    buckets = mix(codes[first] >> (_UPPER + _BYTE)) >> np.uint64(64 - bits)
     order = np.argsort(buckets, kind="stable")
-    return buckets[order], order
+    return buckets[order], first[order]
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Steps from number to number, byte by byte of all of them: what ascends slowly, or
+    is alike, then compresses well."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    return steps.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def unpack(data: bytes, kind: type = np.uint64) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    steps = np.frombuffer(data, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+    return np.cumsum(steps, dtype=kind)
 
 
 def _slices(buckets: np.ndarray):
@@ -236,76 +270,92 @@ def _gather(bits: int):
         order = np.argsort(found)
         found, times = found[order], times[order]
         out = [
-            (key[0], _TOKENS, b, found[s].tobytes(), times[s].astype(np.int64).tobytes())
+            (key[0], _TOKENS, b, pack(found[s]), pack(times[s].astype(np.uint64)))
             for b, s in _slices(found >> np.uint64(64 - bits))
         ]
         grams, times = count_grams(learn)
         more = np.setdiff1d(count_grams(other)[0], grams, assume_unique=True)
-        grams = np.concatenate((grams, more))
-        order = np.argsort(grams)
-        grams, times = grams[order], np.concatenate((times, np.zeros(len(more), np.int64)))[order]
+        grams, times = np.concatenate((grams, more)), np.concatenate((times, np.zeros(len(more), np.int64)))
         buckets, order = by_context(grams, bits)
-        grams, times = grams[order], times[order]
-        out += [
-            (key[0], _GRAMS, b, grams[s].tobytes(), times[s].astype(np.int64).tobytes())
-            for b, s in _slices(buckets)
-        ]
+        codes, times = to_codes(grams[order]), times[order].astype(np.uint64)
+        out += [(key[0], _GRAMS, b, pack(codes[s]), pack(times[s])) for b, s in _slices(buckets)]
         return pd.DataFrame(out, columns=["chunk", "kind", "bucket", "keys", "counts"])
 
     return gather
 
 
-_GROUPS = "kind int, bucket long, keys binary, counts binary, chunks binary, sizes binary, at binary"
+_SUMS = "kind int, bucket long, share long, keys binary, counts binary"
+_GROUPS = f"{_SUMS}, chunks binary, sizes binary, at binary"
 
 
 def _meet(key, rows: pd.DataFrame) -> pd.DataFrame:
     """One bucket of some chunks: its distinct keys with their sums, and where each chunk's
     keys stand among them."""
-    keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
-    flat = np.concatenate(keys)
-    distinct, where = np.unique(flat, return_inverse=True)
-    counts = np.concatenate([np.frombuffer(c, np.int64) for c in rows["counts"]])
-    total = np.bincount(where, weights=counts, minlength=len(distinct)).astype(np.int64)
+    keys = [unpack(k) for k in rows["keys"]]
+    distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
+    counts = np.concatenate([unpack(c) for c in rows["counts"]])
+    total = np.bincount(where, weights=counts, minlength=len(distinct)).astype(np.uint64)
     sizes = np.fromiter(map(len, keys), np.int64, len(keys))
-    parts = (distinct, total, rows["chunk"].to_numpy(np.int64), sizes, where.astype(np.uint32))
-    columns = _GROUPS.replace(" binary", "").replace(" int", "").replace(" long", "").split(", ")
-    return pd.DataFrame([(key[0], key[1], *(p.tobytes() for p in parts))], columns=columns)
+    parts = (rows["chunk"].to_numpy(np.int64).tobytes(), sizes.tobytes(), pack(where.astype(np.uint32)))
+    columns = ["kind", "bucket", "share", "keys", "counts", "chunks", "sizes", "at"]
+    return pd.DataFrame([(*key, pack(distinct), pack(total), *parts)], columns=columns)
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for kind, bucket, keys, counts in zip(batch["kind"], batch["bucket"], batch["keys"], batch["counts"]):
-            n = np.frombuffer(counts, np.int64)
-            yield pd.DataFrame({"kind": kind, "bucket": bucket, "key": np.frombuffer(keys, np.int64), "n": n})
+def _add(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """The sums of one bucket over some shares."""
+    keys, counts = (np.concatenate([unpack(x) for x in rows[c]]) for c in ("keys", "counts"))
+    keys, counts = summed(keys, counts)
+    return pd.DataFrame([(*key, pack(keys), pack(counts))], columns=["kind", "bucket", "share", "keys", "counts"])
+
+
+def _bucket_sums(groups: DataFrame, shares: int) -> DataFrame:
+    """(kind, bucket, keys, counts): all shares of a bucket added up, some at a time, so that
+    no group is larger than so many times the bucket."""
+    sums = groups.select("kind", "bucket", "share", "keys", "counts")
+    while True:
+        shares = -(-shares // MERGE_SHARES)
+        merged = F.floor(F.col("share") / MERGE_SHARES).alias("share")
+        sums = sums.groupBy("kind", "bucket", merged).applyInPandas(_add, _SUMS)
+        if shares <= 1:
+            return materialize(sums.drop("share"), "gram-sums")
 
 
 def _return(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each chunk's values in its own order, from a group and its bucket's values."""
     for batch in batches:
         for row in batch.itertuples(index=False):
-            known = np.frombuffer(row.known, np.uint64)
             value = np.frombuffer(row.value, np.float32 if row.kind == _GRAMS else np.int64)
-            value = value[np.searchsorted(known, np.frombuffer(row.keys, np.uint64))]
-            value = value[np.frombuffer(row.at, np.uint32)]
+            value = value[np.searchsorted(unpack(row.known), unpack(row.keys))]
+            value = value[unpack(row.at, np.uint32)]
             ends = np.cumsum(np.frombuffer(row.sizes, np.int64))
             packets = [part.tobytes() for part in np.split(value, ends[:-1])]
             chunks = np.frombuffer(row.chunks, np.int64)
             yield pd.DataFrame({"chunk": chunks, "kind": row.kind, "bucket": row.bucket, "packet": packets})
 
 
-def _byte_model(keys: np.ndarray, counts: np.ndarray, base: ByteModel) -> np.ndarray:
-    """log10 probability of a bucket's grams, ascending, after the counts of all documents."""
+def _byte_model(grams: np.ndarray, counts: np.ndarray, base: ByteModel) -> np.ndarray:
+    """log10 probability of a bucket's grams after the counts of all documents."""
     known = counts > 0
-    model = ByteModel.fit(keys[known], counts[known].astype(float), base=base)
-    return model.score(keys).astype(np.float32)
+    model = ByteModel.fit(grams[known], counts[known].astype(float), base=base)
+    return model.score(grams).astype(np.float32)
 
 
-def _low_levels(totals: DataFrame) -> ByteModel:
+def _low_levels(sums: DataFrame) -> ByteModel:
     """The levels up to ``LOW_ORDER`` over all documents to learn from."""
-    short = F.col("key").bitwiseAND(F.lit((1 << 8 * (LOW_ORDER + 1)) - 1)).alias("gram")
+
+    def shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for keys, counts in zip(batch["keys"], batch["counts"]):
+                short = to_grams(unpack(keys)) & np.uint64((1 << 8 * (LOW_ORDER + 1)) - 1)
+                grams, n = summed(short, unpack(counts))
+                yield pd.DataFrame({"gram": grams.astype(np.int64), "n": n.astype(np.int64)})
+
     rows = (
-        totals.where(f"kind = {_GRAMS} and n > 0")
-        .groupBy(short)
+        sums.where(f"kind = {_GRAMS}")
+        .select("keys", "counts")
+        .mapInPandas(shorten, "gram long, n long")
+        .where("n > 0")
+        .groupBy("gram")
         .agg(F.sum("n").alias("n"))
         .toPandas()
         .sort_values("gram")
@@ -313,6 +363,17 @@ def _low_levels(totals: DataFrame) -> ByteModel:
     return ByteModel.fit(rows["gram"].to_numpy().astype(np.uint64), rows["n"].to_numpy(float), LOW_ORDER)
 
 
+def _totals(counts: str) -> Column:
+    """struct(n, v): the sum of packed counts, and how many are not 0."""
+
+    @F.pandas_udf("n long, v long")
+    def total(batch: pd.Series) -> pd.DataFrame:
+        found = [unpack(c) for c in batch]
+        return pd.DataFrame({"n": [int(c.sum()) for c in found], "v": [int((c > 0).sum()) for c in found]})
+
+    return total(counts)
+
+
 def _price(
     words: list[bytes], bits: int, returned: dict[tuple[int, int], bytes]
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -349,7 +410,7 @@ def score_documents(
        last bytes of their contexts, so that a bucket has its longer contexts whole.
     2. Packets of one bucket meet in groups of ``group_chunks`` chunks, which leave their
        distinct keys, their sums, and each chunk's places among these keys.
-    3. Sums are added up over groups key by key.  The levels up to ``LOW_ORDER``, bounded by
+    3. Sums are added up over groups.  The levels up to ``LOW_ORDER``, bounded by
        the number of byte values, are broadcast; each bucket fits the longer levels and
        prices its grams.
     4. Groups meet their bucket's prices, send them back to the chunks, and documents are
@@ -374,31 +435,26 @@ def score_documents(
     )
     packets = dealt.groupBy("chunk").applyInPandas(_gather(bits), _PACKETS)
     share = F.floor(F.col("chunk") / group_chunks).alias("share")
-    groups = materialize(packets.groupBy("kind", "bucket", share).applyInPandas(_meet, _GROUPS), "gram-groups")
-    totals = materialize(
-        groups.select("kind", "bucket", "keys", "counts")
-        .mapInPandas(_unpack, "kind int, bucket long, key long, n long")
-        .groupBy("kind", "bucket", "key")
-        .agg(F.sum("n").alias("n")),
-        "gram-totals",
+    groups = materialize(
+        packets.groupBy("kind", "bucket", share).applyInPandas(_meet, _GROUPS), "gram-groups"
     )
-    n, v = totals.where(f"kind = {_TOKENS} and n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
-    n = n or 0
+    sums = _bucket_sums(groups, -(-n_chunks // group_chunks))
+    n, v = sums.where(f"kind = {_TOKENS}").select(_totals("counts").alias("t")).agg(F.sum("t.n"), F.sum("t.v")).first()
+    n, v = n or 0, v or 0
     rest = math.log10(n + 0.1 * (v + 1))
-    low = spark.sparkContext.broadcast(_low_levels(totals))
-
-    def value(key, rows: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = rows["key"].to_numpy().view(np.uint64), rows["n"].to_numpy(np.int64)
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        out = _byte_model(keys, counts, low.value) if key[0] == _GRAMS else counts
-        columns = ["kind", "bucket", "known", "value"]
-        return pd.DataFrame([(key[0], key[1], keys.tobytes(), out.tobytes())], columns=columns)
-
-    values = totals.groupBy("kind", "bucket").applyInPandas(
-        value, "kind int, bucket long, known binary, value binary"
-    )
-    returned = groups.drop("counts").join(values, ["kind", "bucket"]).mapInPandas(
+    low = spark.sparkContext.broadcast(_low_levels(sums))
+
+    def value(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for kind, bucket, known, counts in zip(batch["kind"], batch["bucket"], batch["keys"], batch["counts"]):
+                found = unpack(counts).astype(np.int64)
+                if kind == _GRAMS:
+                    found = _byte_model(to_grams(unpack(known)), found, low.value)
+                row = (kind, bucket, known, found.tobytes())
+                yield pd.DataFrame([row], columns=["kind", "bucket", "known", "value"])
+
+    values = sums.mapInPandas(value, "kind int, bucket long, known binary, value binary")
+    returned = groups.drop("counts", "share").join(values, ["kind", "bucket"]).mapInPandas(
         _return, "chunk long, kind int, bucket long, packet binary"
     )
 
