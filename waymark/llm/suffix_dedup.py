@@ -34,6 +34,8 @@ BUCKET_SEGMENTS = 256
 PIECE = 16
 #: Starts of a text that are looked at together; longer texts are taken block by block.
 SCAN_STARTS = 1 << 22
+#: Rows with bytes that a task hands on at a time.
+OUT_ROWS = 4096
 #: Bits of a key that hold a place in such a block.
 _PLACE = np.uint64(28)
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -226,6 +228,8 @@ def _scan(width: int):
 def _cut(width: int):
     """The bytes of the wanted segments of each text."""
 
+    columns = ["k1", "k2", "anchor", "first", "place", "hot", "part"]
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -234,7 +238,10 @@ def _cut(width: int):
                 for w in wanted:
                     part = data[w["first"] : w["last"] + width].tobytes()
                     out.append((k1, k2, w["anchor"], w["first"], w["place"], w["hot"], part))
-            yield pd.DataFrame(out, columns=["k1", "k2", "anchor", "first", "place", "hot", "part"])
+                if len(out) >= OUT_ROWS:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            yield pd.DataFrame(out, columns=columns)
 
     return cut
 
@@ -290,6 +297,8 @@ def _pieces(width: int):
     """A split bucket's pieces: a hash of what all their windows share, a hash of the whole
     piece, and its bytes with the anchor's place among them."""
 
+    columns = ["k1", "k2", "core", "print", "first", "last", "place", "part"]
+
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -308,7 +317,10 @@ def _pieces(width: int):
                     whole = mix(whole ^ np.uint64(distance[a])).view(np.int64)
                     piece = data[a : b - 1 + width].tobytes()
                     out.append((k1, k2, int(core[0]), int(whole[0]), first + a, first + b - 1, place - a, piece))
-            yield pd.DataFrame(out, columns=["k1", "k2", "core", "print", "first", "last", "place", "part"])
+                if len(out) >= OUT_ROWS:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            yield pd.DataFrame(out, columns=columns)
 
     return split
 
