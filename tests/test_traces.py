@@ -2,10 +2,13 @@
 
 import json
 import sys
+from collections import Counter
 
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from waymark.functions.actions import action_phrase
+from waymark.functions.boxes import format_annotated_objects
 from waymark.functions.fixed_texts import STEPS
 from waymark.operators import chain, documents, spatial, traces
 from waymark.plans import harness as H
@@ -15,45 +18,76 @@ from waymark.streaming import answers
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors cannot import tests
 
 
-def answer(prompt, attempt, frame):
+def answer(prompt, notes, attempt, frame):
     """A good answer at the second attempt; none for every fifth frame."""
     if frame["frame"] % 5 == 0:
         return ("ok", "{}") if frame["frame"] % 2 else ("transport_error", "")
     if attempt == 1:
         return "ok", "no json"
-    seen = chain.objects_text(frame["objects"]) if frame["objects"] else "not visible"
-    said = chain.phrase(frame["action"])
-    return "ok", json.dumps(dict(zip(STEPS, ["on", seen, said, f"{said} at {frame['frame']}"])))
+    assert notes and notes[0][0] == "no json" and "json" in notes[0][1]
+    return "ok", json.dumps(dict(zip(STEPS, ["on", frame["seen"], frame["said"], f"{frame['said']} at {frame['frame']}"])))
 
 
-def test_live_equals_replay(spark, sf_dir):
-    eligible = traces.eligible_frames(H.frames(spark, sf_dir), H.truth(spark, sf_dir)).cache()
-    live = chain.generate_chain(eligible, answer)
+def first_turns(spark, sf_dir, n):
+    rows = traces.eligible_frames(H.frames(spark, sf_dir), H.truth(spark, sf_dir)).where(f"frame_pos <= {n}")
+    seen = F.when(F.size("objects") > 0, format_annotated_objects(F.col("objects"))).otherwise("not visible")
+    return rows.withColumns({"seen": seen, "said": action_phrase(F.col("action"))}).cache()
+
+
+def recorded(spark, eligible, responder, attempts=3):
     told = []
     for r in eligible.collect():
-        f = r.asDict(recursive=True)
-        told += [(0, r.task_idx, r.frame_pos, k, *answer("", k, f)) for k in (1, 2, 3)]
-    responses = spark.createDataFrame(told, "src_idx int, task_idx long, frame_pos int, attempt int, status string, content string")
-    replayed = traces.with_prompt(
-        traces.memory_chain(eligible, traces.choose_outcome(traces.validate_responses(eligible, responses)))
-    )
-    cols = ["task_idx", "frame_pos", "outcome", "memory", "history_source_frame", "anchor", "prompt"]
-    a, b = (sorted(map(repr, df.select(*cols).collect())) for df in (live, replayed))
-    assert a == b
-    again = sorted(map(repr, chain.replay(eligible, responses).select(*cols).collect()))
-    assert again == a
+        notes = []
+        for k in range(1, attempts + 1):
+            status, content = responder("", notes, k, r.asDict(recursive=True))
+            told.append((r.src_idx, r.task_idx, r.frame_pos, k, status, content))
+            notes = notes + [(content, "json")]
+    schema = "src_idx int, task_idx long, frame_pos int, attempt int, status string, content string"
+    return spark.createDataFrame(told, schema)
+
+
+COLS = ["task_idx", "frame_pos", "outcome", "memory", "history_source_frame", "anchor", "prompt", "answer"]
+
+
+def shown(df):
+    return sorted(map(repr, df.select(*COLS).collect()))
+
+
+def test_live_equals_replay(spark, sf_dir):
+    eligible = first_turns(spark, sf_dir, 3)
+    responses = recorded(spark, eligible, answer)
+    for policy in chain.POLICIES:
+        live = shown(chain.generate_chain(eligible, answer, policy))
+        assert live == shown(chain.replay(eligible, responses, policy)) and len(live) == eligible.count()
+        assert sum("outcome='trace'" in r for r in live) > len(live) / 2
+    assert chain.generate_chain(eligible.limit(0), answer).count() == 0
 
 
 def test_template_policy(spark, sf_dir):
-    eligible = traces.eligible_frames(H.frames(spark, sf_dir), H.truth(spark, sf_dir), [1, 2])
-    rows = chain.generate_chain(eligible, lambda p, k, f: ("ok", ""), "template").collect()
+    eligible = first_turns(spark, sf_dir, 2)
+    rows = chain.generate_chain(eligible, lambda p, n, k, f: ("ok", ""), "template").collect()
     assert {r.outcome for r in rows} <= {"template", "invalid"}
     assert any(r.outcome == "template" and "Task Progress" in r.answer for r in rows)
-    failed = chain.generate_chain(eligible, lambda p, k, f: ("transport_error", ""), "template").collect()
+    failed = chain.generate_chain(eligible, lambda p, n, k, f: ("transport_error", ""), "template").collect()
     assert {r.outcome for r in failed} == {"failed"}
     assert all(r.answer is None and r.anchor for r in failed)
 
 
+def test_template_answers_that_hang_on_the_memory_before(spark, sf_dir):
+    """Labels and sub-tasks of all lengths, so that a memory may be too long to be told."""
+    eligible = first_turns(spark, sf_dir, 4)
+    size = F.pmod(F.xxhash64("task_idx", "frame_pos"), F.lit(260)).cast("int")
+    wide = F.transform("objects", lambda o: o.withField("label", F.concat(F.repeat(F.lit("l"), size), F.lit("o"))))
+    eligible = eligible.withColumn("objects", F.when(F.pmod(F.hash("frame_pos", "task_idx"), F.lit(3)) > 0, F.slice(wide, 1, 1)).otherwise(F.slice("objects", 1, 0)))
+    long_task = F.concat(F.col("subtask"), F.repeat(F.lit("s"), F.pmod(F.xxhash64("frame_pos", "task_idx"), F.lit(180)).cast("int")))
+    eligible = eligible.withColumn("subtask", long_task).cache()
+    bad = lambda p, n, k, f: ("ok", "no") if (f["frame"] + f["task_idx"]) % 9 else ("transport_error", "")
+    live = shown(chain.generate_chain(eligible, bad, "template", 1))
+    assert live == shown(chain.replay(eligible, recorded(spark, eligible, bad, 1), "template", 1))
+    kinds = Counter(r.split("outcome='")[1].split("'")[0] for r in live)
+    assert min(kinds["template"], kinds["invalid"]) > 10 and kinds["failed"]
+
+
 def test_chat_lines_and_pages(spark, sf_dir, tmp_path):
     eligible = traces.eligible_frames(H.frames(spark, sf_dir), H.truth(spark, sf_dir), [1, 2])
     validated = traces.validate_responses(eligible, H.responses(spark, sf_dir))

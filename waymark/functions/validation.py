@@ -58,6 +58,18 @@ def parse_trace(content: Column) -> Column:
     return F.struct(checks.when(extra, "extra").alias("json_error"), *[c.alias(n) for n, c in steps.items()])
 
 
+def checked_steps(steps: dict[str, Column]) -> Column:
+    """The struct of ``parse_trace`` for four cleaned steps by name."""
+    checks = F.when(F.lit(False), "")
+    for name, step in steps.items():
+        checks = (
+            checks.when(step.isNull(), f"missing:{name}")
+            .when(step == "", f"blank:{name}")
+            .when(F.length(step) > T.MAX_STEP_CHARS, f"long:{name}")
+        )
+    return F.struct(checks.alias("json_error"), *[c.alias(n) for n, c in steps.items()])
+
+
 def total_error(steps: list[Column]) -> Column:
     """``total`` if all steps together are too long; four valid steps never are."""
     length = F.length(steps[0]) + F.length(steps[1]) + F.length(steps[2]) + F.length(steps[3])

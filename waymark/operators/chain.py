@@ -1,222 +1,87 @@
-"""Generation where each prompt needs the answer before it, one group per episode.
+"""Generation where each prompt needs the answer before it.
 
-Episodes are independent and short, so Spark groups frames by task and a small function walks
-each group; the responder is a callable ``(prompt, attempt, frame) -> (status, content)``.
+All episodes go forward together, one frame of each at a time: a turn is a batch of
+requests, checked by the same columns as recorded answers.  Python only calls the
+responder.  Recorded answers need no turns: ``replay`` is joins and windows.
 """
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from waymark.functions import fixed_texts as T
+from waymark.functions.actions import memory_anchor
+from waymark.functions.prompts import render_trace, retry_answer, retry_request
+from waymark.functions.validation import first_error, parse_trace
+from waymark.operators.traces import (
+    FRAME,
+    TASK,
+    choose_outcome,
+    memory_chain,
+    template_chain,
+    template_trace,
+    validate_responses,
+    with_prompt,
+)
+from waymark.sources.scratch import materialize, scratch_path
 
-Responder = Callable[[str, int, dict], tuple[str, str]]
-_KEY = ["src_idx", "task_idx", "frame_pos"]
-
-
-def collapse(text: str) -> str:
-    return re.sub(r"\s+", " ", text).strip()
-
-
-def grid_box(box: dict) -> list[int]:
-    ends = box["x"], box["y"], box["x"] + box["width"], box["y"] + box["height"]
-    return [max(0, min(1000, round(v * 10))) for v in ends]
-
-
-def names(objects: list[dict]) -> list[str]:
-    return [collapse(o["label"] if o["label"] is not None else "object") or "object" for o in objects]
-
-
-def zone(box: list[int]) -> str:
-    x, y = (box[0] + box[2]) / 2, (box[1] + box[3]) / 2
-    across = "left" if x < 333 else "right" if x > 667 else ""
-    down = "upper" if y < 333 else "lower" if y > 667 else ""
-    if across and down:
-        return f"{down}-{across} area of the view"
-    return f"{across} side of the view" if across else f"{down} center of the view".strip()
-
-
-def relation(base: list[int], box: list[int]) -> str:
-    dx, dy = ((box[i] + box[i + 2] - base[i] - base[i + 2]) / 2 for i in (0, 1))
-    parts = ["below" if dy > 80 else "above"] * (abs(dy) > 80) + ["right" if dx > 80 else "left"] * (abs(dx) > 80)
-    return "-".join(parts) + " of" if parts else "near"
-
-
-def objects_text(objects: list[dict]) -> str:
-    told, boxes, labels = [], [grid_box(o["bbox"]) for o in objects], names(objects)
-    for i, (box, label) in enumerate(zip(boxes, labels)):
-        text = f"'{label}' at {box} ({zone(box)})"
-        told.append(f"{text}, {relation(boxes[0], box)} '{labels[0]}'" if i else text)
-    return "; ".join(told) or "[]"
-
-
-def names_text(objects: list[dict]) -> str:
-    quoted = [f"'{n}'" for n in names(objects)]
-    if len(quoted) < 2:
-        return quoted[0] if quoted else "no annotated objects"
-    return ", ".join(quoted[:-1]) + " and " + quoted[-1]
-
-
-def phrase(action: str) -> str:
-    return action.lower().replace("_", " ")
-
-
-def memory_text(memory: str | None) -> str:
-    return collapse(memory or "") or "None"
-
-
-def anchor(frame: dict, preferred: str | None) -> str:
-    if preferred:
-        return memory_text(preferred)
-    on = collapse(frame["subtask"] or "the current sub-task")
-    seen = f"sees {names_text(frame['objects'])}," if frame["objects"] else "no annotated object is visible,"
-    return f"The agent is on '{on}', {seen} and the action taken is {phrase(frame['action'])}."
-
-
-def _no_repeats(pairs):
-    if len({k for k, _ in pairs}) < len(pairs):
-        raise ValueError("repeated key")
-    return dict(pairs)
-
-
-def _no_constant(name):
-    raise ValueError(name)
-
-
-def check(raw: str, objects: list[dict], action: str) -> tuple[str | None, dict | None]:
-    """(reason, steps) of a raw answer, with the reason codes of the column form."""
-    text = raw.replace("\r\n", "\n").replace("\r", "\n").strip()
-    text = re.sub(r"\s*```$", "", re.sub(r"```(?:json|markdown|md|text)?\s*", "", text))
-    first, last = text.find("{"), text.rfind("}")
-    text = text[first : last + 1] if 0 <= first < last else text
-    if not text:
-        return "empty", None
-    try:
-        found = json.loads(text, object_pairs_hook=_no_repeats, parse_constant=_no_constant)
-    except ValueError:
-        return "json", None
-    if not isinstance(found, dict):
-        return "object", None
-    for name in T.STEPS:
-        if name not in found:
-            return f"missing:{name}", None
-        if not isinstance(found[name], str):
-            return f"type:{name}", None
-        label = re.escape(name.replace("_", " "))
-        pattern = rf"^(?:step\s*\d+\s*[:.-]?\s*)?(?:{label}\s*[:.-]?\s*)?"
-        found[name] = re.sub(pattern, "", collapse(found[name]), flags=re.I).strip()
-        if not found[name]:
-            return f"blank:{name}", None
-        if len(found[name]) > T.MAX_STEP_CHARS:
-            return f"long:{name}", None
-    if set(found) - set(T.STEPS):
-        return "extra", None
-    return meaning(found, objects, action), found
-
-
-def meaning(steps: dict, objects: list[dict], action: str) -> str | None:
-    """The first rule on content that the steps break."""
-    seen = steps[T.STEPS[1]]
-    absent = any(p in seen.lower() for p in T.UNSEEN_PHRASES)
-    if objects:
-        dense = re.sub(r"\s+", "", seen)
-        labels = [collapse(o["label"] if o["label"] is not None else "object").lower() for o in objects]
-        if absent:
-            return "unseen"
-        if any(n not in seen.lower() for n in labels):
-            return "label"
-        if any(str(grid_box(o["bbox"])).replace(" ", "") not in dense for o in objects):
-            return "bbox"
-    elif not absent:
-        return "visible"
-    spelt = action.lower(), phrase(action)
-    for code, name in (("step3_action", T.STEPS[2]), ("step4_action", T.STEPS[3])):
-        if not any(m in steps[name].lower() for m in spelt):
-            return code
-    return "sentence" if len(re.findall(r"[.!?](?:\s|$)", steps[T.STEPS[3]])) > 1 else None
-
-
-def state(frame: dict, memory: str | None) -> dict:
-    """The values of a frame's prompt."""
-    objects, done = frame["objects"], frame["completed"]
-    values = {
-        "global_instruction": frame["instruction"],
-        "global_subtasks_list": str(frame["subtasks"]),
-        "completed_subtasks": str(frame["subtasks"][:done]),
-        "completed_index": done,
-        "current_subtask": frame["subtask"],
-        "script_memory": memory_text(memory),
-        "next_action": frame["action"],
-    }
-    if objects:
-        values |= {
-            "target_object_name": objects[0]["label"],
-            "bbox_norm": str(grid_box(objects[0]["bbox"])),
-            "annotated_objects": objects_text(objects),
-        }
-    return values
+#: (prompt, earlier bad answers and requests to correct them, attempt, frame) -> (status, content)
+Responder = Callable[[str, list[tuple[str, str]], int, dict], tuple[str, str]]
+POLICIES = ("skip", "template")
 
 
-def truth_steps(frame: dict, memory: str | None) -> dict | None:
-    """The answer from ground truth, or null if it breaks a rule itself."""
-    total = max(1, len(frame["subtasks"]))
-    done = max(0, min(frame["completed"], total))
-    about = {"step": max(1, min(frame["completed"] + 1, total)), "subtask": frame["subtask"]}
-    shown, action, said = memory_text(memory), frame["action"], phrase(frame["action"])
-    clause = T.TRUTH_NO_MEMORY if shown == "None" else T.TRUTH_MEMORY.format(memory=shown)
-    if frame["objects"]:
-        seen = T.TRUTH_STEP2.format(objects=objects_text(frame["objects"]))
-        why = T.TRUTH_LAYOUT + T.TRUTH_STEP3.get(action, T.TRUTH_STEP3_OTHER).format(**about)
-    else:
-        seen = T.TRUTH_STEP2_UNSEEN
-        why = T.TRUTH_STEP3_UNSEEN_STOP if action == "STOP" else T.TRUTH_STEP3_UNSEEN.format(**about, phrase=said)
-    steps = [T.TRUTH_STEP1.format(clause=clause, done=done, total=total, **about), seen, why,
-             T.TRUTH_STEP4.format(**about, phrase=said)]
-    reason, found = check(json.dumps(dict(zip(T.STEPS, steps))), frame["objects"], action)
-    return None if reason else found
+def _with_answer(rows: DataFrame) -> DataFrame:
+    answer = render_trace([F.col("trace")[s] for s in T.STEPS], F.col("action"))
+    return rows.withColumn("answer", F.when(F.col("trace").isNotNull(), answer))
 
 
-def walk(frames: list[dict], responder: Responder, policy: str, max_retries: int) -> list[dict]:
-    """All frames of one episode in order, each with the memory of the one before."""
-    out, memory, source = [], None, None
-    for frame in frames:
-        template = T.PROMPT_VISIBLE if frame["objects"] else T.PROMPT_UNSEEN
-        prompt = template.format(**state(frame, memory))
-        steps, bad, outcome = None, False, "failed"
-        for attempt in range(1, max_retries + 1):
-            status, content = responder(prompt, attempt, frame)
-            if status == "ok":
-                reason, found = check(content or "", frame["objects"], frame["action"])
-                if reason is None:
-                    steps, outcome = found, "trace"
-                    break
-                bad, outcome = True, "invalid"
-        if steps is None and bad and policy == "template":
-            steps = truth_steps(frame, memory)
-            outcome = "template" if steps else "invalid"
-        answer = steps and T.ANSWER.format(
-            **{f"step{i}": steps[n] for i, n in enumerate(T.STEPS, 1)}, action=frame["action"]
-        )
-        handed = anchor(frame, steps and steps[T.STEPS[3]])
-        out.append(
-            {**{k: frame[k] for k in _KEY}, "episode_id": frame["episode_id"], "frame": frame["frame"],
-             "outcome": outcome, "memory": memory, "history_source_frame": source, "prompt": prompt,
-             "answer": answer, "anchor": handed}
-        )
-        memory, source = handed, frame["frame"]
-    return out
-
-
-_OUT = (
-    "src_idx int, task_idx long, frame_pos int, episode_id long, frame int, outcome string, memory string, "
-    "history_source_frame int, prompt string, answer string, anchor string"
-)
+def replay(eligible: DataFrame, responses: DataFrame, policy: str = "skip", max_retries: int = 3) -> DataFrame:
+    """Outcomes, memories, prompts and answers of all eligible frames from recorded answers."""
+    if policy not in POLICIES:
+        raise ValueError("policy is skip or template")
+    outcomes = choose_outcome(validate_responses(eligible, responses), max_retries)
+    chained = (memory_chain if policy == "skip" else template_chain)(eligible, outcomes)
+    return _with_answer(with_prompt(chained))
+
+
+def _ask(rows: DataFrame, responder: Responder, attempt: int) -> DataFrame:
+    """One more attempt for the rows without a valid answer; its feedback joins theirs."""
+    shown = [c for c in rows.columns if c not in ("trace", "notes", "bad", "prompt", "memory")]
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            told = []
+            for row in batch.to_dict("records"):
+                notes = [(n["assistant"], n["user"]) for n in row["notes"]]
+                frame = {k: row[k] for k in shown}
+                told.append(responder(row["prompt"], notes, attempt, frame) if row["trace"] is None else (None, None))
+            yield batch.assign(status=[s for s, _ in told], content=[c for _, c in told])
+
+    told = [StructField(c, StringType()) for c in ("status", "content")]
+    asked = rows.mapInPandas(call, StructType([*rows.schema.fields, *told]))
+    parsed = asked.withColumn("_parsed", parse_trace(F.col("content")))
+    reason = F.when(F.col("status") != "ok", "transport").otherwise(
+        first_error(F.col("_parsed"), F.col("objects"), F.col("action"))
+    )
+    wrong = F.col("status").isNotNull() & F.col("_reason").isNotNull() & (F.col("_reason") != "transport")
+    note = F.struct(
+        retry_answer(F.col("content")).alias("assistant"),
+        retry_request(F.col("_reason"), F.col("action")).alias("user"),
+    )
+    good = F.when(F.col("status").isNotNull() & F.col("_reason").isNull(), F.struct(*[F.col("_parsed")[s].alias(s) for s in T.STEPS]))
+    return parsed.withColumn("_reason", reason).select(
+        *[c for c in rows.columns if c not in ("trace", "notes", "bad")],
+        F.coalesce("trace", good).alias("trace"),
+        F.when(wrong, F.array_append("notes", note)).otherwise(F.col("notes")).alias("notes"),
+        (F.col("bad") | wrong).alias("bad"),
+    )
 
 
 def generate_chain(
@@ -226,46 +91,52 @@ def generate_chain(
 
     ``skip`` writes nothing for a frame without a valid answer; ``template`` answers from
     ground truth if an answer came but none was valid.  Either way the frame hands on a
-    memory.  Parallelism is the number of episodes.
+    memory.  A bad answer and the request to correct it go to the next attempt.
+
+    There are as many turns as the longest episode has frames; a turn is one job without a
+    shuffle over one frame of each episode, written to the shared folder, so a long episode
+    never meets in one task.
     """
-    if policy not in ("skip", "template"):
+    if policy not in POLICIES:
         raise ValueError("policy is skip or template")
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        frames = rows.sort_values("frame_pos").to_dict("records")
-        for f in frames:
-            f["objects"] = [dict(o) for o in f["objects"]] if f["objects"] is not None else []
-            f["subtasks"] = list(f["subtasks"])
-            f |= {k: int(f[k]) for k in ("frame", "completed")}
-        done = pd.DataFrame(walk(frames, responder, policy, max_retries))
-        return done.astype({"history_source_frame": "Int64"})
-
-    cols = [*_KEY, "episode_id", "frame", "instruction", "subtask", "objects", "subtasks", "completed", "action"]
-    return eligible.select(*cols).groupBy("src_idx", "task_idx").applyInPandas(run, _OUT)
+    spark = eligible.sparkSession
+    turn = F.row_number().over(Window.partitionBy(*TASK).orderBy("frame_pos"))
+    path = scratch_path(spark, "turns")
+    eligible.withColumn("turn", turn).write.partitionBy("turn").parquet(path)
+    turns = spark.read.schema(StructType([*eligible.schema.fields, StructField("turn", IntegerType())])).parquet(path)
+    turns = turns.agg(F.max("turn")).first()[0] or 0
+    steps = f"struct<{', '.join(f'{s}: string' for s in T.STEPS)}>"
+    done: list[DataFrame] = []
+    for k in range(1, turns + 1):
+        rows = spark.read.schema(eligible.schema).parquet(f"{path}/turn={k}")
+        if done:
+            before = done[-1].select(*TASK, F.col("anchor").alias("memory"), F.col("frame").alias("history_source_frame"))
+            rows = rows.join(before, TASK, "left")
+        else:
+            rows = rows.withColumns(
+                {"memory": F.lit(None).cast("string"), "history_source_frame": F.lit(None).cast(eligible.schema["frame"].dataType)}
+            )
+        rows = with_prompt(rows).withColumns(
+            {
+                "trace": F.lit(None).cast(steps),
+                "notes": F.array().cast("array<struct<assistant: string, user: string>>"),
+                "bad": F.lit(False),
+            }
+        )
+        for attempt in range(1, max_retries + 1):
+            rows = _ask(rows, responder, attempt)
+        outcome = F.when(F.col("trace").isNotNull(), "trace").when(F.col("bad"), "invalid").otherwise("failed")
+        rows = rows.withColumn("outcome", outcome)
+        if policy == "template":
+            rows = template_trace(rows)
+        anchor = memory_anchor(
+            F.col("subtask"), F.col("objects"), F.col("action"), F.col("trace")["step4_memory_update"]
+        )
+        done.append(materialize(_with_answer(rows.drop("notes", "bad")).withColumn("anchor", anchor), "turn"))
+    return functools.reduce(DataFrame.unionByName, done) if done else replay(eligible, _no_responses(eligible), policy)
 
 
-def replay(eligible: DataFrame, responses: DataFrame, policy: str = "skip", max_retries: int = 3) -> DataFrame:
-    """The same walk over recorded answers, which travel with the frame they belong to."""
-    recorded = responses.groupBy(*_KEY).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("attempt", F.struct("status", "content")))
-        ).alias("recorded")
+def _no_responses(eligible: DataFrame) -> DataFrame:
+    return eligible.select(*FRAME).selectExpr(
+        *FRAME, "1 as attempt", "'transport_error' as status", "cast(null as string) as content"
     )
-    rows = eligible.join(recorded, _KEY, "left")
-
-    def answer(_: str, attempt: int, frame: dict) -> tuple[str, str]:
-        got = dict(frame["recorded"]) if frame["recorded"] is not None else {}
-        found = got.get(attempt)
-        return (found["status"], found["content"]) if found else ("transport_error", "")
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        frames = part.sort_values("frame_pos").to_dict("records")
-        for f in frames:
-            f["objects"] = [dict(o) for o in f["objects"]] if f["objects"] is not None else []
-            f["subtasks"] = list(f["subtasks"])
-            f |= {k: int(f[k]) for k in ("frame", "completed")}
-        done = pd.DataFrame(walk(frames, answer, policy, max_retries))
-        return done.astype({"history_source_frame": "Int64"})
-
-    cols = [*_KEY, "episode_id", "frame", "instruction", "subtask", "objects", "subtasks", "completed", "action", "recorded"]
-    return rows.select(*cols).groupBy("src_idx", "task_idx").applyInPandas(run, _OUT)

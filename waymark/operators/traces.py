@@ -1,21 +1,21 @@
 """Frames to chat records by replay of recorded answers.
 
 The anchor of a frame depends on its own answer and facts only, so the memory of the next
-frame is a plain ``lag``.  That holds for the policy ``skip``; the policy ``template`` feeds
-memory into answers and runs in ``operators.chain``.
+frame is a plain ``lag``.  That holds for the policy ``skip``; under ``template`` a frame has
+one of two anchors, and which one is settled by ``template_chain``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from waymark.functions import fixed_texts as T
 from waymark.functions.actions import decode_action, history_memory_text, memory_anchor
-from waymark.functions.prompts import build_prompt, render_trace, retry_answer, retry_request
+from waymark.functions.prompts import build_prompt, render_trace, retry_answer, retry_request, template_steps
 from waymark.functions.text import frame_name
-from waymark.functions.validation import first_error, parse_trace
+from waymark.functions.validation import checked_steps, clean_step, first_error, parse_trace
 
 TASK = ["src_idx", "task_idx"]
 FRAME = [*TASK, "frame_pos"]
@@ -132,6 +132,76 @@ def memory_chain(eligible: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
+def _truth_steps(memory: Column) -> list[Column]:
+    return template_steps(
+        F.col("subtask"), F.col("objects"), memory, F.col("instruction"),
+        F.col("subtasks"), F.col("completed"), F.col("action"),
+    )
+
+
+def _with_template(rows: DataFrame, memory: Column, name: str) -> DataFrame:
+    """Add the steps from ground truth after this memory, null if they break a rule or the
+    frame's answers were not all bad.  Each stage is a column of its own, so that no
+    expression holds another one over and over."""
+    wanted = F.when(F.col("outcome") == "invalid", F.array(*_truth_steps(memory)))
+    cleaned = {f"_{s}": clean_step(F.get("_steps", F.lit(k)), s) for k, s in enumerate(T.STEPS)}
+    staged = rows.withColumn("_steps", wanted).withColumns(cleaned)
+    staged = staged.withColumn("_checked", checked_steps({s: F.col(f"_{s}") for s in T.STEPS}))
+    staged = staged.withColumn("_error", first_error(F.col("_checked"), F.col("objects"), F.col("action")))
+    made = F.when(F.col("_error").isNull(), F.struct(*[F.col(f"_{s}").alias(s) for s in T.STEPS]))
+    return staged.withColumn(name, made).drop("_steps", "_checked", "_error", *cleaned)
+
+
+def template_trace(rows: DataFrame) -> DataFrame:
+    """Give frames whose answers were all bad (outcome ``invalid``, memory known) the trace
+    from ground truth and the outcome ``template``, if that trace is valid."""
+    known = F.struct(*[F.col("trace")[s].alias(s) for s in T.STEPS])
+    return _with_template(rows, F.col("memory"), "_made").select(
+        *[c for c in rows.columns if c not in ("outcome", "trace")],
+        F.when(F.col("_made").isNotNull(), "template").otherwise(F.col("outcome")).alias("outcome"),
+        F.when(F.col("trace").isNotNull(), known).otherwise(F.col("_made")).alias("trace"),
+    )
+
+
+def template_chain(eligible: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """``memory_chain`` under the policy ``template``.
+
+    The steps from ground truth show the memory, so whether they are valid may depend on the
+    frame before, and so on.  A frame hands on one of two anchors: with or without its
+    trace.  Whether it has one is tried for both anchors of the frame before; where that
+    agrees it is settled, and in between it is passed on, straight or turned round, which a
+    window counts.
+    """
+    order = Window.partitionBy(*TASK).orderBy("frame_pos")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = memory_chain(eligible, outcomes).drop("memory")
+    bare = memory_anchor(F.col("subtask"), F.col("objects"), F.col("action"), F.lit(None).cast("string"))
+    # memory_chain's anchor is that of the trace, where there is one; the last step from
+    # ground truth, and so its anchor, does not show the memory
+    last = clean_step(_truth_steps(F.lit(None).cast("string"))[3], T.STEPS[3])
+    rows = rows.withColumns({"_bare": bare, "_last": last})
+    told = F.when(F.col("trace").isNull(), history_memory_text(F.col("_last"))).otherwise(F.col("anchor"))
+    rows = rows.withColumn("_told", told)
+    rows = rows.withColumns({"_lag_bare": F.lag("_bare").over(order), "_lag_told": F.lag("_told").over(order)})
+    rows = _with_template(rows, F.col("_lag_bare"), "_after_bare")
+    rows = _with_template(rows, F.col("_lag_told"), "_after_told")
+    known = F.col("trace").isNotNull()
+    rows = rows.withColumns(
+        {"_if_bare": known | F.col("_after_bare").isNotNull(), "_if_told": known | F.col("_after_told").isNotNull()}
+    )
+    settled = F.when((F.col("_if_bare") == F.col("_if_told")) | F.col("_lag_bare").isNull(), F.col("_if_bare"))
+    rows = rows.withColumns({"_settled": settled, "_turns": (F.col("_if_bare") & ~F.col("_if_told")).cast("int")})
+    turned = F.sum(F.when(F.col("_settled").isNull(), F.col("_turns")).otherwise(0)).over(so_far)
+    rows = rows.withColumn("_turned", turned)
+    start = F.last(F.when(F.col("_settled").isNotNull(), F.struct("_settled", "_turned")), ignorenulls=True).over(so_far)
+    rows = rows.withColumn("_start", start)
+    odd = (F.col("_turned") - F.col("_start._turned")) % 2 == 1
+    rows = rows.withColumn("_has", F.col("_start._settled") != odd)
+    rows = rows.withColumn("anchor", F.when(F.col("_has"), F.col("_told")).otherwise(F.col("_bare")))
+    rows = rows.withColumn("memory", F.lag("anchor").over(order))
+    return template_trace(rows.drop(*[c for c in rows.columns if c.startswith("_")]))
+
+
 def with_image(rows: DataFrame, videos: DataFrame, folder: str) -> DataFrame:
     """Add image_path: a name under ``folder`` if the episode's video exists, else null."""
     there = videos.select(F.col("episode_id").alias("_video")).distinct()
@@ -186,7 +256,7 @@ def chat_records(chained: DataFrame) -> DataFrame:
         F.lit("]},"), F.col("_told"), F.lit("]}"),
     )
     return (
-        chained.where("outcome = 'trace'")
+        chained.where("outcome in ('trace', 'template')")
         .withColumns({"_head": head, "_state": state, "_content": content, "_told": told})
         .select(*FRAME, "episode_id", "frame", line.alias("line"))
     )

@@ -193,13 +193,13 @@ def scene_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth vector starts an episode in its scene with three places."""
+    """Every vector starts an episode in its scene with three places."""
     e = table(spark, sf_dir, "embeddings")
 
     def value(k: int):
         return F.round(F.get("embedding", F.lit(k)).cast("double") * 5, 3)
 
-    return e.where("vec_id % 10 = 0").select(
+    return e.select(
         F.col("vec_id").alias("episode_id"),
         (F.col("vec_id") * 2).alias("trajectory_id"),
         F.format_string("mp3d/s%03d/s%03d.v1.glb", "label", "label").alias("scene_id"),

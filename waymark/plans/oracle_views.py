@@ -10,7 +10,8 @@ def view(name: str, needs: list[str], body: str) -> None:
 
 
 def sql(needs: list[str], body: str) -> str:
-    """``body`` behind the views that it needs, each after those that it needs itself."""
+    """``body`` behind the views that it needs, each after those that it needs itself; a body
+    that begins with a comma defines more views."""
     done: list[str] = []
 
     def add(name: str) -> None:
@@ -21,7 +22,7 @@ def sql(needs: list[str], body: str) -> str:
 
     for n in needs:
         add(n)
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n][1]})" for n in done) + f"\n{body}"
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({VIEWS[n][1]})" for n in done) + f"\n{body}"
 
 
 view("tasks", [], """
@@ -173,7 +174,7 @@ view("faces", ["vertices"], """
 view("places", [], """
   SELECT vec_id AS episode_id, vec_id * 2 AS trajectory_id, printf('s%03d.v1', label) AS scene, k,
     round(embedding[k + 1]::DOUBLE * 5, 3) AS px, round(embedding[k + 2]::DOUBLE * 5, 3) AS py, round(embedding[k + 3]::DOUBLE * 5, 3) AS pz
-  FROM embeddings, (SELECT unnest([3, 6, 9]) AS k) WHERE vec_id % 10 = 0""")
+  FROM embeddings, (SELECT unnest([3, 6, 9]) AS k)""")
 view("crops", ["places"], """
   SELECT episode_id, trajectory_id, scene, min(px) - 3 AS low_x, max(px) + 3 AS high_x, min(-pz) - 3 AS low_y, max(-pz) + 3 AS high_y,
     min(py) - 3 AS low_z, max(py) + 2.5 AS high_z

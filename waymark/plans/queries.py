@@ -277,10 +277,10 @@ def collapse_whitespace(spark, d):
 @query(
     None,
     r"""SELECT doc_id, CASE doc_id % 5 WHEN 2 THEN 'task progress: ' || t WHEN 4 THEN 'note step 1: ' || t ELSE t END AS text
-    FROM (SELECT doc_id, 'z' || substr(md5(text), 1, 12) AS t FROM documents)""",
+    FROM (SELECT doc_id, 'z' || regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '\s+', ' ', 'g') AS t FROM documents)""",
 )
 def strip_leading_label(spark, d):
-    t = F.concat(F.lit("z"), F.substring(F.md5(C("text").cast("binary")), 1, 12))
+    t = F.concat(F.lit("z"), X.collapse_whitespace(C("text")))
     k = C("doc_id") % 5
     labelled = (
         F.when(k == 0, F.concat(F.lit("Step 1: TASK progress - "), t))
@@ -669,11 +669,10 @@ def trace_action_check(spark, d):
 
 @query(
     None,
-    "SELECT doc_id, CASE WHEN 4 * least(length(text), 500) > 1600 THEN 'total' END AS reason FROM documents",
+    "SELECT doc_id, CASE WHEN 4 * length(text) > 1600 THEN 'total' END AS reason FROM documents",
 )
 def trace_total_length(spark, d):
-    step = F.substring(C("text"), 1, 500)
-    return H.table(spark, d, "documents").select("doc_id", V.total_error([step] * 4).alias("reason"))
+    return H.table(spark, d, "documents").select("doc_id", V.total_error([C("text")] * 4).alias("reason"))
 
 
 @query(
@@ -786,6 +785,40 @@ def chat_jsonl_lines(spark, d):
     )
 
 
+def _walk_sql() -> str:
+    from waymark.functions import fixed_texts as T
+
+    about = {"step": "(completed + 1)", "subtask": "subtask", "phrase": "phrase"}
+    cases = " ".join(f"WHEN '{k}' THEN {_sql_text(v, **about)}" for k, v in T.TRUTH_STEP3.items())
+    seen = f"{_sql_text(T.TRUTH_LAYOUT)} || CASE action {cases} ELSE {_sql_text(T.TRUTH_STEP3_OTHER, **about)} END"
+    unseen = f"CASE action WHEN 'STOP' THEN {_sql_text(T.TRUTH_STEP3_UNSEEN_STOP)} ELSE {_sql_text(T.TRUTH_STEP3_UNSEEN, **about)} END"
+    step2 = f"CASE WHEN n_objects > 0 THEN {_sql_text(T.TRUTH_STEP2, objects='summary')} ELSE {_sql_text(T.TRUTH_STEP2_UNSEEN)} END"
+
+    def turn(memory: str) -> str:
+        clause = f"CASE WHEN {memory} IS NULL THEN {_sql_text(T.TRUTH_NO_MEMORY)} ELSE {_sql_text(T.TRUTH_MEMORY, memory=memory)} END"
+        step1 = _sql_text(T.TRUTH_STEP1, clause=clause, done="completed", total="len(subtasks)", **about)
+        made = f"CASE WHEN outcome = 'invalid' AND fits AND length({step1}) <= 400 THEN 'template' ELSE outcome END"
+        anchor = f"CASE {made} WHEN 'trace' THEN 'Now ' || phrase || ' at ' || event_id || '.' WHEN 'template' THEN step4 ELSE facts END"
+        return f"{made} AS outcome, {memory} AS memory, {anchor} AS anchor"
+
+    return f""", turned AS (
+      SELECT w.*, o.outcome, row_number() OVER (PARTITION BY w.task_idx ORDER BY w.frame_pos) AS turn, {_sql_text(T.TRUTH_STEP4, **about)} AS step4,
+        length({step2}) <= 400 AND length(CASE WHEN n_objects > 0 THEN {seen} ELSE {unseen} END) <= 400 AND length({_sql_text(T.TRUTH_STEP4, **about)}) <= 400
+          AND NOT (n_objects > 0 AND action LIKE 'UNKNOWN%') AS fits
+      FROM worded w JOIN outcomes o ON w.task_idx = o.task_idx AND w.frame_pos = o.frame_pos
+    ), walk AS (
+      SELECT task_idx, frame_pos, turn, {turn("NULL::VARCHAR")} FROM turned WHERE turn = 1
+      UNION ALL SELECT t.task_idx, t.frame_pos, t.turn, {turn("before")} FROM (
+        SELECT t.*, w.anchor AS before FROM walk w JOIN turned t ON t.task_idx = w.task_idx AND t.turn = w.turn + 1) t
+    ) SELECT task_idx, frame_pos, outcome, memory, anchor FROM walk"""
+
+
+@query(["worded", "outcomes"], _walk_sql())
+def outcome_template_policy(spark, d):
+    walked = chain.replay(_eligible(spark, d), H.responses(spark, d), "template")
+    return walked.select("task_idx", "frame_pos", "outcome", "memory", "anchor")
+
+
 @query(
     ["chain"],
     "SELECT task_idx, frame_pos, outcome, memory, history_source_frame, anchor FROM chain",
@@ -996,17 +1029,21 @@ def pose_label_product(spark, d):
 
 @query(
     ["places"],
-    f"SELECT episode_id, frame, object_idx, vertex_idx, round(u, 3) AS u, round(v, 3) AS v, round(depth, 5) AS depth FROM ({_POINTS}) WHERE abs(depth) > 0.001",
+    f"""SELECT episode_id, frame, object_idx, vertex_idx, CASE WHEN abs(depth) > 0.001 THEN round(u, 3) END AS u,
+      CASE WHEN abs(depth) > 0.001 THEN round(v, 3) END AS v, round(depth, 5) + 0.0 AS depth FROM ({_POINTS})""",
 )
 def project_points(spark, d):
     both = _poses(spark, d).join(spatial.label_points(_labels(spark, d)), "episode_id")
     at = G.project_point(
         tuple(map(C, "xyz")), tuple(map(C, ("px", "py", "pz"))), tuple(map(C, ("qw", "qx", "qy", "qz")))
     )
-    rows = both.withColumn("at", at).where("abs(at.depth) > 0.001")
+    rows = both.withColumn("at", at)
+    # next to the camera's plane the last digits of a place are those of rounding errors
+    ahead = F.abs("at.depth") > 0.001
     return rows.select(
         "episode_id", "frame", "object_idx", "vertex_idx",
-        F.round("at.u", 3).alias("u"), F.round("at.v", 3).alias("v"), F.round("at.depth", 5).alias("depth"),
+        F.when(ahead, F.round("at.u", 3)).alias("u"), F.when(ahead, F.round("at.v", 3)).alias("v"),
+        (F.round("at.depth", 5) + 0.0).alias("depth"),
     )
 
 
