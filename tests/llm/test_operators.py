@@ -234,10 +234,59 @@ def test_word_probabilities_sum_to_at_most_one():
 
     model = language_id.fit_language({"aba": 3, "abc": 2, "b": 1}, 3)
     ws = ["".join(x) for n in range(1, 7) for x in itertools.product("abc", repeat=n)]
-    mass = np.exp(language_id.word_scores(ws, [model])[:, 0]).sum()
+    mass = np.exp(language_id.word_scores(ws, language_id.Tables([model]))[:, 0]).sum()
     assert 0.8 < mass <= 1.0 + 1e-9
 
 
+def brute_kneser_ney(counts, order):
+    """A word's probability by interpolated Kneser-Ney from plain dictionaries."""
+    start, end = "<s>", "</s>"
+    grams = [Counter() for _ in range(order + 1)]
+    for w, n in counts.items():
+        s = [start, *w, end]
+        for i in range(1, len(s)):
+            for k in range(1, min(order, i + 1) + 1):
+                grams[k][tuple(s[i - k + 1 : i + 1])] += n
+    left = [{} for _ in range(order + 2)]
+    for k in range(2, order + 1):
+        for g in grams[k]:
+            left[k - 1].setdefault(g[1:], set()).add(g[0])
+    tables = [{} for _ in range(order + 1)]
+    for k in range(1, order + 1):
+        for g, n in grams[k].items():
+            tables[k][g] = n if k == order or g[0] == start else len(left[k].get(g, ()))
+
+    def prob(context, symbol):
+        p = language_id._FLOOR
+        for k in range(1, len(context) + 2):
+            c = context[len(context) - k + 1 :]
+            table = {g: n for g, n in tables[k].items() if g[:-1] == c}
+            ones, twos = (sum(n == x for n in tables[k].values()) for x in (1, 2))
+            d = ones / (ones + 2 * twos) if ones and twos else 0.5
+            total = sum(table.values())
+            if total:
+                n = table.get((*c, symbol), 0)
+                p = max(n - d, 0) / total + d * len(table) / total * p
+        return p
+
+    def score(word):
+        s = [start, *word, end]
+        return sum(math.log(prob(tuple(s[max(0, i - order + 1) : i]), s[i])) for i in range(1, len(s)))
+
+    return score
+
+
+def test_word_probabilities_are_those_of_plain_kneser_ney():
+    rng = random.Random(2)
+    languages = [{word(rng, letters): rng.randint(1, 4) for _ in range(150)} for letters in ("abc", "bcdé")]
+    models = [language_id.fit_language(c, 4) for c in languages]
+    ws = [*list(languages[0])[:20], *list(languages[1])[:20], "zz", "a", "cabcab", "ébd"]
+    got = language_id.word_scores(ws, language_id.Tables(models))
+    for m, counts in enumerate(languages):
+        score = brute_kneser_ney(counts, 4)
+        assert np.allclose(got[:, m], [score(w) for w in ws])
+
+
 def test_language_id(spark, sf_dir, docs, empty):
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = language_id.predict_documents(d).join(d, "doc_id").toPandas()

@@ -96,15 +96,34 @@ def _sorted(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[order], values[order]
 
 
-def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, missing: float) -> np.ndarray:
+def _merged(tables: list[tuple[np.ndarray, np.ndarray]], missing: float) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted hashes of all languages with a row of their values each, and a last row
+    for what none has."""
+    keys = np.unique(np.concatenate([k for k, _ in tables]))
+    values = np.full((len(keys) + 1, len(tables)), missing)
+    for m, (own, v) in enumerate(tables):
+        values[np.searchsorted(keys, own), m] = v
+    return keys, values
+
+
+class Tables:
+    """The models of all languages side by side, so that a hash is looked up once."""
+
+    def __init__(self, models: list[LanguageModel]):
+        orders = range(len(models[0].grams)) if models else ()
+        self.grams = [_merged([m.grams[k] for m in models], 0.0) for k in orders]
+        self.contexts = [_merged([m.contexts[k] for m in models], 1.0) for k in orders]
+
+
+def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
     known, values = table
     if not len(known):
-        return np.full(len(keys), missing)
+        return values[np.zeros(len(keys), dtype=np.int64)]
     at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, values[at], missing)
+    return values[np.where(known[at] == keys, at, len(known))]
 
 
-def word_scores(words: list[str], models: list[LanguageModel]) -> np.ndarray:
+def word_scores(words: list[str], tables: Tables) -> np.ndarray:
     """Natural log probability of each word (its letters and its end) per language."""
     joined = "\n".join(["", *words, ""]).encode("utf-32-le", "surrogatepass")
     seen = np.frombuffer(joined, np.uint32).astype(np.uint64)
@@ -115,29 +134,21 @@ def word_scores(words: list[str], models: list[LanguageModel]) -> np.ndarray:
     seen[breaks], told[breaks] = _START, _END
     where = np.arange(1, len(seen))
     inside = np.zeros(len(seen), dtype=np.int64)
-    inside[1:] = where - starts[np.searchsorted(starts, where, side="left") - 1]
-    orders = len(models[0].grams)
-    past = [np.full(len(seen), k, dtype=np.uint64) for k in range(orders + 1)]
-    for k in range(1, orders + 1):
-        for back in range(k - 1, 0, -1):
-            past[k] = past[k] * STEP + np.roll(seen, back)
-    grams = [mix(past[k] * STEP + told) for k in range(1, orders + 1)]
-    for k in range(orders):
-        past[k] = np.full(len(seen), k, dtype=np.uint64)
-        for back in range(k, 0, -1):
-            past[k] = past[k] * STEP + np.roll(seen, back)
-    contexts = [mix(past[k]) for k in range(orders)]
-    out = np.empty((len(words), len(models)))
-    for m, model in enumerate(models):
-        p = np.full(len(seen), _FLOOR)
-        for k in range(1, len(model.grams) + 1):
-            fits = inside >= k - 1
-            share = _find(model.grams[k - 1], grams[k - 1][fits], 0.0)
-            rest = _find(model.contexts[k - 1], contexts[k - 1][fits], 1.0)
-            p[fits] = share + rest * p[fits]
-        total = np.concatenate(([0.0], np.cumsum(np.log(p[1:]))))
-        out[:, m] = total[ends] - total[starts]
-    return out
+    inside[1:] = where - np.repeat(starts, np.diff(breaks))
+    past, power = np.zeros(len(seen), dtype=np.uint64), np.ones(1, dtype=np.uint64)
+    p = np.full((len(seen), tables.grams[0][1].shape[1]), _FLOOR)
+    for k, (grams, contexts) in enumerate(zip(tables.grams, tables.contexts)):
+        # of the k symbols before each place and the one there
+        fits = np.flatnonzero(inside >= k)
+        context, symbol = past[fits], told[fits]
+        share = _find(grams, mix((np.uint64(k + 1) * power + context) * STEP + symbol))
+        rest = _find(contexts, mix(np.uint64(k) * power + context))
+        p[fits] = share + rest * p[fits]
+        past = past + np.roll(seen, k + 1) * power
+        power = power * STEP
+    total = np.zeros_like(p)
+    np.cumsum(np.log(p[1:]), axis=0, out=total[1:])
+    return total[ends] - total[starts]
 
 
 @dataclass
@@ -150,8 +161,12 @@ class Identifier:
     spread: np.ndarray
 
     def __post_init__(self):
+        self._tables = Tables(self.models)
+        self._forget()
+
+    def _forget(self) -> None:
         self._rows: dict[str, int] = {}
-        self._table = np.empty((0, len(self.languages)))
+        self._table, self._sizes = np.empty((0, len(self.languages))), np.empty(0)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
@@ -170,12 +185,13 @@ class Identifier:
         """
         runs = [Counter(letter_runs(t)) for t in texts]
         if len(self._rows) > CACHE_WORDS:
-            self.__post_init__()
+            self._forget()
         new = {w for r in runs for w in r if w not in self._rows}
         if new and self.models:
             new = list(new)
             self._rows.update(zip(new, range(len(self._rows), len(self._rows) + len(new))))
-            self._table = np.concatenate([self._table, word_scores(new, self.models)])
+            self._table = np.concatenate([self._table, word_scores(new, self._tables)])
+            self._sizes = np.concatenate([self._sizes, [len(w) + 1 for w in new]])
         out = []
         for run in runs:
             if not run or not self.models:
@@ -183,7 +199,7 @@ class Identifier:
                 continue
             n = np.fromiter(run.values(), dtype=np.float64, count=len(run))
             at = np.fromiter(map(self._rows.__getitem__, run), dtype=np.int64, count=len(run))
-            length = int(sum(c * (len(w) + 1) for w, c in run.items()))
+            length = int(n @ self._sizes[at])
             h = -(n @ self._table[at]) / length
             best = int(np.argmin(h))
             share = 1.0 / float(np.exp((h[best] - h) * min(length, 20)).sum())
