@@ -1,5 +1,6 @@
 """Chains, chat records, pages and readers."""
 
+import hashlib
 import json
 import sys
 from collections import Counter
@@ -7,14 +8,19 @@ from collections import Counter
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from waymark.functions import fixed_texts as T
 from waymark.functions.actions import action_phrase
 from waymark.functions.boxes import format_annotated_objects
 from waymark.functions.fixed_texts import STEPS
+from waymark.functions.prompts import error_text
 from waymark.operators import chain, documents, spatial, traces
 from waymark.plans import harness as H
 from waymark.sources import readers, sinks
 from waymark.streaming import answers
 
+#: Digests of the texts as they were checked by eye, so that an edit by mistake shows.
+PROMPTS, CORRECTION, ANSWER = "7f4ae6c8d92e7176", "07bc7ff14e195f8a", "b9865da9c55abc80"
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors cannot import tests
 
 
@@ -104,8 +110,12 @@ def test_chat_lines_and_pages(spark, sf_dir, tmp_path):
     (tmp_path / "chat.jsonl").write_text("\n\n".join(lines) + "\n  \n")
     chat = readers.read_chat(spark, str(tmp_path / "chat.jsonl"))
     pages = documents.chat_to_markdown(chat, include_prompt=True)
+    assert sorted(r.record_idx for r in chat.select("record_idx").collect()) == list(range(len(lines)))
+    assert sinks.export_markdown(spark, str(tmp_path / "chat.jsonl"), include_prompt=True) == str(tmp_path / "chat_md")
+    assert [r.position for r in documents.markdown_index(chat).orderBy("position").collect()] == list(range(len(lines) + 4))
     sinks.write_files(pages, str(tmp_path / "md"))
     names = {p.name for p in (tmp_path / "md").iterdir()}
+    assert names == {p.name for p in (tmp_path / "chat_md").iterdir() if p.is_file()}
     assert f"ep00001_frame{first['frame']:04d}.md" in names and len(names) == len(lines)
     body = (tmp_path / "md" / f"ep00001_frame{first['frame']:04d}.md").read_text()
     assert body.startswith("# Episode 1 Frame") and "## User Prompt" in body and body.endswith("```\n")
@@ -126,6 +136,65 @@ def test_stream_of_answers(spark, sf_dir, tmp_path):
     assert got.exceptAll(batch).count() == 0 == batch.exceptAll(got).count()
 
 
+def test_records_are_numbered_over_files_and_blocks(spark, tmp_path):
+    (tmp_path / "chats").mkdir()
+    for name, ids in (("a", range(0, 40)), ("b", range(40, 47)), ("c", range(47, 50))):
+        lines = [json.dumps({"episode_id": str(i), "frame": i, "messages": [{"role": "user", "content": [{"type": "text", "text": "x" * i}]}]}) for i in ids]
+        (tmp_path / "chats" / name).write_text("\n \n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = readers.read_chat(spark, str(tmp_path / "chats")).select("record_idx", "episode_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(map(tuple, got)) == [(i, i) for i in range(50)]
+
+
+def test_files_are_numbered_in_order(spark, tmp_path):
+    task = lambda n: json.dumps([{"data": {"video": f"v{n}"}, "annotations": []}] * n)
+    for name, n in (("xa.json", 1), ("a.json", 2), ("c d+%20é.json", 3)):
+        (tmp_path / name).write_text(task(n))
+    read = lambda paths: sorted((r.src_idx, r.task_idx) for r in readers.read_annotation_export(spark, paths).collect())
+    names = [str(tmp_path / n) for n in ("a.json", "xa.json")]
+    assert read(names) == [(0, 0), (0, 1), (1, 0)] == read([*names, names[0]])
+    assert read(names[::-1]) == [(0, 0), (1, 0), (1, 1)] and read(names[0]) == [(0, 0), (0, 1)]
+    assert read(str(tmp_path)) == [(0, 0), (0, 1), (1, 0), (1, 1), (1, 2), (2, 0)]
+
+
+def test_tables_of_meshes_and_answers(spark, tmp_path):
+    spark.createDataFrame([(1, "s", 0.0)], "vertex_id int, scene string, x double").write.partitionBy("scene").parquet(str(tmp_path / "v"))
+    spark.createDataFrame([(1, "s")], "face_id int, scene string").write.partitionBy("scene").parquet(str(tmp_path / "f"))
+    vertices, faces = readers.read_mesh(spark, str(tmp_path / "v"), str(tmp_path / "f"))
+    assert vertices.first().asDict() == {"vertex_id": 1, "x": 0.0, "scene": "s"} and faces.count() == 1
+    spark.createDataFrame([(0, 1, "ok")], "src_idx int, attempt int, status string").write.parquet(str(tmp_path / "r"))
+    assert readers.read_responses(spark, str(tmp_path / "r")).first().status == "ok"
+    (tmp_path / "videos").mkdir()
+    for name in ("ep00012.mp4", "ep3.mp4", "other.mp4", "ep4.txt"):
+        (tmp_path / "videos" / name).write_text("")
+    assert sorted(r.episode_id for r in readers.list_videos(spark, str(tmp_path / "videos")).collect()) == [3, 12]
+
+
+def test_texts_are_the_fixed_ones(spark):
+    digests = {
+        "prompt": (T.PROMPT_VISIBLE + T.PROMPT_UNSEEN + T.SYSTEM_PROMPT, PROMPTS),
+        "correction": (T.CORRECTION, CORRECTION),
+        "answer": (T.ANSWER, ANSWER),
+    }
+    for name, (text, digest) in digests.items():
+        assert hashlib.sha256(text.encode()).hexdigest()[:16] == digest, name
+    reasons = ["missing:step3_decision_logic", "blank:step1_task_progress", "bbox", "empty", "odd"]
+    rows = spark.createDataFrame([(r,) for r in reasons], "reason string").select(error_text(F.col("reason")))
+    assert [r[0] for r in rows.collect()] == [
+        "('step3_decision_logic',): Field required",
+        "('step1_task_progress',): Value error, must not be empty",
+        "(): Value error, step2 must include every visible annotated object's bbox",
+        "empty response",
+        "odd",
+    ]
+
+
 def test_readers_of_objects(spark, tmp_path):
     (tmp_path / "gt.json").write_text(json.dumps({"7": {"actions": [1, 2], "locations": [[0, 1, 2]]}}))
     truth = readers.read_ground_truth(spark, str(tmp_path / "gt.json")).collect()

@@ -121,6 +121,25 @@ UNSEEN_PHRASES = (
     "no object is visible",
     "no objects are visible",
 )
+#: What is told about an answer that failed, by reason code; {field} is the step at fault.
+ERRORS = {
+    "empty": "empty response",
+    "json": "(): Invalid JSON",
+    "object": "(): Input should be an object",
+    "missing": "('{field}',): Field required",
+    "type": "('{field}',): Input should be a valid string",
+    "blank": "('{field}',): Value error, must not be empty",
+    "long": "('{field}',): Value error, must be <= 400 chars",
+    "extra": "(): Extra inputs are not permitted",
+    "total": "(): Value error, reasoning text too long",
+    "unseen": "(): Value error, step2 should describe a visible target, not say it is unseen",
+    "label": "(): Value error, step2 must mention every visible annotated object name",
+    "bbox": "(): Value error, step2 must include every visible annotated object's bbox",
+    "visible": "(): Value error, step2 must say the target is not visible",
+    "step3_action": "(): Value error, step3 must mention the chosen action",
+    "step4_action": "(): Value error, step4 must mention the chosen action",
+    "sentence": "(): Value error, step4 should be one concise sentence",
+}
 #: Request after an answer that failed; {error} and {action} are filled in.
 CORRECTION = (
     "Your previous JSON failed validation. Validation error: {error}. "

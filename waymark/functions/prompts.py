@@ -123,5 +123,15 @@ def retry_answer(content: Column) -> Column:
     return F.when(blank, "{}").otherwise(F.substring(raw, 1, T.MAX_FEEDBACK_CHARS))
 
 
-def retry_request(error: Column, action: Column) -> Column:
-    return fill(T.CORRECTION, error=error, action=action)
+def error_text(reason: Column) -> Column:
+    """What a reason code (``code`` or ``code:field``) says in words."""
+    code, field = (F.split_part(reason, F.lit(":"), F.lit(k)) for k in (1, 2))
+    text = F.when(F.lit(False), "")
+    for name, told in T.ERRORS.items():
+        text = text.when(code == name, fill(told, field=field))
+    return text.otherwise(reason)
+
+
+def retry_request(reason: Column, action: Column) -> Column:
+    """The request to correct an answer that failed for this reason."""
+    return fill(T.CORRECTION, error=error_text(reason), action=action)

@@ -692,10 +692,19 @@ def _content(spark, d):
     return H.responses(spark, d).selectExpr("task_idx", "frame_pos", "attempt", "content")
 
 
+def _error_sql(reason: str) -> str:
+    from waymark.functions import fixed_texts as T
+
+    cases = " ".join(
+        f"WHEN '{k}' THEN {_sql_text(v, field=f'split_part({reason}, {chr(39)}:{chr(39)}, 2)')}" for k, v in T.ERRORS.items()
+    )
+    return f"CASE split_part({reason}, ':', 1) {cases} ELSE {reason} END"
+
+
 def _retry_sql() -> str:
     from waymark.functions import fixed_texts as T
 
-    text = _sql_text(T.CORRECTION, error="reason", action="action")
+    text = _sql_text(T.CORRECTION, error=f"({_error_sql('reason')})", action="action")
     return f"SELECT {_CODE}, {text} AS request FROM attempts WHERE reason <> 'transport'"
 
 
@@ -707,8 +716,8 @@ def retry_feedback(spark, d):
 
 @query(
     ["attempts"],
-    """SELECT a.task_idx, a.frame_pos, a.attempt, count(b.attempt) AS earlier,
-      coalesce(string_agg(b.reason, '|' ORDER BY b.attempt), '') AS reasons
+    f"""SELECT a.task_idx, a.frame_pos, a.attempt, count(b.attempt) AS earlier,
+      coalesce(string_agg({_error_sql('b.reason')}, '|' ORDER BY b.attempt), '') AS reasons
     FROM attempts a LEFT JOIN attempts b ON a.task_idx = b.task_idx AND a.frame_pos = b.frame_pos AND b.attempt < a.attempt AND b.reason <> 'transport'
     GROUP BY ALL""",
 )

@@ -6,8 +6,13 @@ fit a task: land exports as Parquet once and work from there.  A broken file fai
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from waymark.sources.scratch import materialize
 
 _BOX = "x:double,y:double,width:double,height:double"
 TASK_TYPE = (
@@ -24,7 +29,7 @@ INSTRUCTION_TYPE = (
 )
 TRUTH_TYPE = "map<string,struct<actions:array<int>,locations:array<array<double>>>>"
 CHAT_TYPE = (
-    "episode_id bigint, frame bigint, input_state struct<historical_trajectory_memory:string,"
+    "episode_id string, frame string, input_state struct<historical_trajectory_memory:string,"
     "history_source_frame:bigint>, messages array<struct<role:string,content:variant>>"
 )
 LABEL_TYPE = (
@@ -35,13 +40,21 @@ _STRICT = {"mode": "FAILFAST"}
 
 
 def _whole(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row a file with its place in the caller's list; paths outside it come last."""
-    listed = [paths] if isinstance(paths, str) else list(paths)
-    files = spark.read.text(listed, wholetext=True).withColumn("_path", F.col("_metadata.file_path"))
-    place = F.lit(len(listed))
-    for k, p in reversed(list(enumerate(listed))):
-        place = F.when(F.endswith(F.col("_path"), F.lit(p.split("://")[-1])), k).otherwise(place)
-    return files.withColumn("src_idx", place if len(listed) > 1 else F.lit(0))
+    """One row a file, numbered: files in the order of the caller's list, those of a folder
+    or pattern in the order of their paths; what is listed again counts where it came first.
+
+    Only paths, which the driver lists anyway, are ordered there; contents stay in tasks.
+    """
+    listed = list(dict.fromkeys([paths] if isinstance(paths, str) else paths))
+    numbers: dict[str, int] = {}
+    for p in listed:
+        for name in sorted(spark.read.text(p, wholetext=True).inputFiles()):
+            numbers.setdefault(name, len(numbers))
+    # both listings spell a file's path alike, but not always what stands before it
+    bare = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+    known = spark.createDataFrame([(re.sub(bare, "", n), k) for n, k in numbers.items()], "_path string, src_idx int")
+    path = F.regexp_replace("_metadata.file_path", bare, "")
+    return spark.read.text(listed, wholetext=True).withColumn("_path", path).join(known, "_path")
 
 
 def read_annotation_export(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -104,14 +117,33 @@ def nonblank_lines(lines: DataFrame) -> DataFrame:
     return lines.where(F.regexp_replace("value", r"(?U)\s+", "") != "")
 
 
+def _numbered(lines: DataFrame) -> DataFrame:
+    """(record_idx, value) of lines with their file_path and file_block_start.
+
+    The number of a line is its place among the lines of its block of a file, after all lines
+    of earlier blocks and files; only the blocks' counts are summed in one place.
+    """
+    rows = lines.withColumn("_at", F.monotonically_increasing_id())
+    rows = materialize(rows, "chat-lines")  # a number must not change when a task is run again
+    block = ["file_path", "file_block_start"]
+    counts = rows.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(*block, F.coalesce(before, F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(*block).orderBy("_at"))
+    return rows.withColumn("_place", place).join(starts, block).select(
+        (F.col("_start") + F.col("_place") - 1).alias("record_idx"), "value"
+    )
+
+
 def read_chat(spark: SparkSession, path: str) -> DataFrame:
     """record_idx, episode_id, frame, memory, history_source_frame, messages (role, items, text).
 
     A message's content is an array of items for the user and a string for the assistant;
-    ids given as text become numbers.  record_idx follows the order of lines.
+    ids given as text become numbers.  record_idx counts the lines that are not blank, from 0
+    and without gaps, in the order of files and lines.
     """
     items = "array<struct<type:string,image_path:string,text:string>>"
-    lines = nonblank_lines(spark.read.text(path)).withColumn("record_idx", F.monotonically_increasing_id())
+    lines = _numbered(nonblank_lines(spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")))
     parsed = lines.select("record_idx", F.from_json("value", CHAT_TYPE, _STRICT).alias("r"))
     messages = F.transform(
         "r.messages",
@@ -123,8 +155,8 @@ def read_chat(spark: SparkSession, path: str) -> DataFrame:
     )
     return parsed.select(
         "record_idx",
-        "r.episode_id",
-        "r.frame",
+        # as text first: numbers may be given as text, with a fraction that is cut off
+        *[F.col(f"r.{c}").cast("decimal(38, 6)").cast("bigint").alias(c) for c in ("episode_id", "frame")],
         F.col("r.input_state.historical_trajectory_memory").alias("memory"),
         F.col("r.input_state.history_source_frame").alias("history_source_frame"),
         messages.alias("messages"),

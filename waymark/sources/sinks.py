@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,20 +34,44 @@ def write_json_files(rows: DataFrame, folder: str) -> None:
 
 
 def write_files(rows: DataFrame, folder: str) -> None:
-    """One file per (file, body) row in a folder that executors share; a repeated name keeps
-    the body of the greatest record_idx."""
+    """One file per (file, body) row in a folder that driver and executors share by a mount; a
+    repeated name keeps the body of the greatest record_idx.
+
+    A file is written beside its place and then moved there, so that a task that is lost or
+    run again leaves whole files only.
+    """
     if "record_idx" in rows.columns:
         rows = rows.groupBy("file").agg(F.max_by("body", "record_idx").alias("body"))
 
     def put(part: Iterator) -> None:
         os.makedirs(folder, exist_ok=True)
         for row in part:
-            with open(os.path.join(folder, row["file"]), "w", encoding="utf-8") as f:
+            place = os.path.join(folder, row["file"])
+            unfinished = f"{place}.{uuid.uuid4().hex}"
+            with open(unfinished, "w", encoding="utf-8") as f:
                 f.write(row["body"])
+            os.replace(unfinished, place)
 
     rows.select("file", "body").foreachPartition(put)
 
 
+def markdown_folder(path: str) -> str:
+    """Where the pages of a chat file go if nothing else is said: ``<stem>_md`` beside it."""
+    return f"{os.path.splitext(path)[0]}_md"
+
+
+def export_markdown(spark: SparkSession, path: str, folder: str | None = None, include_prompt: bool = False) -> str:
+    """A page for every frame of a chat file, and the lines of their index; the folder."""
+    from waymark.operators.documents import chat_to_markdown, markdown_index
+    from waymark.sources.readers import read_chat
+
+    folder = folder or markdown_folder(path)
+    chat = read_chat(spark, path)
+    write_files(chat_to_markdown(chat, include_prompt), folder)
+    write_index(markdown_index(chat), os.path.join(folder, "index"))
+    return folder
+
+
 def write_index(lines: DataFrame, path: str) -> None:
     """The index page's lines in order."""
     lines.orderBy("position").select("line").write.text(path)
