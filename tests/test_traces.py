@@ -172,7 +172,7 @@ def test_tables_of_meshes_and_answers(spark, tmp_path):
     assert readers.read_responses(spark, str(tmp_path / "r")).first().status == "ok"
     (tmp_path / "videos").mkdir()
     for name in ("ep00012.mp4", "ep3.mp4", "other.mp4", "ep4.txt"):
-        (tmp_path / "videos" / name).write_text("")
+        (tmp_path / "videos" / name).write_text("x")
     assert sorted(r.episode_id for r in readers.list_videos(spark, str(tmp_path / "videos")).collect()) == [3, 12]
 
 
