@@ -41,18 +41,26 @@ def padded_boxes(trajectories: DataFrame, padding: Column) -> DataFrame:
     )
 
 
-def crop_vertices(vertices: DataFrame, boxes: DataFrame) -> DataFrame:
+def crop_vertices(vertices: DataFrame, boxes: DataFrame, cell: tuple[float, float] | None = None) -> DataFrame:
     """(episode_id, scene, vertex_id, x, y, z): vertices inside a box of their scene, bounds
     included.
 
-    The equality on the scene carries the join and the six tests are its residual, so no
-    pairs across scenes are made; a scene with very many vertices is split by AQE, and the
-    boxes are broadcast when Spark finds them small.
+    Both sides are laid on a grid of ``cell`` (the mean box, if not given): a vertex is in
+    one cell and a box in each that it touches, so a vertex meets the boxes around it only
+    and not all of its scene.  The six tests decide what is inside.
     """
+    if cell is None:
+        cell = boxes.agg(*[F.avg(F.col(f"high_{a}") - F.col(f"low_{a}")) for a in "xy"]).first()
+    sizes = [F.lit(max(float(c or 0), 1e-6)) for c in cell]
+    tiles = boxes
+    for a, size in zip("xy", sizes):
+        ends = [F.floor(F.col(f"{end}_{a}") / size) for end in ("low", "high")]
+        tiles = tiles.withColumn(f"_c{a}", F.explode(F.sequence(*ends)))
+    placed = vertices.withColumns({f"_c{a}": F.floor(F.col(a) / size) for a, size in zip("xy", sizes)})
     inside = " and ".join(f"v.{a} between b.low_{a} and b.high_{a}" for a in "xyz")
     return (
-        vertices.alias("v")
-        .join(boxes.alias("b"), F.expr(f"v.scene = b.scene and {inside}"))
+        placed.alias("v")
+        .join(tiles.alias("b"), F.expr(f"v.scene = b.scene and v._cx = b._cx and v._cy = b._cy and {inside}"))
         .select("b.episode_id", "v.scene", "v.vertex_id", "v.x", "v.y", "v.z")
     )
 
