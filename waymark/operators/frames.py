@@ -101,7 +101,7 @@ def enabled_keyframes(keyframes: DataFrame, headers: DataFrame) -> DataFrame:
 
 def subtask_ranges(keyframes: DataFrame, headers: DataFrame) -> DataFrame:
     """Start and end frame of every sub-task label: first enabled to last disabled keyframe,
-    else to the task's end; none without an enabled keyframe."""
+    else to the task's end; none without an enabled keyframe.  The task's duration comes along."""
     on = is_enabled(keyframes)
     return (
         keyframes.where(F.col("kind") == "subtask")
@@ -113,7 +113,7 @@ def subtask_ranges(keyframes: DataFrame, headers: DataFrame) -> DataFrame:
         .where("start_frame is not null")
         .join(headers.select(*TASK, "duration"), TASK)
         .withColumn("end_frame", F.coalesce("last_off", "duration"))
-        .drop("last_off", "duration")
+        .drop("last_off")
     )
 
 
@@ -129,7 +129,8 @@ def frame_subtasks(headers: DataFrame, ranges: DataFrame) -> DataFrame:
     Ranges are cut to the task and expanded in place, so the only shuffle is the
     aggregation, which combines on the map side.
     """
-    inside = ranges.join(headers.select(*TASK, "duration"), TASK).select(
+    known = ranges if "duration" in ranges.columns else ranges.join(headers.select(*TASK, "duration"), TASK)
+    inside = known.select(
         *TASK,
         "result_idx",
         "label_idx",
@@ -159,13 +160,18 @@ def frame_objects(keyframes: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
+def labelled_frames(headers: DataFrame, keyframes: DataFrame) -> DataFrame:
+    """src_idx, task_idx, episode_id, frame, subtask of every frame."""
+    subtasks = frame_subtasks(headers, subtask_ranges(keyframes, headers))
+    return frame_skeleton(headers).join(subtasks, [*TASK, "frame"], "left")
+
+
 def expand_frames(headers: DataFrame, keyframes: DataFrame) -> DataFrame:
     """src_idx, task_idx, episode_id, frame, subtask, objects (empty if none) of every frame."""
     objects = frame_objects(keyframes, headers)
     kind = objects.schema["objects"].dataType.simpleString()
     return (
-        frame_skeleton(headers)
-        .join(frame_subtasks(headers, subtask_ranges(keyframes, headers)), [*TASK, "frame"], "left")
+        labelled_frames(headers, keyframes)
         .join(objects, [*TASK, "frame"], "left")
         .withColumn("objects", F.coalesce("objects", F.array().cast(kind)))
         .select(*TASK, "episode_id", "frame", "subtask", "objects")

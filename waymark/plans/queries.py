@@ -213,11 +213,15 @@ def err_not_in_instruction(spark, d):
 
 @query(["errors"], f"SELECT {_ERROR} FROM errors WHERE phase = 2")
 def err_missing_subtask(spark, d):
-    return _error_columns(frames.frame_errors(_frames1(spark, d)))
+    return _error_columns(frames.frame_errors(_subtasks1(spark, d)))
+
+
+def _subtasks1(spark, d):
+    return frames.labelled_frames(H.headers(spark, d), H.keyframes(spark, d))
 
 
 def _errors(spark, d):
-    return frames.quality_errors(_told(spark, d), H.keyframes(spark, d), _frames1(spark, d))
+    return frames.quality_errors(_told(spark, d), H.keyframes(spark, d), _subtasks1(spark, d))
 
 
 @query(["errors"], f"SELECT {_ERROR} FROM errors ORDER BY src_idx, task_idx, phase, result_idx, label_idx, frame")
@@ -231,7 +235,7 @@ def error_log_ordered(spark, d):
       (SELECT count(*) FROM errors) AS errors, (SELECT count(*) FROM labelled) AS frames, (SELECT count(subtask) FROM labelled) AS labelled_frames""",
 )
 def agg_run_report(spark, d):
-    return frames.run_report(_told(spark, d), _errors(spark, d), _frames1(spark, d))
+    return frames.run_report(_told(spark, d), _errors(spark, d), _subtasks1(spark, d))
 
 
 _PART = "SELECT part_idx, src_idx, task_idx, episode_id FROM (SELECT 0 AS part_idx, * FROM headers WHERE task_idx % 3 > 0 UNION ALL SELECT 1, * FROM headers WHERE task_idx % 3 < 2)"
