@@ -60,6 +60,13 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+@pytest.fixture(scope="module")
+def odd(docs):
+    """Rows of ``docs`` with some without an id, repeated too."""
+    nameless = docs.where("doc_id in (0, 1, 6, 9, 20)").withColumn("doc_id", F.lit(None).cast("long"))
+    return docs.unionByName(nameless).unionByName(nameless.where("text is not null")).repartition(4)
+
+
 def split(text, lower=False):
     data = (text or "").encode()
     return (data.lower() if lower else data).split()
@@ -344,6 +351,8 @@ def test_near_duplicates(docs, texts, empty, k):
     got = superminhash.near_duplicates(docs, k).collect()
     assert len(got) == docs.count()
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == expected
+    exact = superminhash.near_duplicates(docs, k, sketches=False).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in exact} == expected
     assert superminhash.near_duplicates(empty).count() == 0
 
 
@@ -639,6 +648,66 @@ def test_spans_are_cut(spark):
     assert {r.doc_id: r.clean_text for r in out} == {1: "Keep, () and éne.", 2: None}
 
 
+# --- rows without id, repeated rows, nulls and clashing names
+
+
+def test_rows_without_id(odd, docs, spark, sf_dir):
+    n, nameless = odd.count(), odd.where("doc_id is null").count()
+    assert nameless == 12
+    labels = spark.createDataFrame([(1, 0), (6, 1), (6, 0), (None, 1), (9, None), (9, 1), (77777, 0)], "doc_id long, quality int")
+    made = {
+        1: token_counts.count_documents(odd),
+        3: decision_list.judge_documents(odd, labels),
+        4: language_id.predict_documents(odd),
+        5: sharding.shard_documents(odd),
+        6: superminhash.group_documents(odd),
+        7: suffix_dedup.remove_documents(odd),
+        8: ppm.score_documents(odd, chunk_bytes=50_000),
+        9: mixing.mix_documents(odd),
+        10: decontaminate.decontaminate_documents(odd, spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
+    }
+    rows = {k: df.collect() for k, df in made.items()}
+    for k, got in rows.items():
+        assert len(got) == n and sum(r.doc_id is None for r in got) == nameless, k
+        assert len(set(got[0].asDict())) == len(got[0]), k
+    placed = ("shard", "slot", "taken", "copies")  # these tell repeated rows apart
+    for k, got in rows.items():
+        told = [{c: v for c, v in r.asDict().items() if c not in placed} for r in got if r.doc_id == 6]
+        assert len(told) == 2 and told[0] == pytest.approx(told[1]), k
+    assert all(r.held_out for k in (4, 8) for r in rows[k] if r.doc_id is None)
+    assert all(r.kept and r.component_id is None for r in rows[6] if r.doc_id is None)
+    assert all(r.taken <= 3 * r.size for r in rows[9])
+    again = mixing.mix_documents(odd.repartition(9)).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, rows[9]))
+
+
+def test_no_tokens(empty):
+    assert token_counts.count_documents(empty).count() == 0
+
+
+def test_odd_pages(spark):
+    rows = [(None, None, None), (1, None, "<p>a</p>"), (1, None, "<p>a</p>"), (2, "http://h/", ""), (3, "no host", "<b"), (4, "http://h/x", "x" * 300_000)]
+    pages = spark.createDataFrame([(*r, 1, 2) for r in rows], "page_id long, url string, html string, text int, regions int")
+    got = html_template.extract_pages(pages).collect()
+    assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 0), (1, 1), (1, 1), (2, 0), (3, 0), (4, 300_000)]
+
+
+def test_rules_hold_for_documents_that_did_not_teach(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    out = decision_list.judge_documents(d, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").toPandas()
+    right = (out.kept == (out.quality == 1)) | out.base_failed
+    assert len(out) > 100 and right.mean() > 0.9 and out[out.quality == 1].kept.mean() > 0.9
+
+
+def test_rules_do_not_hang_on_the_order_of_rows(spark, odd):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2, "doc_id long, quality int")
+    made = [
+        decision_list.fit(decision_list.with_statistics(decision_list.with_counts(odd.repartition(k))), labels.repartition(k), 10)
+        for k in (1, 5)
+    ]
+    assert made[0] == made[1]
+
+
 # --- queries and shared pieces
 
 

@@ -303,7 +303,9 @@ def fit(docs: DataFrame, parts: int = 5, sample_chars: int = SAMPLE_CHARS) -> Id
 def predict_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of every document.
 
-    A null text and a text without letters are ``und`` with score 0, and rejected.
+    A null text and a text without letters are ``und`` with score 0, and rejected.  A null id
+    counts as held out.  Of languages that fit equally well the first in order is told.
+    Repeated rows each have a result; an empty table gives an empty result.
     """
     model = fit(docs.select("doc_id", "text", "lang"))
     return (

@@ -175,12 +175,10 @@ def _differ(column: str, a: str, b: str, places: int) -> str:
     return " + ".join(terms)
 
 
-def _close(a: str, b: str, percent: int) -> str:
+def _close(a: str, b: str, percent: int, sketches: bool) -> str:
     """Cheap tests that a pair similar enough passes: set sizes, and the sketches' places."""
-    return (
-        f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) and "
-        f"{_differ('sketch', a, b, PLACES)} <= {MOST_DIFFERENT}"
-    )
+    sizes = f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
+    return f"{sizes} and {_differ('sketch', a, b, PLACES)} <= {MOST_DIFFERENT}" if sketches else sizes
 
 
 def near_duplicates(
@@ -189,8 +187,9 @@ def near_duplicates(
     percent: int = 80,
     id_col: str = "doc_id",
     text_col: str = "text",
+    sketches: bool = True,
 ) -> DataFrame:
-    """(id, n_shingles, component_id) of every row with an id.
+    """(id, n_shingles, component_id) of every row.
 
     Texts are lower-cased (A to Z) and cut in words; a document's set is its distinct
     ``k``-word shingles, and documents are linked if 100 * intersection >= percent *
@@ -207,6 +206,10 @@ def near_duplicates(
        finer sketches test the rest.  Links are confirmed on the full sets of whole texts.
     4. Components come from union by smallest label over tables in the shared folder.
 
+    ``sketches=False`` leaves out the sketch tests, which a linked pair fails with a
+    probability below 1e-5: every pair that shares a band and whose sizes allow it is then
+    compared in full.
+
     Null and empty texts have size 0 and are their own component, and so is a null id
     (with a null component).  Repeated rows are copies of each other; rows that share an
     id but not a text are placed by their texts.  An empty table gives an empty result.
@@ -256,7 +259,7 @@ def near_duplicates(
         )
         if turn < HUB_ROUNDS:
             found = placed.alias("x").join(mixed.alias("y"), "bucket").where(
-                "x.component <> y.hub.component and " + _close("x", "y.hub", percent)
+                "x.component <> y.hub.component and " + _close("x", "y.hub", percent, sketches)
             )
             pairs = found.selectExpr(
                 "least(x.rep, y.hub.rep) as a", "greatest(x.rep, y.hub.rep) as b"
@@ -265,13 +268,14 @@ def near_duplicates(
             open_ = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
             able = materialize(open_.join(_open_texts(texts, open_, k, percent), "rep"), "able")
             most = "least(x.most, y.most)"
+            fine = f"{_differ('fine', 'x', 'y', FINE_PLACES)} <= {FINE_DIFFERENT}" if sketches else "true"
             pairs = (
                 able.alias("x")
                 .join(able.alias("y"), "bucket")
                 .where(
                     "x.rep < y.rep and x.component <> y.component and "
-                    f"100 * {most} >= {percent} * (x.n + y.n - {most}) and {_close('x', 'y', percent)} and "
-                    f"{_differ('fine', 'x', 'y', FINE_PLACES)} <= {FINE_DIFFERENT} and "
+                    f"100 * {most} >= {percent} * (x.n + y.n - {most}) and {_close('x', 'y', percent, sketches)} and "
+                    f"{fine} and "
                     # a pair counts in the first of its buckets only
                     "bucket = array_min(array_intersect(x.buckets, y.buckets))"
                 )

@@ -133,7 +133,11 @@ def n_tokens(text: Column, tokenizer: str = TOKENIZER) -> Column:
 
 
 def count_documents(docs: DataFrame, limit: int = 512, tokenizer: str = TOKENIZER) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit of every document; a map without a shuffle."""
+    """doc_id, n_bytes, n_tokens, over_limit of every document; a map without a shuffle.
+
+    Null is an empty text of no tokens.  Pairs of one rank merge from left to right.  Repeated
+    rows each have a result; an empty table gives an empty result.
+    """
     return docs.select(
         "doc_id",
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
