@@ -183,10 +183,20 @@ _RANGES = f"{_KEY}, first int, last int"
 
 def _scan(width: int):
     """Each text's different segments; runs that a text has itself twice have no anchor."""
+    names = ["anchor", "print", "first", "last", "place", "again"]
+
+    def frame(keys: list, found: list[tuple[np.ndarray, ...]], own: list) -> pd.DataFrame:
+        sizes = [len(f[0]) for f in found]
+        columns = {n: np.concatenate(c) for n, c in zip(names, zip(*found))} if found else {n: [] for n in names}
+        columns = {c: np.repeat([k[j] for k in keys], sizes) for j, c in enumerate(("k1", "k2"))} | columns
+        rows = pd.DataFrame(columns)[["k1", "k2", *names]].astype({"anchor": "Int64", "print": "Int64"})
+        alone = pd.DataFrame(own, columns=["k1", "k2", "first", "last"]).assign(place=0, again=True)
+        alone["anchor"] = alone["print"] = pd.array([None] * len(alone), dtype="Int64")
+        return pd.concat([rows, alone[rows.columns]], ignore_index=True) if own else rows
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            keys, found, own = [], [], []
             for k1, k2, text in zip(batch["k1"], batch["k2"], batch["text"]):
                 first, last, place, anchor, prints = segments(_bytes(text), width)
                 if not len(first):
@@ -194,33 +204,21 @@ def _scan(width: int):
                 _, one, where, times = np.unique(
                     mix(anchor) ^ prints, return_index=True, return_inverse=True, return_counts=True
                 )
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "k1": k1,
-                            "k2": k2,
-                            "anchor": anchor[one].view(np.int64),
-                            "print": prints[one].view(np.int64),
-                            "first": first[one],
-                            "last": last[one],
-                            "place": place[one],
-                            "again": times > 1,
-                        }
-                    )
+                keys.append((k1, k2))
+                found.append(
+                    (anchor[one].view(np.int64), prints[one].view(np.int64), first[one], last[one], place[one], times > 1)
                 )
-                own = np.zeros(int(last[-1]) + 2, dtype=np.int64)
                 doubled = times[where] > 1
-                np.add.at(own, first[doubled], 1)
-                np.add.at(own, last[doubled] + 1, -1)
-                for a, b in _runs(np.cumsum(own)[:-1] > 0):
-                    out.append(
-                        pd.DataFrame(
-                            {"k1": [k1], "k2": [k2], "anchor": None, "print": None, "first": [a],
-                             "last": [b], "place": [0], "again": [True]}
-                        )
-                    )
-            if out:
-                yield pd.concat(out, ignore_index=True).astype({"anchor": "Int64", "print": "Int64"})
+                if doubled.any():
+                    edge = np.zeros(int(last[-1]) + 2, dtype=np.int64)
+                    np.add.at(edge, first[doubled], 1)
+                    np.add.at(edge, last[doubled] + 1, -1)
+                    own += [(k1, k2, a, b) for a, b in _runs(np.cumsum(edge)[:-1] > 0)]
+                if len(found) >= 512:
+                    yield frame(keys, found, own)
+                    keys, found, own = [], [], []
+            if found:
+                yield frame(keys, found, own)
 
     return scan
 
