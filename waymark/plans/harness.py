@@ -236,6 +236,32 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chat records as JSON lines, in order over the files they are written to."""
+    def alone(field: str, value):
+        j = F.to_json(F.struct(value.alias(field)), {"ignoreNullFields": "false"})
+        return F.substring(j, len(field) + 5, F.length(j) - len(field) - 5)
+
+    rows = chat(spark, sf_dir)
+    told = F.transform(
+        "messages",
+        lambda m: F.concat(
+            F.lit('{"role":'), alone("role", m["role"]), F.lit(',"content":'),
+            F.coalesce(F.to_json(m["items"]), alone("text", m["text"])), F.lit("}"),
+        ),
+    )
+    state = F.to_json(
+        F.struct(F.col("memory").alias("historical_trajectory_memory"), "history_source_frame"),
+        {"ignoreNullFields": "false"},
+    )
+    line = F.concat(
+        F.lit('{"episode_id":"'), F.col("episode_id").cast("string"), F.lit('","frame":'), F.col("frame").cast("string"),
+        F.lit(',"input_state":'), state, F.lit(',"messages":['), F.array_join(told, ","), F.lit("]}"),
+    )
+    ordered = rows.select("record_idx", line.alias("value")).repartitionByRange("record_idx")
+    return ordered.sortWithinPartitions("record_idx").select("value")
+
+
 #: Kinds of recorded answers; ``responses`` deals them by event and attempt.
 KINDS = 18
 

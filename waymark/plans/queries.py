@@ -17,6 +17,7 @@ from waymark.operators import chain, documents, frames, spatial, traces
 from waymark.plans import harness as H
 from waymark.plans.oracle_views import sql
 from waymark.sources import readers
+from waymark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -865,6 +866,18 @@ def doc_response_diagnosis(spark, d):
 # --- documents ---------------------------------------------------------------------------
 
 
+@query(
+    ["chats"],
+    """SELECT row_number() OVER (ORDER BY record_idx) - 1 AS record_idx, episode_id, frame::BIGINT AS frame, memory, history_source_frame,
+      image_path, prompt, answer FROM chats""",
+)
+def src_chat_jsonl(spark, d):
+    path = scratch_path(spark, "chat")
+    H.chat_lines(spark, d).write.text(path)
+    told = readers.read_chat(spark, path).withColumn("c", documents.first_contents(C("messages")))
+    return told.select("record_idx", "episode_id", "frame", "memory", "history_source_frame", "c.image_path", "c.prompt", "c.answer")
+
+
 @query(
     None,
     r"SELECT count(*) AS kept FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_replace(line, '\s+', '', 'g') <> ''",
