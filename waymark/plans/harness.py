@@ -56,6 +56,26 @@ def raw_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def export_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The tasks as exports: a file, each a JSON array, for every 1024 order keys."""
+    task = F.struct("task_idx", F.to_json(F.struct("data", "annotations"), {"ignoreNullFields": "false"}).alias("json"))
+    tasks_of = F.transform(F.sort_array(F.collect_list(task)), lambda t: t["json"])
+    _files(raw_tasks(spark, sf_dir), "task_idx", tasks_of, "[]").write.partitionBy("file").text(path)
+
+
+def truth_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The ground truth as objects keyed by episode."""
+    entry = F.concat(F.lit('"'), F.col("episode_key"), F.lit('":'), F.to_json(F.struct("actions")))
+    rows = truth(spark, sf_dir)
+    _files(rows, "episode_key", F.collect_list(entry), "{}").write.partitionBy("file").text(path)
+
+
+def _files(rows: DataFrame, key: str, parts, ends: str) -> DataFrame:
+    file = F.format_string("%010d", F.floor(F.col(key).cast("long") / 1024))
+    body = F.concat(F.lit(ends[0]), F.array_join(parts, ","), F.lit(ends[1]))
+    return rows.groupBy(file.alias("file")).agg(body.alias("value"))
+
+
 def keyframes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as keyframes: one label per line number of an order, named by a part."""
     li, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")

@@ -16,7 +16,7 @@ from waymark.functions import validation as V
 from waymark.operators import chain, documents, frames, spatial, traces
 from waymark.plans import harness as H
 from waymark.plans.oracle_views import sql
-from waymark.sources import readers
+from waymark.sources import readers, sinks
 from waymark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,25 @@ def first_meta_key(spark, d):
     )
 
 
+@query(
+    ["tasks"],
+    """SELECT dense_rank() OVER (ORDER BY task_idx // 1024) - 1 AS src_idx, row_number() OVER (PARTITION BY task_idx // 1024 ORDER BY task_idx) - 1 AS task_idx,
+      video_url, coalesce(trunc(meta_duration), trunc(result_duration), 0)::INT AS duration FROM tasks""",
+)
+def src_annotation_export(spark, d):
+    path = scratch_path(spark, "export")
+    H.export_files(spark, d, path)
+    read = frames.task_header(readers.read_annotation_export(spark, path), "fallback")
+    return read.select("src_idx", "task_idx", "video_url", "duration")
+
+
+@query(["truth"], "SELECT episode_key, array_to_string(actions, ' ') AS actions FROM truth")
+def src_ground_truth(spark, d):
+    path = scratch_path(spark, "truth")
+    H.truth_files(spark, d, path)
+    return readers.read_ground_truth(spark, path).select("episode_key", F.array_join(C("actions").cast("array<string>"), " ").alias("actions"))
+
+
 @query(
     ["tasks"],
     "SELECT task_idx, trunc(meta_duration)::INT AS duration, CASE WHEN meta_duration IS NULL THEN 'duration' END AS problem FROM tasks",
@@ -180,17 +199,28 @@ def join_objects_left(spark, d):
     FROM told t JOIN labelled l ON t.task_idx = l.task_idx LEFT JOIN placed_text p ON l.task_idx = p.task_idx AND l.frame = p.frame GROUP BY t.task_idx""",
 )
 def agg_assemble_frames(spark, d):
+    rows = frames.assemble_episodes(_told(spark, d), _frames1(spark, d))
+    return _assembled(rows).select("task_idx", "episode_id", "instruction", "n_frames", "frames")
+
+
+def _assembled(rows):
     told = F.transform(
         "frames",
         lambda f: F.concat_ws(":", f["frame"].cast("string"), F.coalesce(f["subtask"], F.lit("-")), F.size(f["objects"]).cast("string")),
     )
-    return frames.assemble_episodes(_told(spark, d), _frames1(spark, d)).select(
-        "task_idx",
-        "episode_id",
-        "instruction",
-        F.size("frames").cast("long").alias("n_frames"),
-        F.array_join(told, " ").alias("frames"),
-    )
+    return rows.withColumns({"n_frames": F.size("frames").cast("long"), "frames": F.array_join(told, " ")})
+
+
+@query(
+    ["told", "labelled", "placed_text"],
+    """SELECT any_value(t.episode_id) AS episode_id, any_value(instruction) AS instruction, count(l.frame) AS n_frames,
+      string_agg(l.frame || ':' || coalesce(subtask, '-') || ':' || coalesce(n_objects, 0), ' ' ORDER BY l.frame) AS frames
+    FROM told t JOIN labelled l ON t.task_idx = l.task_idx LEFT JOIN placed_text p ON l.task_idx = p.task_idx AND l.frame = p.frame GROUP BY t.task_idx""",
+)
+def src_processed_episodes(spark, d):
+    path = scratch_path(spark, "episodes")
+    sinks.write_episodes(frames.assemble_episodes(_told(spark, d), _frames1(spark, d)), path)
+    return _assembled(readers.read_episodes(spark, path)).select("episode_id", "instruction", "n_frames", "frames")
 
 
 # --- quality errors ----------------------------------------------------------------------
