@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -50,52 +50,70 @@ class LanguageModel:
     contexts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
 
+class Places:
+    """All places of some words at which a symbol - a letter or a word's end - is told.
+
+    ``inside`` is the place in its word, 1 for the first letter; ``word`` is its number.
+    """
+
+    def __init__(self, words: list[str]):
+        joined = "\n".join(["", *words, ""]).encode("utf-32-le", "surrogatepass")
+        self.seen = np.frombuffer(joined, np.uint32).astype(np.uint64)
+        breaks = np.flatnonzero(self.seen == 10)
+        self.starts, self.ends = breaks[:-1], breaks[1:]
+        # a break is read as a word's end when it is told and as a start when it is context
+        self.told = self.seen.copy()
+        self.seen[breaks], self.told[breaks] = _START, _END
+        sizes = np.diff(breaks)
+        self.inside = np.zeros(len(self.seen), dtype=np.int64)
+        self.inside[1:] = np.arange(1, len(self.seen)) - np.repeat(self.starts, sizes)
+        self.word = np.concatenate(([0], np.repeat(np.arange(len(words)), sizes)))
+
+    def hashes(self, orders: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For k = 0, 1, ... symbols before a place: the places that have them, and hashes of
+        these symbols and of them with the one there."""
+        past, power = np.zeros(len(self.seen), dtype=np.uint64), np.ones(1, dtype=np.uint64)
+        for k in range(orders):
+            fits = np.flatnonzero(self.inside >= max(k, 1))
+            before, symbol = past[fits], self.told[fits]
+            gram = mix((np.uint64(k + 1) * power + before) * STEP + symbol)
+            yield fits, mix(np.uint64(k) * power + before), gram
+            past = past + np.roll(self.seen, k + 1) * power
+            power = power * STEP
+
+
 def fit_language(word_counts: dict[str, int], order: int = ORDER) -> LanguageModel:
     """Interpolated Kneser-Ney over the letters of counted words.
 
     The longest grams, and grams that begin a word, count their occurrences; all others
-    count the distinct symbols that precede them.  Contexts do not cross words.
+    count the distinct symbols that precede them, which are the distinct grams one symbol
+    longer.  Contexts do not cross words.
     """
-    counts: list[Counter] = [Counter() for _ in range(order + 1)]
-    lefts: list[defaultdict] = [defaultdict(set) for _ in range(order + 1)]
-    for word, n in word_counts.items():
-        s = (_START, *map(ord, word), _END)
-        for i in range(1, len(s)):
-            for k in range(1, min(order, i + 1) + 1):
-                gram = s[i - k + 1 : i + 1]
-                if k == order or gram[0] == _START:
-                    counts[k][gram] += n
-                else:
-                    lefts[k][gram].add(s[i - k])
+    at = Places(list(word_counts))
+    times = np.fromiter(word_counts.values(), np.int64, len(word_counts))
+    levels = list(at.hashes(order))
     model = LanguageModel()
-    for k in range(1, order + 1):
-        table = counts[k] + Counter({g: len(x) for g, x in lefts[k].items()})
-        ones = sum(1 for c in table.values() if c == 1)
-        twos = sum(1 for c in table.values() if c == 2)
+    for k, (fits, contexts, grams) in enumerate(levels):
+        counted = at.inside[fits] == k if k + 1 < order else np.ones(len(fits), dtype=bool)
+        told, n = [grams[counted]], [times[at.word[fits[counted]]]]
+        if k + 1 < order:
+            longer, _, wider = levels[k + 1]
+            _, first = np.unique(wider, return_index=True)
+            told.append(grams[np.searchsorted(fits, longer[first])])
+            n.append(np.ones(len(first), dtype=np.int64))
+        keys, where = np.unique(np.concatenate(told), return_inverse=True)
+        counts = np.bincount(where, weights=np.concatenate(n), minlength=len(keys))
+        ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
         discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-        total, kinds = Counter(), Counter()
-        for gram, c in table.items():
-            total[gram[:-1]] += c
-            kinds[gram[:-1]] += 1
-        keys = np.array(list(table), dtype=np.uint64).reshape(len(table), k)
-        share = np.array([(c - discount) / total[g[:-1]] for g, c in table.items()])
-        model.grams.append(_sorted(keys, share))
-        keys = np.array(list(total), dtype=np.uint64).reshape(len(total), k - 1)
-        rest = np.array([discount * kinds[g] / t for g, t in total.items()])
-        model.contexts.append(_sorted(keys, rest))
+        some, first = np.unique(grams, return_index=True)
+        context = contexts[first[np.searchsorted(some, keys)]]
+        known, of = np.unique(context, return_inverse=True)
+        total, kinds = np.bincount(of, weights=counts), np.bincount(of)
+        model.grams.append((keys, (counts - discount) / total[of]))
+        model.contexts.append((known, discount * kinds / total))
     return model
 
 
-def _sorted(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    k = rows.shape[1]
-    total = np.full(len(rows), k, dtype=np.uint64)
-    for j in range(k):
-        total = total * STEP + rows[:, j]
-    keys = mix(total)
-    order = np.argsort(keys)
-    return keys[order], values[order]
-
-
 def _merged(tables: list[tuple[np.ndarray, np.ndarray]], missing: float) -> tuple[np.ndarray, np.ndarray]:
     """The sorted hashes of all languages with a row of their values each, and a last row
     for what none has."""
@@ -125,30 +143,14 @@ def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
 
 def word_scores(words: list[str], tables: Tables) -> np.ndarray:
     """Natural log probability of each word (its letters and its end) per language."""
-    joined = "\n".join(["", *words, ""]).encode("utf-32-le", "surrogatepass")
-    seen = np.frombuffer(joined, np.uint32).astype(np.uint64)
-    breaks = np.flatnonzero(seen == 10)
-    starts, ends = breaks[:-1], breaks[1:]
-    # a break is read as a word's end when it is predicted and as a start when it is context
-    told = seen.copy()
-    seen[breaks], told[breaks] = _START, _END
-    where = np.arange(1, len(seen))
-    inside = np.zeros(len(seen), dtype=np.int64)
-    inside[1:] = where - np.repeat(starts, np.diff(breaks))
-    past, power = np.zeros(len(seen), dtype=np.uint64), np.ones(1, dtype=np.uint64)
-    p = np.full((len(seen), tables.grams[0][1].shape[1]), _FLOOR)
-    for k, (grams, contexts) in enumerate(zip(tables.grams, tables.contexts)):
-        # of the k symbols before each place and the one there
-        fits = np.flatnonzero(inside >= k)
-        context, symbol = past[fits], told[fits]
-        share = _find(grams, mix((np.uint64(k + 1) * power + context) * STEP + symbol))
-        rest = _find(contexts, mix(np.uint64(k) * power + context))
-        p[fits] = share + rest * p[fits]
-        past = past + np.roll(seen, k + 1) * power
-        power = power * STEP
+    at = Places(words)
+    p = np.full((len(at.seen), tables.grams[0][1].shape[1]), _FLOOR)
+    levels = at.hashes(len(tables.grams))
+    for grams, contexts, (fits, before, gram) in zip(tables.grams, tables.contexts, levels):
+        p[fits] = _find(grams, gram) + _find(contexts, before) * p[fits]
     total = np.zeros_like(p)
     np.cumsum(np.log(p[1:]), axis=0, out=total[1:])
-    return total[ends] - total[starts]
+    return total[at.ends] - total[at.starts]
 
 
 @dataclass
