@@ -31,7 +31,7 @@ def answer(prompt, notes, attempt, frame):
         return ("ok", "{}") if frame["frame"] % 2 else ("transport_error", "")
     if attempt == 1:
         return "ok", "no json"
-    assert notes and notes[0][0] == "no json" and "json" in notes[0][1]
+    assert notes and notes[0][0] == "no json" and "Invalid JSON" in notes[0][1]
     return "ok", json.dumps(dict(zip(STEPS, ["on", frame["seen"], frame["said"], f"{frame['said']} at {frame['frame']}"])))
 
 
@@ -48,7 +48,7 @@ def recorded(spark, eligible, responder, attempts=3):
         for k in range(1, attempts + 1):
             status, content = responder("", notes, k, r.asDict(recursive=True))
             told.append((r.src_idx, r.task_idx, r.frame_pos, k, status, content))
-            notes = notes + [(content, "json")]
+            notes = notes + [(content, "Invalid JSON")]
     schema = "src_idx int, task_idx long, frame_pos int, attempt int, status string, content string"
     return spark.createDataFrame(told, schema)
 
@@ -61,7 +61,7 @@ def shown(df):
 
 
 def test_live_equals_replay(spark, sf_dir):
-    eligible = first_turns(spark, sf_dir, 3)
+    eligible = first_turns(spark, sf_dir, 2)
     responses = recorded(spark, eligible, answer)
     for policy in chain.POLICIES:
         live = shown(chain.generate_chain(eligible, answer, policy))
@@ -71,7 +71,7 @@ def test_live_equals_replay(spark, sf_dir):
 
 
 def test_template_policy(spark, sf_dir):
-    eligible = first_turns(spark, sf_dir, 2)
+    eligible = first_turns(spark, sf_dir, 1)
     rows = chain.generate_chain(eligible, lambda p, n, k, f: ("ok", ""), "template").collect()
     assert {r.outcome for r in rows} <= {"template", "invalid"}
     assert any(r.outcome == "template" and "Task Progress" in r.answer for r in rows)
