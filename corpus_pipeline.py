@@ -19,7 +19,9 @@ def whole_rows(docs: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that belong to no learned language, or have no letters, go.
 
-    Models are learned from the documents that come in; ``lang`` stays as it is.
+    Models are learned from the documents that come in; ``lang`` stays as it is.  Repeated
+    rows fare alike, a null id is as good as any; without any ``lang`` nothing is learned and
+    all documents go.  An empty table stays empty.
     """
     model = language_id.fit(docs.select("doc_id", "text", "lang"))
     told = whole_rows(docs).withColumn("language", language_id.identify(docs, model))
@@ -52,14 +54,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold too much of a benchmark item go; all others stay whole."""
+    """Documents that hold too much of a benchmark item go; all others stay whole.
+
+    Repeated rows fare alike; a null or empty text holds nothing and stays.  Without items all
+    stay; an empty table stays empty.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hits = decontaminate.with_verdict(decontaminate.find_hits(whole_rows(docs), benchmark))
     return hits.where("not contaminated").select("row.*")
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a document stands in as many rows as the mix takes."""
+    """Sources at their target weights: a document stands in as many rows as the mix takes.
+
+    A text without words is never taken.  Rows that share id and text are interchangeable,
+    and equal hashes are ordered by size.  An empty table stays empty.
+    """
     sized = docs.select(
         "doc_id",
         "source",
@@ -73,7 +83,11 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The manifest: shard and slot of every row, with its size and checksum but no text."""
+    """The manifest: shard and slot of every row, with its size and checksum but no text.
+
+    Rows are ordered by id (null first), size and checksum; equal ones are interchangeable.
+    An empty table gives an empty manifest.
+    """
     narrow = docs.select(
         "doc_id",
         "lang",
