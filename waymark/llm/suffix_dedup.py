@@ -27,7 +27,7 @@ GRAM = 32
 #: Period of the difference cover; WIDTH must be a multiple of it.
 PERIOD = 100
 #: Bytes of one block of buckets that a task sorts at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: A bucket with more different segments is split by longer prefixes, not sorted in one task.
 BUCKET_SEGMENTS = 256
 #: Suffixes to a piece of a split bucket.
