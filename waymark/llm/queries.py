@@ -12,6 +12,7 @@ from waymark.llm import (
     html_template,
     language_id,
     mixing,
+    packing,
     ppm,
     sharding,
     suffix_dedup,
@@ -70,6 +71,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         name: q
