@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -49,31 +50,25 @@ def facts(rows):
 
 
 def enumerate_edits(rows, faults):
-    """All edits with up to two insertions at each place, cheapest first by (cost, audit)."""
+    """All edits with up to two insertions at each place whose roles begin a legal pattern."""
     best = None
-
-    def ways(i):
+    stack = [(0, 0, 0, "", [])]
+    while stack:
+        i, inserted, cost, audit, said = stack.pop()
+        if not re.fullmatch("s?(ua)*u?", "".join(r[:1] or "-" for r, _ in said)):
+            continue
+        if i == len(rows) and re.fullmatch("(s?(ua)+)?", "".join(r[:1] for r, _ in said)):
+            best = min(best or (cost, audit, said), (cost, audit, said), key=lambda b: b[:2])
+        if inserted < 2:
+            stack += [(i, inserted + 1, cost + 2, audit + "I", [*said, (r, "")]) for r in ("user", "assistant")]
         if i == len(rows):
-            yield 0, "", []
-            return
+            continue
         _, role, text = rows[i]
-        for cost, audit, said in places(i + 1):
-            yield cost + 3, "D" + audit, said
-            if faults[i] not in ("blank", "duplicate"):
-                extra = faults[i] == "truncated"
-                yield cost + extra, "K" + audit, [(role, text), *said]
-                for new in ("user", "assistant"):
-                    yield cost + extra + 2, "R" + audit, [(new, text), *said]
-
-    def places(i):
-        for cost, audit, said in ways(i):
-            for k in range(3):
-                for new in itertools.product(("user", "assistant"), repeat=k):
-                    yield cost + 2 * k, "I" * k + audit, [*((r, "") for r in new), *said]
-
-    for cost, audit, said in places(0):
-        if re.fullmatch("(s?(ua)+)?", "".join(r[:1] or "-" for r, _ in said)) and (best is None or (cost, audit) < best[:2]):
-            best = cost, audit, said
+        stack.append((i + 1, 0, cost + 3, audit + "D", said))
+        if faults[i] not in ("blank", "duplicate"):
+            extra = faults[i] == "truncated"
+            stack.append((i + 1, 0, cost + extra, audit + "K", [*said, (role, text)]))
+            stack += [(i + 1, 0, cost + extra + 2, audit + "R", [*said, (r, text)]) for r in ("user", "assistant")]
     return best
 
 
@@ -163,40 +158,41 @@ def test_long_conversations_are_cut_and_joined(spark):
     check(spark, rows, shortest)
 
 
+def random_steps(rng, n):
+    for _ in range(n):
+        gone = rng.random() < 0.2
+        yield (None, 0, rng.randint(1, 3)) if gone else (rng.choice(["s", "u", "a", "u", "a", "", "t"]), rng.randint(0, 1), 1)
+
+
 def test_bounds_never_exceed_the_cost():
     rng = random.Random(1)
     for _ in range(300):
-        steps = []
-        for _ in range(rng.randint(0, 12)):
-            gone = rng.random() < 0.2
-            steps.append((None, 0, rng.randint(1, 3)) if gone else (rng.choice(["s", "u", "a", "u", "a", "", "t"]), rng.randint(0, 1), 1))
-        bound = cr.suffix_bounds(steps)
+        steps = list(random_steps(rng, rng.randint(0, 12)))
+        bounds = cr.suffix_bounds(steps)
         for i in range(len(steps) + 1):
-            best = min(cr.branch_and_bound(steps[i:], q)[0] for q in range(4))
-            assert bound[i] <= best
+            for q in range(4):
+                assert bounds[i][q] <= cr.branch_and_bound(steps[i:], q)[0]
 
 
-def test_search_visits_few_nodes(monkeypatch):
-    """Worse prefixes are dropped: the work does not explode with the length."""
-    rng = random.Random(2)
-    looked = []
-    for n in (100, 200, 400):
-        steps = [(rng.choice("ua"), rng.randint(0, 1), 1) for _ in range(n)]
-
-        class Counted(list):
-            pops = 0
+def test_loose_bounds_give_the_same_optimum():
+    """Pruning and dominance alone are right, whatever the bounds are worth."""
+    rng = random.Random(8)
+    for _ in range(200):
+        steps = list(random_steps(rng, rng.randint(0, 14)))
+        for goals in ((0, 3), (1,), (2,)):
+            entry = rng.randrange(4)
+            tight = cr.suffix_bounds(steps, goals)
+            loose = [[0 if b < float("inf") else b for b in row] for row in tight]
+            assert cr.branch_and_bound(steps, entry, goals, loose) == cr.branch_and_bound(steps, entry, goals)
 
-            def pop(self):
-                Counted.pops += 1
-                return super().pop()
 
-        bounds = cr.suffix_bounds(steps)
-        assert len(bounds) == n + 1
-        table_size = 4 * (n + 1)
-        cost, audit = cr.branch_and_bound(steps)
+def test_long_search_ends_soon():
+    rng = random.Random(2)
+    began = time.time()
+    for n in (500, 2000):
+        cost, audit = cr.branch_and_bound([(rng.choice("ua"), rng.randint(0, 1), 1) for _ in range(n)])
         assert len(audit.replace("I", "")) == n
-        looked.append((table_size, cost))
-    assert looked[0][1] < looked[2][1]
+    assert time.time() - began < 10
 
 
 @pytest.mark.parametrize("rows", [[], [(1, 1, "user", "x", "", 0)]])

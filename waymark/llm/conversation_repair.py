@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,34 +34,41 @@ PAIRS = [
 LEGAL = ("su", "ua", "au")
 
 
-def suffix_bounds(steps: list[tuple[str | None, int, int]]) -> list[int]:
-    """A lower bound of the cost of each suffix.
+Step = tuple[str | None, int, int]
 
-    Forced deletions and truncated rows cost what they cost, a role that no pattern holds
-    costs a change, and of neighbours that cannot stand beside each other disjoint pairs
-    cost a change or an insertion each.
+
+def suffix_bounds(steps: list[Step], goals: tuple[int, ...] = FINAL) -> list[list[float]]:
+    """A lower bound of what each suffix costs from each state, read from the end.
+
+    It looks at costs only, so four numbers a row do; audits, which decide between edits of
+    equal cost, are left to the search.
     """
-    base, pairs = [0] * (len(steps) + 1), [0] * (len(steps) + 1)
-    follows: str | None = None  # initial of the next row that may stay, if roles are legal up to it
-    after = 0  # pairs behind that row
-    for i in range(len(steps) - 1, -1, -1):
-        initial, extra, times = steps[i]
-        pairs[i] = pairs[i + 1]
-        if initial is None:
-            base[i] = base[i + 1] + DELETE * times
-        elif initial not in ("s", "u", "a"):
-            base[i] = base[i + 1] + min(REROLE + extra, DELETE)
-            follows = None
-        else:
-            base[i] = base[i + 1] + extra
-            if follows is not None and initial + follows not in LEGAL:
-                pairs[i] = max(pairs[i + 1], 2 + after)
-            follows, after = initial, pairs[i + 1]
-    return [a + b for a, b in zip(base, pairs)]
+    last = [0 if q in goals else math.inf for q in range(4)]
+    bounds = [_inserted(last)]
+    for initial, extra, times in reversed(steps):
+        after = bounds[-1]
+        here = [after[q] + DELETE * times for q in range(4)]
+        if initial is not None:
+            here = [min(here[q], after[NEW[q]] + REROLE + extra) for q in range(4)]
+            for (q, role), nxt in STEP.items():
+                if role == initial:
+                    here[q] = min(here[q], after[nxt] + extra)
+        bounds.append(_inserted(here))
+    return bounds[::-1]
+
+
+def _inserted(costs: list[float]) -> list[float]:
+    """What each state costs if rows may be inserted first; two lead to every state there is."""
+    for _ in range(2):
+        costs = [min(costs[q], INSERT + costs[NEW[q]]) for q in range(4)]
+    return costs
 
 
 def branch_and_bound(
-    steps: list[tuple[str | None, int, int]], entry: int = NOTHING, goals: tuple[int, ...] = FINAL
+    steps: list[Step],
+    entry: int = NOTHING,
+    goals: tuple[int, ...] = FINAL,
+    bounds: list[list[float]] | None = None,
 ) -> tuple[int, str] | None:
     """The cheapest edits from ``entry`` to one of ``goals``, of these the least audit.
 
@@ -72,7 +80,9 @@ def branch_and_bound(
     other, and what follows cannot turn their order.  When the stack is empty the incumbent
     is proved to be the optimum.
     """
-    n, bound = len(steps), suffix_bounds(steps)
+    n, bounds = len(steps), bounds or suffix_bounds(steps, goals)
+    if bounds[0][entry] == math.inf:
+        return None
     best: tuple[int, str] | None = None
     table = {(0, entry): (0, "")}
     stack = [(0, entry, 0, "")]
@@ -81,7 +91,7 @@ def branch_and_bound(
         if table[i, state] != (cost, audit):
             continue
         if best is not None:
-            least = cost + bound[i]
+            least = cost + bounds[i][state]
             if least > best[0] or least == best[0] and audit > best[1][: len(audit)]:
                 continue
         if i == n and state in goals and (best is None or (cost, audit) < best):
@@ -94,10 +104,10 @@ def branch_and_bound(
                 moves.append((cost + REROLE + extra, audit + "R", i + 1, NEW[state]))
                 if (state, initial) in STEP:
                     moves.append((cost + extra, audit + "K", i + 1, STEP[state, initial]))
-        moves.sort(key=lambda m: (m[0] + bound[m[2]], m[1]), reverse=True)
+        moves.sort(key=lambda m: (m[0] + bounds[m[2]][m[3]], m[1]), reverse=True)
         for c, a, j, q in moves:
             known = table.get((j, q))
-            if known is None or (c, a) < known:
+            if bounds[j][q] < math.inf and (known is None or (c, a) < known):
                 table[j, q] = (c, a)
                 stack.append((j, q, c, a))
     return best
@@ -197,7 +207,8 @@ def _segment(c: str, at: int, rows: list[tuple], whole: bool) -> dict:
         cost, audit = branch_and_bound(steps)
         paths = [(NOTHING, ASSISTANT, cost, audit)]
     else:
-        found = [(a, b, branch_and_bound(steps, a, (b,))) for a, b in PAIRS]
+        bounds = {b: suffix_bounds(steps, (b,)) for b in range(4)}
+        found = [(a, b, branch_and_bound(steps, a, (b,), bounds[b])) for a, b in PAIRS]
         paths = [(a, b, *best) for a, b, best in found if best is not None]
     return out | {
         "c": c, "at": at, "first_turn": first_turn, "last_turn": last_turn, "whole": whole,

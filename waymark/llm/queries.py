@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from waymark.llm import (
+    conversation_repair,
     decision_list,
     decontaminate,
     html_template,
@@ -75,6 +76,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         name: q
