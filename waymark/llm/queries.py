@@ -12,6 +12,7 @@ from waymark.llm import (
     decontaminate,
     html_template,
     language_id,
+    lexical_search,
     mixing,
     packing,
     ppm,
@@ -80,6 +81,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         name: q
@@ -239,3 +246,29 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY upto) - 1 AS slot, NULL::INT AS grown_shard
 FROM dealt
 """
+
+SQL["op13_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), b AS (
+  SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark
+), tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM d GROUP BY ALL
+), sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM d GROUP BY doc_id
+), totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS len FROM sizes
+), m AS (SELECT doc_id, 50 + (50 * n * n_docs) // len AS m FROM sizes, totals
+), w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, totals GROUP BY term, n_docs
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM b JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
