@@ -61,7 +61,7 @@ def shown(df):
 
 
 def test_live_equals_replay(spark, sf_dir):
-    eligible = first_turns(spark, sf_dir, 2)
+    eligible = first_turns(spark, sf_dir, 1000)
     responses = recorded(spark, eligible, answer)
     for policy in chain.POLICIES:
         live = shown(chain.generate_chain(eligible, answer, policy))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from waymark.functions import fixed_texts as T
 from waymark.functions.boxes import format_object_names
-from waymark.functions.text import collapse_whitespace, list_repr
+from waymark.functions.text import collapse_whitespace, fill, list_repr
 
 #: Action codes.
 ACTIONS = {0: "STOP", 1: "MOVE_FORWARD", 2: "TURN_LEFT", 3: "TURN_RIGHT"}
@@ -45,13 +46,8 @@ def completed_subtasks(subtasks: Column, completed: Column) -> Column:
 
 def memory_anchor(subtask: Column, objects: Column, action: Column, preferred: Column) -> Column:
     """The memory that a frame hands on: the preferred text, else a sentence of facts."""
-    on = F.coalesce(F.nullif(subtask, F.lit("")), F.lit("the current sub-task"))
-    start = F.concat(F.lit("The agent is on '"), collapse_whitespace(on), F.lit("', "))
-    end = F.concat(F.lit("and the action taken is "), action_phrase(action), F.lit("."))
-    seen = F.when(
-        F.coalesce(F.size(objects), F.lit(0)) > 0,
-        F.concat(F.lit("sees "), format_object_names(objects), F.lit(", ")),
-    ).otherwise(F.lit("no annotated object is visible, "))
-    return F.when(preferred != "", history_memory_text(preferred)).otherwise(
-        F.concat(start, seen, end)
-    )
+    on = collapse_whitespace(F.coalesce(F.nullif(subtask, F.lit("")), F.lit(T.ANCHOR_SUBTASK)))
+    some = F.coalesce(F.size(objects), F.lit(0)) > 0
+    seen = F.when(some, fill(T.ANCHOR_SEEN, objects=format_object_names(objects))).otherwise(F.lit(T.ANCHOR_UNSEEN))
+    facts = fill(T.ANCHOR, subtask=on, seen=seen, phrase=action_phrase(action))
+    return F.when(preferred != "", history_memory_text(preferred)).otherwise(facts)

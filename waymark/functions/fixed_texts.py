@@ -195,3 +195,8 @@ TRUTH_STEP3_UNSEEN = (
 TRUTH_STEP4 = (
     "The agent is on step {step}: '{subtask}', and the action taken in this frame is {phrase}."
 )
+#: The memory that a frame hands on where no answer says it.
+ANCHOR = "The agent is on '{subtask}', {seen}and the action taken is {phrase}."
+ANCHOR_SUBTASK = "the current sub-task"
+ANCHOR_SEEN = "sees {objects}, "
+ANCHOR_UNSEEN = "no annotated object is visible, "

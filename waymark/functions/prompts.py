@@ -20,16 +20,15 @@ def has_objects(objects: Column) -> Column:
     return F.coalesce(F.size(objects), F.lit(0)) > 0
 
 
-def build_prompt(
+def prompt_halves(
     subtask: Column,
     objects: Column,
-    memory: Column,
     instruction: Column,
     subtasks: Column,
     completed: Column,
     action: Column,
-) -> Column:
-    """The request text of a frame; the first object is the target."""
+) -> tuple[Column, Column]:
+    """The request text of a frame before and after the memory; the first object is the target."""
     first = F.get(objects, F.lit(0))
     values = {
         "global_instruction": instruction,
@@ -37,7 +36,6 @@ def build_prompt(
         "completed_subtasks": completed_subtasks(subtasks, completed),
         "completed_index": completed,
         "current_subtask": current_subtask(subtask, subtasks, completed, instruction),
-        "script_memory": history_memory_text(memory),
         "next_action": action,
     }
     seen = {
@@ -45,9 +43,26 @@ def build_prompt(
         "bbox_norm": int_list_repr(normalize_bbox(first["bbox"])),
         "annotated_objects": format_annotated_objects(objects),
     }
-    return F.when(has_objects(objects), fill(T.PROMPT_VISIBLE, **values, **seen)).otherwise(
-        fill(T.PROMPT_UNSEEN, **values)
+    halves = zip(T.PROMPT_VISIBLE.split("{script_memory}"), T.PROMPT_UNSEEN.split("{script_memory}"))
+    before, after = (
+        F.when(has_objects(objects), fill(visible, **values, **seen)).otherwise(fill(unseen, **values))
+        for visible, unseen in halves
     )
+    return before, after
+
+
+def build_prompt(
+    subtask: Column,
+    objects: Column,
+    memory: Column,
+    instruction: Column,
+    subtasks: Column,
+    completed: Column,
+    action: Column,
+) -> Column:
+    """The request text of a frame."""
+    before, after = prompt_halves(subtask, objects, instruction, subtasks, completed, action)
+    return F.concat(before, history_memory_text(memory), after)
 
 
 def render_trace(steps: list[Column], action: Column) -> Column:
@@ -55,23 +70,22 @@ def render_trace(steps: list[Column], action: Column) -> Column:
     return fill(T.ANSWER, **{f"step{i}": s for i, s in enumerate(steps, 1)}, action=action)
 
 
-def template_steps(
+def template_halves(
     subtask: Column,
     objects: Column,
-    memory: Column,
     instruction: Column,
     subtasks: Column,
     completed: Column,
     action: Column,
-) -> list[Column]:
-    """Four steps made from ground truth alone; they too must pass validation to be used."""
+) -> tuple[tuple[Column, Column], list[Column]]:
+    """Four steps made from ground truth alone: the first one before and after what it says of
+    the memory, and the others, which do not show it."""
     total = F.greatest(F.lit(1), F.size(subtasks))
     done = F.greatest(F.lit(0), F.least(completed, total))
     step = F.greatest(F.lit(1), F.least(completed + 1, total))
-    shown = history_memory_text(memory)
     now = current_subtask(subtask, subtasks, completed, instruction)
-    clause = F.when(shown == "None", T.TRUTH_NO_MEMORY).otherwise(fill(T.TRUTH_MEMORY, memory=shown))
-    step1 = fill(T.TRUTH_STEP1, clause=clause, done=done, total=total, step=step, subtask=now)
+    before, after = T.TRUTH_STEP1.split("{clause}")
+    first = (F.lit(before), fill(after, done=done, total=total, step=step, subtask=now))
     about = {"step": step, "subtask": now}
     seen = fill(T.TRUTH_STEP3_OTHER, **about)
     for name, text in T.TRUTH_STEP3.items():
@@ -80,8 +94,7 @@ def template_steps(
         fill(T.TRUTH_STEP3_UNSEEN, **about, phrase=action_phrase(action))
     )
     some = has_objects(objects)
-    return [
-        step1,
+    return first, [
         F.when(some, fill(T.TRUTH_STEP2, objects=format_annotated_objects(objects))).otherwise(
             F.lit(T.TRUTH_STEP2_UNSEEN)
         ),
@@ -90,6 +103,22 @@ def template_steps(
     ]
 
 
+def template_steps(
+    subtask: Column,
+    objects: Column,
+    memory: Column,
+    instruction: Column,
+    subtasks: Column,
+    completed: Column,
+    action: Column,
+) -> list[Column]:
+    """The four steps after this memory; they too must pass validation to be used."""
+    (before, after), others = template_halves(subtask, objects, instruction, subtasks, completed, action)
+    shown = history_memory_text(memory)
+    clause = F.when(shown == "None", T.TRUTH_NO_MEMORY).otherwise(fill(T.TRUTH_MEMORY, memory=shown))
+    return [F.concat(before, clause, after), *others]
+
+
 def request_messages(prompt: Column, image: Column) -> Column:
     """System and user message as JSON text; the image comes before the text if there is one."""
     text = F.to_json(F.struct(F.lit("text").alias("type"), prompt.alias("text")))

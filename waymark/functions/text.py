@@ -58,12 +58,16 @@ def int_list_repr(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(items.cast("array<string>"), ", "), F.lit("]"))
 
 
+#: Code fences, and the one that ends an answer.
+FENCE, LAST_FENCE = r"(?U)```(?:json|markdown|md|text)?\s*", r"(?U)\s*```$"
+
+
 def extract_json_object(raw: Column) -> Column:
     """What is left of an answer without code fences, from the first ``{`` to the last ``}``."""
     lines = F.replace(F.replace(raw, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     text = F.regexp_replace(lines, r"(?U)^\s+|\s+$", "")
-    text = F.regexp_replace(text, r"(?U)```(?:json|markdown|md|text)?\s*", "")
-    text = F.regexp_replace(text, r"(?U)\s*```$", "")
+    text = F.regexp_replace(text, FENCE, "")
+    text = F.regexp_replace(text, LAST_FENCE, "")
     first = F.instr(text, "{")
     last = F.length(text) - F.instr(F.reverse(text), "}") + 1
     cut = (first > 0) & F.contains(text, F.lit("}")) & (last > first)

@@ -76,24 +76,28 @@ def total_error(steps: list[Column]) -> Column:
     return F.when(length > T.MAX_TOTAL_CHARS, "total")
 
 
+def needed_labels(objects: Column) -> Column:
+    """The labels that step 2 must name: one line, lower case."""
+    return F.transform(objects, lambda o: F.lower(collapse_whitespace(F.coalesce(o["label"], F.lit("object")))))
+
+
+def needed_boxes(objects: Column) -> Column:
+    """The boxes that step 2 must name, without spaces."""
+    return F.transform(objects, lambda o: _compact(int_list_repr(normalize_bbox(o["bbox"]))))
+
+
 def visibility_error(step2: Column, objects: Column) -> Column:
     """Step 2 against the frame's objects.
 
-    With objects: no phrase of absence, every label (one line, lower case) and every box
-    (spaces aside) named.  Without: some phrase of absence.
+    With objects: no phrase of absence, every label and every box named.  Without: some
+    phrase of absence.
     """
     low = F.lower(step2)
     absent = F.lit(False)
     for phrase in T.UNSEEN_PHRASES:
         absent = absent | F.contains(low, F.lit(phrase))
-    named = F.forall(
-        objects,
-        lambda o: F.contains(low, F.lower(collapse_whitespace(F.coalesce(o["label"], F.lit("object"))))),
-    )
-    boxed = F.forall(
-        objects,
-        lambda o: F.contains(_compact(step2), _compact(int_list_repr(normalize_bbox(o["bbox"])))),
-    )
+    named = F.forall(needed_labels(objects), lambda label: F.contains(low, label))
+    boxed = F.forall(needed_boxes(objects), lambda box: F.contains(_compact(step2), box))
     seen = F.when(absent, "unseen").when(~named, "label").when(~boxed, "bbox")
     return F.when(has_objects(objects), seen).otherwise(F.when(~absent, "visible"))
 

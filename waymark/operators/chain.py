@@ -1,40 +1,50 @@
 """Generation where each prompt needs the answer before it.
 
-All episodes go forward together, one frame of each at a time: a turn is a batch of
-requests, checked by the same columns as recorded answers.  Python only calls the
-responder.  Recorded answers need no turns: ``replay`` is joins and windows.
+Live, an episode is a key with state: the memory that its last frame handed on, the attempt
+it is at, and the frames that wait for their turn.  A frame's prompt, facts and ground truth
+are made in columns beforehand, so a task only puts the memory into its place, calls the
+responder and looks at the answer.  Recorded answers need no state: ``replay`` is joins and
+windows.
 """
 
 from __future__ import annotations
 
-import functools
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.window import Window
 
+from waymark.functions import answer_rules as rules
 from waymark.functions import fixed_texts as T
-from waymark.functions.actions import memory_anchor
-from waymark.functions.prompts import render_trace, retry_answer, retry_request
-from waymark.functions.validation import first_error, parse_trace
+from waymark.functions.actions import action_mentions, memory_anchor
+from waymark.functions.prompts import has_objects, prompt_halves, render_trace, template_halves
+from waymark.functions.validation import needed_boxes, needed_labels
 from waymark.operators.traces import (
     FRAME,
     TASK,
     choose_outcome,
     memory_chain,
     template_chain,
-    template_trace,
     validate_responses,
     with_prompt,
 )
-from waymark.sources.scratch import materialize, scratch_path
+from waymark.sources.scratch import materialize
 
 #: (prompt, earlier bad answers and requests to correct them, attempt, frame) -> (status, content)
 Responder = Callable[[str, list[tuple[str, str]], int, dict], tuple[str, str]]
 POLICIES = ("skip", "template")
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+CARD = "src_idx int, task_idx long, turn int, card string"
+NAMES = [*FRAME, "outcome", "memory", "history_source_frame", "anchor", "trace"]
+WALKED = (
+    "src_idx int, task_idx long, frame_pos int, outcome string, memory string, "
+    f"history_source_frame int, anchor string, trace struct<{', '.join(f'{s}: string' for s in T.STEPS)}>"
+)
 
 
 def _with_answer(rows: DataFrame) -> DataFrame:
@@ -51,36 +61,147 @@ def replay(eligible: DataFrame, responses: DataFrame, policy: str = "skip", max_
     return _with_answer(with_prompt(chained))
 
 
-def _ask(rows: DataFrame, responder: Responder, attempt: int) -> DataFrame:
-    """One more attempt for the rows without a valid answer; its feedback joins theirs."""
-    shown = [c for c in rows.columns if c not in ("trace", "notes", "bad", "prompt", "memory")]
-
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            told = []
-            for row in batch.to_dict("records"):
-                notes = [(n["assistant"], n["user"]) for n in row["notes"]]
-                frame = {k: row[k] for k in shown}
-                told.append(responder(row["prompt"], notes, attempt, frame) if row["trace"] is None else (None, None))
-            yield batch.assign(status=[s for s, _ in told], content=[c for _, c in told])
-
-    told = [StructField(c, StringType()) for c in ("status", "content")]
-    asked = rows.mapInPandas(call, StructType([*rows.schema.fields, *told]))
-    parsed = asked.withColumn("_parsed", parse_trace(F.col("content")))
-    reason = F.when(F.col("status") != "ok", "transport").otherwise(
-        first_error(F.col("_parsed"), F.col("objects"), F.col("action"))
+def frame_cards(numbered: DataFrame) -> DataFrame:
+    """src_idx, task_idx, turn, card: all that a frame's turn needs, as one JSON text.
+
+    ``numbered``: eligible frames with ``turn``, their number in the episode from 1.
+    """
+    about = [F.col(c) for c in ("subtask", "objects", "instruction", "subtasks", "completed", "action")]
+    prompt, (truth, others) = prompt_halves(*about), template_halves(*about)
+    bare = memory_anchor(F.col("subtask"), F.col("objects"), F.col("action"), F.lit(None).cast("string"))
+    facts = F.struct(
+        has_objects(F.col("objects")).alias("some"),
+        needed_labels(F.col("objects")).alias("labels"),
+        needed_boxes(F.col("objects")).alias("boxes"),
+        action_mentions(F.col("action")).alias("mentions"),
+        truth[0].alias("truth_before"),
+        truth[1].alias("truth_after"),
+        F.array(*others).alias("truth"),
     )
-    wrong = F.col("status").isNotNull() & F.col("_reason").isNotNull() & (F.col("_reason") != "transport")
-    note = F.struct(
-        retry_answer(F.col("content")).alias("assistant"),
-        retry_request(F.col("_reason"), F.col("action")).alias("user"),
+    card = F.struct(
+        F.array(*prompt).alias("prompt"),
+        facts.alias("facts"),
+        bare.alias("bare"),
+        F.struct(*[c for c in numbered.columns if c != "turn"]).alias("frame"),
     )
-    good = F.when(F.col("status").isNotNull() & F.col("_reason").isNull(), F.struct(*[F.col("_parsed")[s].alias(s) for s in T.STEPS]))
-    return parsed.withColumn("_reason", reason).select(
-        *[c for c in rows.columns if c not in ("trace", "notes", "bad")],
-        F.coalesce("trace", good).alias("trace"),
-        F.when(wrong, F.array_append("notes", note)).otherwise(F.col("notes")).alias("notes"),
-        (F.col("bad") | wrong).alias("bad"),
+    text = F.to_json(card, {"ignoreNullFields": "false"})
+    return numbered.select(F.col("src_idx").cast("int"), F.col("task_idx").cast("long"), F.col("turn").cast("int"), text.alias("card"))
+
+
+class EpisodeWalk(StatefulProcessor):
+    """Walks an episode frame by frame; frames may arrive in any order and at any time.
+
+    State: ``walk`` (next turn, memory and the frame it is from), ``waiting`` (cards of frames
+    whose turn has not come, by turn) and ``trying`` (attempts, whether some answer was bad,
+    and the corrections so far, of the frame that waits for its next attempt).  With
+    ``waits`` an attempt that fails sets a timer - 1 s after a bad answer, 2 ** attempt s
+    after a transport error - and the task goes on with other episodes; without, the next
+    attempt follows at once.
+    """
+
+    def __init__(self, responder: Responder, policy: str = "skip", max_retries: int = 3, waits: bool = False):
+        if policy not in POLICIES:
+            raise ValueError("policy is skip or template")
+        self.responder, self.policy, self.max_retries, self.waits = responder, policy, max_retries, waits
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.walk = handle.getValueState("walk", "turn int, anchor string, frame int")
+        self.waiting = handle.getMapState("waiting", "turn int", "card string")
+        self.trying = handle.getValueState("trying", "attempts int, bad boolean, notes string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        walk = self.walk.get() if self.walk.exists() else (1, None, None)
+        blocked = self.trying.exists()
+        for batch in rows:
+            done: list[tuple] = []
+            for turn, card in zip(batch["turn"].tolist(), batch["card"]):
+                if turn != walk[0] or blocked:
+                    if turn >= walk[0]:
+                        self.waiting.updateValue((turn,), (card,))
+                    continue
+                walk, blocked = self._turn(walk, card, timerValues, done)
+                if not blocked:
+                    walk, blocked = self._waiting_turns(walk, timerValues, done)
+            yield _rows(key, done)
+        self.walk.update(tuple(walk))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        done: list[tuple] = []
+        walk, _ = self._waiting_turns(self.walk.get(), timerValues, done)
+        self.walk.update(tuple(walk))
+        yield _rows(key, done)
+
+    def close(self) -> None:
+        pass
+
+    def _waiting_turns(self, walk: tuple, timers, done: list) -> tuple[tuple, bool]:
+        blocked = False
+        while not blocked and self.waiting.exists() and self.waiting.containsKey((walk[0],)):
+            card, at = self.waiting.getValue((walk[0],))[0], walk[0]
+            walk, blocked = self._turn(walk, card, timers, done)
+            if not blocked:
+                self.waiting.removeKey((at,))
+        return walk, blocked
+
+    def _turn(self, walk: tuple, text: str, timers, done: list) -> tuple[tuple, bool]:
+        """One frame's attempts: (where the walk stands, whether it waits for a timer)."""
+        turn, memory, source = walk
+        card = json.loads(text)
+        frame, facts = card["frame"], card["facts"]
+        prompt = card["prompt"][0] + rules.shown_memory(memory) + card["prompt"][1]
+        attempts, bad, notes = 0, False, []
+        if self.waits and self.trying.exists():
+            attempts, bad, told = self.trying.get()
+            notes = [tuple(n) for n in json.loads(told)]
+        steps = None
+        while steps is None and attempts < self.max_retries:
+            attempts += 1
+            status, content = self.responder(prompt, notes, attempts, frame)
+            reason, steps = rules.judge(content, facts) if status == "ok" else ("transport", None)
+            if reason not in (None, "transport"):
+                bad = True
+                notes = [*notes, rules.correction(content, reason, frame["action"])]
+            if steps is None and self.waits and attempts < self.max_retries:
+                self.waiting.updateValue((turn,), (text,))
+                self.trying.update((attempts, bad, json.dumps(notes)))
+                pause = 1000 if reason != "transport" else 1000 * 2**attempts
+                self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + pause)
+                return walk, True
+        if self.waits:
+            self.trying.clear()
+        outcome = "trace" if steps else "invalid" if bad else "failed"
+        if outcome == "invalid" and self.policy == "template":
+            steps = rules.truth_steps(memory, facts)
+            outcome = "template" if steps else outcome
+        anchor = rules.shown_memory(steps[T.STEPS[3]]) if steps else card["bare"]
+        done.append((frame["frame_pos"], outcome, memory, source, anchor, steps))
+        return (turn + 1, anchor, frame["frame"]), False
+
+
+def _rows(key: tuple, done: list[tuple]) -> pd.DataFrame:
+    made = pd.DataFrame([(*key, *row) for row in done], columns=NAMES)
+    return made.astype({"history_source_frame": "Int32"})
+
+
+def _state_ready(spark: SparkSession) -> None:
+    """State lives in RocksDB, which spills to disk; batch jobs need the store's coordinator,
+    which the session's streams bring up."""
+    spark.conf.set(STORE_CONF, STORE)
+    _ = spark.streams.active
+
+
+def walk_episodes(
+    cards: DataFrame, responder: Responder, policy: str = "skip", max_retries: int = 3, waits: bool = False
+) -> DataFrame:
+    """The walk over ``frame_cards``, a batch or a stream of them; ``waits`` needs a stream.
+
+    A stream's state outlives its micro-batches and restarts, so an episode goes on where it
+    stood.  One row a frame, when its turn is over.
+    """
+    _state_ready(cards.sparkSession)
+    return cards.groupBy(*TASK).transformWithStateInPandas(
+        EpisodeWalk(responder, policy, max_retries, waits), WALKED, "Append", "ProcessingTime" if waits else "None"
     )
 
 
@@ -93,50 +214,13 @@ def generate_chain(
     ground truth if an answer came but none was valid.  Either way the frame hands on a
     memory.  A bad answer and the request to correct it go to the next attempt.
 
-    There are as many turns as the longest episode has frames; a turn is one job without a
-    shuffle over one frame of each episode, written to the shared folder, so a long episode
-    never meets in one task.
+    One job, whatever the length of the longest episode: a shuffle by episode, a walk with
+    state, and what it returns - a row a frame, written once so that no answer is asked for
+    twice - joined to the frames.  Frames that come before their turn wait in the state
+    store, on disk, so no episode is held in memory; the turns of one episode follow each
+    other by nature.
     """
-    if policy not in POLICIES:
-        raise ValueError("policy is skip or template")
-    spark = eligible.sparkSession
     turn = F.row_number().over(Window.partitionBy(*TASK).orderBy("frame_pos"))
-    path = scratch_path(spark, "turns")
-    eligible.withColumn("turn", turn).write.partitionBy("turn").parquet(path)
-    turns = spark.read.schema(StructType([*eligible.schema.fields, StructField("turn", IntegerType())])).parquet(path)
-    turns = turns.agg(F.max("turn")).first()[0] or 0
-    steps = f"struct<{', '.join(f'{s}: string' for s in T.STEPS)}>"
-    done: list[DataFrame] = []
-    for k in range(1, turns + 1):
-        rows = spark.read.schema(eligible.schema).parquet(f"{path}/turn={k}")
-        if done:
-            before = done[-1].select(*TASK, F.col("anchor").alias("memory"), F.col("frame").alias("history_source_frame"))
-            rows = rows.join(before, TASK, "left")
-        else:
-            rows = rows.withColumns(
-                {"memory": F.lit(None).cast("string"), "history_source_frame": F.lit(None).cast(eligible.schema["frame"].dataType)}
-            )
-        rows = with_prompt(rows).withColumns(
-            {
-                "trace": F.lit(None).cast(steps),
-                "notes": F.array().cast("array<struct<assistant: string, user: string>>"),
-                "bad": F.lit(False),
-            }
-        )
-        for attempt in range(1, max_retries + 1):
-            rows = _ask(rows, responder, attempt)
-        outcome = F.when(F.col("trace").isNotNull(), "trace").when(F.col("bad"), "invalid").otherwise("failed")
-        rows = rows.withColumn("outcome", outcome)
-        if policy == "template":
-            rows = template_trace(rows)
-        anchor = memory_anchor(
-            F.col("subtask"), F.col("objects"), F.col("action"), F.col("trace")["step4_memory_update"]
-        )
-        done.append(materialize(_with_answer(rows.drop("notes", "bad")).withColumn("anchor", anchor), "turn"))
-    return functools.reduce(DataFrame.unionByName, done) if done else replay(eligible, _no_responses(eligible), policy)
-
-
-def _no_responses(eligible: DataFrame) -> DataFrame:
-    return eligible.select(*FRAME).selectExpr(
-        *FRAME, "1 as attempt", "'transport_error' as status", "cast(null as string) as content"
-    )
+    cards = frame_cards(eligible.withColumn("turn", turn))
+    walked = materialize(walk_episodes(cards, responder, policy, max_retries), "walked")
+    return _with_answer(with_prompt(eligible.join(walked, FRAME)))

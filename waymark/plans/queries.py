@@ -863,12 +863,24 @@ def outcome_template_policy(spark, d):
     return walked.select("task_idx", "frame_pos", "outcome", "memory", "anchor")
 
 
+def recorded_answer(prompt, notes, attempt, frame):
+    """A responder that says what was recorded for this attempt."""
+    for said in frame["said"] or []:
+        if said["attempt"] == attempt:
+            return said["status"], said["content"]
+    return "transport_error", None
+
+
 @query(
     ["chain"],
     "SELECT task_idx, frame_pos, outcome, memory, history_source_frame, anchor FROM chain",
 )
 def generate_chain_udf(spark, d):
-    walked = chain.replay(_eligible(spark, d), H.responses(spark, d))
+    """Live: the answer to an attempt is looked up in what the frame carries of the recording."""
+    said = F.sort_array(F.collect_list(F.struct("attempt", "status", "content")))
+    said = H.responses(spark, d).groupBy(*traces.FRAME).agg(said.alias("said"))
+    asked = _eligible(spark, d).join(said, traces.FRAME, "left")
+    walked = chain.generate_chain(asked, recorded_answer)
     return walked.select("task_idx", "frame_pos", "outcome", "memory", "history_source_frame", "anchor")
 
 
