@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from waymark.functions.geometry import project_point, to_mesh_axes, to_world_axes
 from waymark.functions.text import crop_name, scene_stem
+from waymark.operators import scan
 
 
 def padded_boxes(trajectories: DataFrame, padding: Column) -> DataFrame:
@@ -176,9 +176,12 @@ def project_labels(
     return boxes.withColumn("visible", F.coalesce(F.col("front") & area, F.lit(False))).drop("front")
 
 
-def headings(rows: DataFrame, by: list[str], order: str, turn_angle: float = 15.0) -> DataFrame:
+def headings(
+    rows: DataFrame, by: list[str], order: str, turn_angle: float = 15.0, size: int = scan.SIZE
+) -> DataFrame:
     """Add ``heading`` in degrees before the frame's own action: the sum of earlier turns,
-    left positive; moving and stopping do not turn."""
-    turn = F.when(F.col("action_code") == 2, turn_angle).when(F.col("action_code") == 3, -turn_angle).otherwise(0.0)
-    earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("heading", F.coalesce(F.sum(turn).over(earlier), F.lit(0.0)))
+    left positive; moving and stopping do not turn.  Turns are counted over chunks of
+    ``size`` positions, so a long walk spreads over tasks."""
+    turn = F.when(F.col("action_code") == 2, 1).when(F.col("action_code") == 3, -1).otherwise(0)
+    counted = scan.earlier_sum(scan.in_chunks(rows, order, size), by, order, turn, "_turns")
+    return counted.withColumn("heading", F.col("_turns") * F.lit(turn_angle)).drop("_turns", scan.CHUNK)

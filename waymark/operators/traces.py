@@ -1,7 +1,7 @@
 """Frames to chat records by replay of recorded answers.
 
 The anchor of a frame depends on its own answer and facts only, so the memory of the next
-frame is a plain ``lag``.  That holds for the policy ``skip``; under ``template`` a frame has
+frame is a lag, taken over chunks of an episode.  That holds for the policy ``skip``; under ``template`` a frame has
 one of two anchors, and which one is settled by ``template_chain``.
 """
 
@@ -16,6 +16,8 @@ from waymark.functions.actions import decode_action, history_memory_text, memory
 from waymark.functions.prompts import build_prompt, render_trace, retry_answer, retry_request, template_steps
 from waymark.functions.text import frame_name
 from waymark.functions.validation import checked_steps, clean_step, first_error, parse_trace
+from waymark.operators import scan
+from waymark.sources.scratch import materialize
 
 TASK = ["src_idx", "task_idx"]
 FRAME = [*TASK, "frame_pos"]
@@ -114,22 +116,23 @@ def choose_outcome(validated: DataFrame, max_retries: int = 3) -> DataFrame:
     )
 
 
-def memory_chain(eligible: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Eligible frames with their outcome, anchor, incoming memory and its source frame.
-
-    Frames that failed still hand on a memory, so the window runs before any filter.
-    """
-    order = Window.partitionBy(*TASK).orderBy("frame_pos")
+def _with_anchor(eligible: DataFrame, outcomes: DataFrame) -> DataFrame:
     rows = eligible.join(outcomes, FRAME, "left").withColumn("outcome", F.coalesce("outcome", F.lit("failed")))
     anchor = memory_anchor(
         F.col("subtask"), F.col("objects"), F.col("action"), F.col("trace")["step4_memory_update"]
     )
-    return rows.withColumn("anchor", anchor).withColumns(
-        {
-            "memory": F.lag("anchor").over(order),
-            "history_source_frame": F.lag("frame").over(order),
-        }
-    )
+    return rows.withColumn("anchor", anchor)
+
+
+def memory_chain(eligible: DataFrame, outcomes: DataFrame, size: int = scan.SIZE) -> DataFrame:
+    """Eligible frames with their outcome, anchor, incoming memory and its source frame.
+
+    Frames that failed still hand on a memory, so this runs before any filter.  An episode is
+    scanned in chunks of ``size`` positions, so a long one spreads over tasks.
+    """
+    rows = scan.in_chunks(_with_anchor(eligible, outcomes), "frame_pos", size)
+    before = {"memory": "anchor", "history_source_frame": "frame"}
+    return scan.lags(rows, TASK, "frame_pos", before).drop(scan.CHUNK)
 
 
 def _truth_steps(memory: Column) -> list[Column]:
@@ -163,26 +166,25 @@ def template_trace(rows: DataFrame) -> DataFrame:
     )
 
 
-def template_chain(eligible: DataFrame, outcomes: DataFrame) -> DataFrame:
+def template_chain(eligible: DataFrame, outcomes: DataFrame, size: int = scan.SIZE) -> DataFrame:
     """``memory_chain`` under the policy ``template``.
 
     The steps from ground truth show the memory, so whether they are valid may depend on the
     frame before, and so on.  A frame hands on one of two anchors: with or without its
     trace.  Whether it has one is tried for both anchors of the frame before; where that
-    agrees it is settled, and in between it is passed on, straight or turned round, which a
-    window counts.
+    agrees it is settled, and in between it is passed on, straight or turned round, which
+    chunks of an episode compose like single frames (``scan.settle``).
     """
-    order = Window.partitionBy(*TASK).orderBy("frame_pos")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = memory_chain(eligible, outcomes).drop("memory")
+    rows = _with_anchor(eligible, outcomes)
     bare = memory_anchor(F.col("subtask"), F.col("objects"), F.col("action"), F.lit(None).cast("string"))
-    # memory_chain's anchor is that of the trace, where there is one; the last step from
-    # ground truth, and so its anchor, does not show the memory
+    # the anchor so far is that of the trace, where there is one; the last step from ground
+    # truth, and so its anchor, does not show the memory
     last = clean_step(_truth_steps(F.lit(None).cast("string"))[3], T.STEPS[3])
     rows = rows.withColumns({"_bare": bare, "_last": last})
     told = F.when(F.col("trace").isNull(), history_memory_text(F.col("_last"))).otherwise(F.col("anchor"))
-    rows = rows.withColumn("_told", told)
-    rows = rows.withColumns({"_lag_bare": F.lag("_bare").over(order), "_lag_told": F.lag("_told").over(order)})
+    rows = scan.in_chunks(rows.withColumn("_told", told).drop("_last"), "frame_pos", size)
+    before = {"_lag_bare": "_bare", "_lag_told": "_told", "history_source_frame": "frame"}
+    rows = scan.lags(rows, TASK, "frame_pos", before)
     rows = _with_template(rows, F.col("_lag_bare"), "_after_bare")
     rows = _with_template(rows, F.col("_lag_told"), "_after_told")
     known = F.col("trace").isNotNull()
@@ -190,15 +192,15 @@ def template_chain(eligible: DataFrame, outcomes: DataFrame) -> DataFrame:
         {"_if_bare": known | F.col("_after_bare").isNotNull(), "_if_told": known | F.col("_after_told").isNotNull()}
     )
     settled = F.when((F.col("_if_bare") == F.col("_if_told")) | F.col("_lag_bare").isNull(), F.col("_if_bare"))
-    rows = rows.withColumns({"_settled": settled, "_turns": (F.col("_if_bare") & ~F.col("_if_told")).cast("int")})
-    turned = F.sum(F.when(F.col("_settled").isNull(), F.col("_turns")).otherwise(0)).over(so_far)
-    rows = rows.withColumn("_turned", turned)
-    start = F.last(F.when(F.col("_settled").isNotNull(), F.struct("_settled", "_turned")), ignorenulls=True).over(so_far)
-    rows = rows.withColumn("_start", start)
-    odd = (F.col("_turned") - F.col("_start._turned")) % 2 == 1
-    rows = rows.withColumn("_has", F.col("_start._settled") != odd)
-    rows = rows.withColumn("anchor", F.when(F.col("_has"), F.col("_told")).otherwise(F.col("_bare")))
-    rows = rows.withColumn("memory", F.lag("anchor").over(order))
+    rows = rows.withColumns({"_settled": settled, "_turn": (F.col("_if_bare") & ~F.col("_if_told")).cast("int")})
+    rows = materialize(rows.drop("_after_bare", "_after_told", "_if_bare", "_if_told"), "settled")
+    rows = scan.settle(rows, TASK, "frame_pos", "_settled", "_turn", "_has")
+    rows = rows.withColumns(
+        {
+            "anchor": F.when(F.col("_has"), F.col("_told")).otherwise(F.col("_bare")),
+            "memory": F.when(F.col("_has_before"), F.col("_lag_told")).otherwise(F.col("_lag_bare")),
+        }
+    )
     return template_trace(rows.drop(*[c for c in rows.columns if c.startswith("_")]))
 
 
