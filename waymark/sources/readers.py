@@ -1,17 +1,16 @@
 """Readers of exports, instructions, ground truth, episodes, chats, labels and meshes.
 
-JSON arrays and objects with free keys come as whole files, one row a file, so a file must
-fit a task: land exports as Parquet once and work from there.  A broken file fails loudly.
+Exports, ground truth and episodes are read split by split, however large a file is;
+instructions and label files, which are small, one row a file.  A broken file fails loudly.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from waymark.sources.json_parts import FILE, bare_path, file_numbers, read_parts
 from waymark.sources.scratch import materialize
 
 _BOX = "x:double,y:double,width:double,height:double"
@@ -40,33 +39,17 @@ _STRICT = {"mode": "FAILFAST"}
 
 
 def _whole(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row a file, numbered: files in the order of the caller's list, those of a folder
-    or pattern in the order of their paths; what is listed again counts where it came first.
-
-    Only paths, which the driver lists anyway, are ordered there; contents stay in tasks.
-    """
+    """One row a file, numbered."""
     listed = list(dict.fromkeys([paths] if isinstance(paths, str) else paths))
-    numbers: dict[str, int] = {}
-    for p in listed:
-        for name in sorted(spark.read.text(p, wholetext=True).inputFiles()):
-            numbers.setdefault(name, len(numbers))
-    # both listings spell a file's path alike, but not always what stands before it
-    bare = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
-    known = spark.createDataFrame([(re.sub(bare, "", n), k) for n, k in numbers.items()], "_path string, src_idx int")
-    path = F.regexp_replace("_metadata.file_path", bare, "")
-    return spark.read.text(listed, wholetext=True).withColumn("_path", path).join(known, "_path")
+    known = file_numbers(spark, listed)
+    return spark.read.text(listed, wholetext=True).withColumn(FILE, bare_path()).join(known, FILE)
 
 
 def read_annotation_export(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """src_idx, task_idx, data, annotations: one row per task of each JSON array."""
-    return _tasks(_whole(spark, paths), "value")
-
-
-def _tasks(files: DataFrame, column: str) -> DataFrame:
-    parsed = F.from_json(column, f"array<{TASK_TYPE}>", _STRICT)
-    return files.select("src_idx", F.posexplode(parsed).alias("task_idx", "t")).select(
-        "src_idx", F.col("task_idx").cast("long").alias("task_idx"), "t.data", "t.annotations"
-    )
+    parsed = F.from_json("value", TASK_TYPE, _STRICT)
+    rows = read_parts(spark, paths).select("src_idx", F.col("part_idx").alias("task_idx"), parsed.alias("t"))
+    return rows.select("src_idx", "task_idx", "t.data", "t.annotations")
 
 
 def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -94,22 +77,15 @@ def read_instructions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """episode_key (text), actions, locations from an object keyed by episode."""
-    rows = _whole(spark, path).select(F.explode(F.from_json("value", TRUTH_TYPE, _STRICT)))
+    rows = read_parts(spark, path).select(F.explode(F.from_json("value", TRUTH_TYPE, _STRICT)))
     return rows.select(F.col("key").alias("episode_key"), "value.actions", "value.locations")
 
 
 def read_episodes(spark: SparkSession, path: str) -> DataFrame:
     """Processed episodes: an array in one file, or one JSON object a line."""
-    files = _whole(spark, path)
-    array = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(
-        F.concat(
-            F.lit("["),
-            F.array_join(F.filter(F.split("value", "\n"), lambda s: F.trim(s) != ""), ","),
-            F.lit("]"),
-        )
-    )
-    rows = files.select("src_idx", F.posexplode(F.from_json(array, f"array<{EPISODE_TYPE}>", _STRICT)).alias("task_idx", "e"))
-    return rows.select("src_idx", F.col("task_idx").cast("long").alias("task_idx"), "e.*")
+    parsed = F.from_json("value", EPISODE_TYPE, _STRICT)
+    rows = read_parts(spark, path, lines=True).select("src_idx", F.col("part_idx").alias("task_idx"), parsed.alias("e"))
+    return rows.select("src_idx", "task_idx", "e.*")
 
 
 def nonblank_lines(lines: DataFrame) -> DataFrame:
