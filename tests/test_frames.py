@@ -148,3 +148,30 @@ def test_order_of_merged_episodes(spark):
     got = [r.task_idx for r in frames.merge_episodes(rows).collect()]
     assert got == [3, 0, 2, 1]
     assert [r.task_idx for r in frames.merge_episodes(rows, ascending=True).collect()] == [0, 2, 3, 1]
+
+
+def test_runs_of_overlapping_ranges(spark):
+    """Runs against a walk over all frames; their number does not depend on lengths."""
+    rng = random.Random(3)
+    heads, ranges, told = [], [], {}
+    for t in range(40):
+        duration = rng.choice([0, 1, 2, 7, 8, 64, 200])
+        heads.append((0, t, t, duration))
+        rows = {f: None for f in range(1, duration + 1)}
+        for n in range(rng.randint(0, 12)):
+            a, b = rng.randint(-3, duration + 5), rng.randint(-3, duration + 5)
+            ranges.append((0, t, n // 3, n % 3, f"text{n}", a, b, duration))
+            rows |= {f: f"text{n}" for f in range(a, b + 1) if f in rows}
+        told |= {(t, f): text for f, text in rows.items()}
+    heads.append((0, 99, 99, 2_000_000_000))
+    ranges += [(0, 99, n, 0, f"long{n}", 1 + n * 1000, 1_999_999_999 - n * 7, 2_000_000_000) for n in range(9)]
+    rng.shuffle(ranges)
+    h = spark.createDataFrame(heads, "src_idx int, task_idx int, episode_id int, duration int")
+    r = spark.createDataFrame(ranges, "src_idx int, task_idx int, result_idx int, label_idx int, text string, start_frame int, end_frame int, duration int")
+    runs = frames.subtask_runs(h, r).collect()
+    got = {(x.task_idx, f): x.subtask for x in runs if x.task_idx != 99 for f in range(x.first, x.last + 1)}
+    assert got == told
+    long = sorted((x.first, x.last, x.subtask) for x in runs if x.task_idx == 99)
+    assert len(long) == 18 and long[0] == (1, 1000, "long0") and long[-1] == (2_000_000_000, 2_000_000_000, None)
+    assert [b + 1 for _, b, _ in long[:-1]] == [a for a, _, _ in long[1:]]
+    assert long[8][2] == "long8"

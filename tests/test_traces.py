@@ -210,22 +210,6 @@ def test_readers_of_objects(spark, tmp_path):
     assert len(got) == 16 and tuple(got[0])[:4] == (4, 0, "closet", 0) and (got[0].x, got[0].y, got[0].z) == (1.0, 3.0, -2.0)
 
 
-def test_crops_on_any_grid(spark):
-    rng = random.Random(5)
-    points = [(f"s{i % 3}", i, *(float(rng.randint(-20, 20)) for _ in "xyz")) for i in range(300)]
-    boxes = []
-    for k in range(25):
-        low = [float(rng.randint(-25, 15)) for _ in "xyz"]
-        boxes.append((k, f"s{k % 4}", *low, *(v + rng.choice([0, 3, 20]) for v in low)))
-    v = spark.createDataFrame(points, "scene string, vertex_id int, x double, y double, z double")
-    b = spark.createDataFrame(boxes, "episode_id int, scene string, low_x double, low_y double, low_z double, high_x double, high_y double, high_z double")
-    told = sorted((k[0], p[1]) for k in boxes for p in points if k[1] == p[0] and all(k[2 + j] <= p[2 + j] <= k[5 + j] for j in range(3)))
-    assert told
-    for cell in (None, (1.0, 7.0), (100.0, 100.0)):
-        assert sorted((r.episode_id, r.vertex_id) for r in spatial.crop_vertices(v, b, cell).collect()) == told
-    assert spatial.crop_vertices(v, b.limit(0)).count() == 0
-
-
 def test_padding_of_one_point(spark):
     t = spark.createDataFrame([(1, 1, "a/b.glb", [[0.0, 0.0, 0.0]])], "episode_id long, trajectory_id long, scene_id string, locations array<array<double>>")
     b = spatial.padded_boxes(t, F.array(*map(F.lit, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]))).first()

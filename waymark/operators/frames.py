@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.text import episode_id_from_url, route_label
+from waymark.operators import scan
 
 TASK = ["src_idx", "task_idx"]
 _META = "map<string,struct<duration:double>>"
@@ -123,29 +124,72 @@ def frame_skeleton(headers: DataFrame) -> DataFrame:
     return whole.select(*TASK, "episode_id", F.explode(F.sequence(F.lit(1), "duration")).alias("frame"))
 
 
-def frame_subtasks(headers: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(task, frame, subtask): of overlapping ranges the last written wins.
+def _halves(first: Column, last: Column) -> Column:
+    """The blocks of 2 ** level frames, each at a multiple of its size, that make up the
+    frames from first to last: two of a level at most, so as many as its length has digits."""
+    levels = F.sequence(F.lit(0), F.lit(30))
+
+    def at(level: Column) -> Column:
+        size = F.pow(F.lit(2.0), level)
+        low = F.floor((first.cast("long") + size - 1) / size)
+        high = F.floor((last.cast("long") + 1) / size)
+        block = lambda taken, n: F.when((low < high) & taken, F.struct(level.alias("level"), n.alias("block")))
+        return F.array(block(low % 2 == 1, low), block(high % 2 == 1, high - 1))
+
+    return F.filter(F.flatten(F.transform(levels, at)), lambda b: b.isNotNull())
+
 
-    Ranges are cut to the task and expanded in place, so the only shuffle is the
-    aggregation, which combines on the map side.
+def subtask_runs(headers: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(task, first, last, subtask): frames 1 to duration of each task cut where some range
+    begins or ends, each run with the sub-task of the last written range over it, or none.
+
+    A range is laid on the few blocks that make it up, and of a block's ranges the last
+    written stays, which combines on the map side.  A cut looks at the blocks around it, one a
+    level.  So what is shuffled grows with the ranges and the digits of their lengths, not
+    with the frames under them, and no task's ranges have to meet in one place.
     """
-    known = ranges if "duration" in ranges.columns else ranges.join(headers.select(*TASK, "duration"), TASK)
-    inside = known.select(
+    spans = headers.where("duration >= 1").select(*TASK, "duration")
+    inside = ranges.drop("duration").join(spans, TASK).select(
         *TASK,
-        "result_idx",
-        "label_idx",
+        "duration",
+        F.struct("result_idx", "label_idx").alias("written"),
         "text",
         F.greatest("start_frame", F.lit(1)).alias("first"),
         F.least("end_frame", "duration").alias("last"),
     )
+    inside = inside.where("first <= last")
+    blocks = (
+        inside.select(*TASK, "written", "text", F.explode(_halves(F.col("first"), F.col("last"))).alias("b"))
+        .groupBy(*TASK, F.col("b.level").alias("level"), F.col("b.block").alias("block"))
+        .agg(F.max(F.struct("written", "text")).alias("top"))
+    )
+    cuts = (
+        spans.select(*TASK, "duration", F.lit(1).alias("first"))
+        .unionByName(inside.select(*TASK, "duration", "first"))
+        .unionByName(inside.where("last < duration").select(*TASK, "duration", (F.col("last") + 1).alias("first")))
+        .distinct()
+    )
+    cuts = scan.in_chunks(cuts.withColumn("_back", -F.col("first")), "_back")
+    cuts = scan.lags(cuts, TASK, "_back", {"_next": "first"}).drop(scan.CHUNK, "_back")
+    levels = F.sequence(F.lit(0), F.floor(F.log2("duration")).cast("int"))
+    looked = cuts.withColumn("level", F.explode(levels))
+    looked = looked.withColumn("block", F.floor(F.col("first") / F.pow(F.lit(2.0), F.col("level"))))
     return (
-        inside.where("first <= last")
-        .select("*", F.explode(F.sequence("first", "last")).alias("frame"))
-        .groupBy(*TASK, "frame")
-        .agg(F.max_by("text", F.struct("result_idx", "label_idx")).alias("subtask"))
+        looked.join(blocks, [*TASK, "level", "block"], "left")
+        .groupBy(*TASK, "first")
+        .agg(
+            (F.coalesce(F.first("_next"), F.first("duration") + 1) - 1).alias("last"), F.max("top").alias("top")
+        )
+        .select(*TASK, "first", "last", F.col("top.text").alias("subtask"))
     )
 
 
+def frame_subtasks(headers: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(task, frame, subtask): of overlapping ranges the last written wins."""
+    runs = subtask_runs(headers, ranges).where("subtask is not null")
+    return runs.select(*TASK, F.explode(F.sequence("first", "last")).alias("frame"), "subtask")
+
+
 def frame_objects(keyframes: DataFrame, headers: DataFrame) -> DataFrame:
     """(task, frame, objects) in result, label and keyframe order; no interpolation."""
     item = F.struct(
@@ -161,9 +205,10 @@ def frame_objects(keyframes: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def labelled_frames(headers: DataFrame, keyframes: DataFrame) -> DataFrame:
-    """src_idx, task_idx, episode_id, frame, subtask of every frame."""
-    subtasks = frame_subtasks(headers, subtask_ranges(keyframes, headers))
-    return frame_skeleton(headers).join(subtasks, [*TASK, "frame"], "left")
+    """src_idx, task_idx, episode_id, frame, subtask of every frame; runs become frames in
+    place, at the end."""
+    runs = subtask_runs(headers, subtask_ranges(keyframes, headers)).join(headers.select(*TASK, "episode_id"), TASK)
+    return runs.select(*TASK, "episode_id", F.explode(F.sequence("first", "last")).alias("frame"), "subtask")
 
 
 def expand_frames(headers: DataFrame, keyframes: DataFrame) -> DataFrame:

@@ -41,40 +41,75 @@ def padded_boxes(trajectories: DataFrame, padding: Column) -> DataFrame:
     )
 
 
-def crop_vertices(vertices: DataFrame, boxes: DataFrame, cell: tuple[float, float] | None = None) -> DataFrame:
+def _level(boxes: DataFrame) -> Column:
+    """The least power of two that is as large as the box in every direction, not below 2 ** -20."""
+    extent = F.greatest(*[F.col(f"high_{a}") - F.col(f"low_{a}") for a in "xyz"], F.lit(2.0**-20))
+    level = F.ceil(F.log2(extent)).cast("int")
+    return F.when(F.pow(F.lit(2.0), level) < extent, level + 1).otherwise(level)
+
+
+def crop_vertices(vertices: DataFrame, boxes: DataFrame) -> DataFrame:
     """(episode_id, scene, vertex_id, x, y, z): vertices inside a box of their scene, bounds
     included.
 
-    Both sides are laid on a grid of ``cell`` (the mean box, if not given): a vertex is in
-    one cell and a box in each that it touches, so a vertex meets the boxes around it only
-    and not all of its scene.  The six tests decide what is inside.
+    Each box lies on the grid of its own size, whose cells are powers of two in all three
+    directions, so it touches eight cells at most, however large it is beside others.  A
+    vertex looks at its cell on every grid that some box uses; there are as many grids as sizes of
+    boxes differ by powers of two, a list of numbers that the driver may hold.  So a
+    vertex meets the boxes around it and not all of its scene, and a hot scene is many keys.
+    The six tests decide what is inside.
     """
-    if cell is None:
-        cell = boxes.agg(*[F.avg(F.col(f"high_{a}") - F.col(f"low_{a}")) for a in "xy"]).first()
-    sizes = [F.lit(max(float(c or 0), 1e-6)) for c in cell]
-    tiles = boxes
-    for a, size in zip("xy", sizes):
+    sized = boxes.withColumn("_level", _level(boxes)).where("_level is not null")
+    levels = sorted(r[0] for r in sized.select("_level").distinct().collect())
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    tiles = sized
+    for a in "xyz":
         ends = [F.floor(F.col(f"{end}_{a}") / size) for end in ("low", "high")]
         tiles = tiles.withColumn(f"_c{a}", F.explode(F.sequence(*ends)))
-    placed = vertices.withColumns({f"_c{a}": F.floor(F.col(a) / size) for a, size in zip("xy", sizes)})
+    placed = vertices.withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    placed = placed.withColumns({f"_c{a}": F.floor(F.col(a) / size) for a in "xyz"})
     inside = " and ".join(f"v.{a} between b.low_{a} and b.high_{a}" for a in "xyz")
+    keys = " and ".join(f"v.{c} = b.{c}" for c in ("scene", "_level", "_cx", "_cy", "_cz"))
     return (
         placed.alias("v")
-        .join(tiles.alias("b"), F.expr(f"v.scene = b.scene and v._cx = b._cx and v._cy = b._cy and {inside}"))
+        .join(tiles.alias("b"), F.expr(f"{keys} and {inside}"))
         .select("b.episode_id", "v.scene", "v.vertex_id", "v.x", "v.y", "v.z")
     )
 
 
 def crop_faces(faces: DataFrame, kept: DataFrame) -> DataFrame:
-    """(episode_id, scene, face_id): faces of which all three vertices were kept."""
-    corners = faces.select("scene", "face_id", F.explode(F.array("v0", "v1", "v2")).alias("vertex_id"))
-    return (
-        corners.join(kept.select("episode_id", "scene", "vertex_id"), ["scene", "vertex_id"])
-        .groupBy("episode_id", "scene", "face_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n = 3")
-        .drop("n")
+    """(episode_id, scene, face_id): faces of which all three vertices were kept.
+
+    Kept vertices are bitmaps: one a crop and block of 2 ** 15 vertex numbers.  A face meets the
+    bitmaps of its first corner's block and looks its corners up, by further blocks where they
+    lie apart, so a corner is a bit and not a row.
+    """
+    number = lambda c: F.expr(f"bitmap_bucket_number(cast({c} as bigint))")
+    bits = kept.select("episode_id", "scene", F.col("vertex_id").cast("long").alias("vertex_id"))
+    maps = bits.groupBy("episode_id", "scene", number("vertex_id").alias("_block")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(vertex_id))").alias("_bits")
+    )
+    found = faces.select(
+        "scene",
+        "face_id",
+        *[number(c).alias(f"_b{k}") for k, c in enumerate(("v0", "v1", "v2"))],
+        *[F.expr(f"cast(bitmap_bit_position(cast({c} as bigint)) as int)").alias(f"_p{k}") for k, c in enumerate(("v0", "v1", "v2"))],
     )
+    first = maps.select("episode_id", "scene", F.col("_block").alias("_b0"), F.col("_bits").alias("_m0"))
+    met = found.join(first, ["scene", "_b0"]).where(_bit("_m0", "_p0"))
+    same = met.where("_b1 = _b0 and _b2 = _b0").where(_bit("_m0", "_p1") & _bit("_m0", "_p2"))
+    apart = met.where("_b1 <> _b0 or _b2 <> _b0").drop("_m0")
+    for k in (1, 2):
+        other = maps.select("episode_id", "scene", F.col("_block").alias(f"_b{k}"), F.col("_bits").alias(f"_m{k}"))
+        apart = apart.join(other, ["episode_id", "scene", f"_b{k}"]).where(_bit(f"_m{k}", f"_p{k}")).drop(f"_m{k}")
+    columns = ["episode_id", "scene", "face_id"]
+    return same.select(*columns).unionByName(apart.select(*columns))
+
+
+def _bit(bits: str, position: str) -> Column:
+    """Whether a bitmap has a bit."""
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(F.col(position) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, F.col(position) % 8) % 2 == 1
 
 
 def crop_counts(kept: DataFrame, kept_faces: DataFrame) -> DataFrame:

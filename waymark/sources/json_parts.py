@@ -155,7 +155,7 @@ def read_parts(spark: SparkSession, paths: str | list[str], lines: bool = False)
 
 
 def _fails(what: str) -> Column:
-    return F.raise_error(F.concat(F.lit("JSON file "), F.col(FILE), F.lit(f" {what}"))).cast("string")
+    return F.raise_error(F.concat(F.lit("malformed JSON file "), F.col(FILE), F.lit(f": it {what}"))).cast("string")
 
 
 def _checked(whole: DataFrame, lines: bool) -> DataFrame:
