@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from waymark.functions.geometry import project_point, to_mesh_axes, to_world_axes
+from waymark.functions.geometry import project_point, sphere_in_view, to_mesh_axes, to_world_axes
 from waymark.functions.text import crop_name, scene_stem
 from waymark.operators import scan
+from waymark.sources.scratch import materialize
 
 
 def padded_boxes(trajectories: DataFrame, padding: Column) -> DataFrame:
@@ -148,7 +150,8 @@ def crop_metadata(trajectories: DataFrame, boxes: DataFrame, counts: DataFrame)
 
 
 def scene_groups(episodes: DataFrame) -> DataFrame:
-    """(scene, episodes, ids): episodes of each scene in order of id."""
+    """(scene, episodes, ids): episodes of each scene in order of id, as one row a scene.  For
+    scenes of any size use ``scene_chunks``."""
     return (
         episodes.withColumn("scene", scene_stem(F.col("scene_id")))
         .groupBy("scene")
@@ -156,6 +159,27 @@ def scene_groups(episodes: DataFrame) -> DataFrame:
     )
 
 
+def scene_chunks(episodes: DataFrame, size: int = 1024) -> DataFrame:
+    """(scene, chunk, episodes, ids): episodes of each scene in order of id, ``size`` a row.
+
+    Rows are dealt by ranges of scene and id, so a scene may span many tasks; an episode's
+    place in its scene is its place in the task plus what earlier tasks hold of the scene, and
+    only these counts, one a task and scene, are summed up.  No list grows with a scene.
+    """
+    rows = episodes.select(scene_stem(F.col("scene_id")).alias("scene"), "episode_id")
+    rows = rows.repartitionByRange("scene", "episode_id").withColumn("_part", F.spark_partition_id())
+    rows = materialize(rows, "scenes")
+    before = Window.partitionBy("scene").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("scene", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    bases = counts.select("scene", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.row_number().over(Window.partitionBy("scene", "_part").orderBy("episode_id"))
+    placed = rows.withColumn("_place", place).join(bases, ["scene", "_part"])
+    chunk = F.floor((F.col("_base") + F.col("_place") - 1) / F.lit(size)).cast("long")
+    return placed.groupBy("scene", chunk.alias("chunk")).agg(
+        F.count(F.lit(1)).alias("episodes"), F.sort_array(F.collect_list("episode_id")).alias("ids")
+    )
+
+
 def label_points(labels: DataFrame) -> DataFrame:
     """(episode_id, object_idx, name, vertex_idx, x, y, z) in world axes of label files:
     episode_id, objects (name, vertices as [x, y, z] in mesh axes).  Names may repeat."""
@@ -169,6 +193,9 @@ def label_points(labels: DataFrame) -> DataFrame:
     )
 
 
+_POSITION, _ROTATION = ("px", "py", "pz"), ("qw", "qx", "qy", "qz")
+
+
 def project_labels(
     poses: DataFrame,
     points: DataFrame,
@@ -183,13 +210,16 @@ def project_labels(
     vertex is in front of the camera and the box, cut to the image, has an area.  Ends are
     cut before they become whole numbers, which gives the same box and cannot overflow.
     """
-    pairs = poses.join(points, "episode_id")
+    return _boxes_of(poses.join(points, "episode_id"), hfov, vfov, width, height)
+
+
+def _boxes_of(pairs: DataFrame, hfov: float, vfov: float, width: int, height: int) -> DataFrame:
     seen = pairs.withColumn(
         "at",
         project_point(
             tuple(F.col(c) for c in "xyz"),
-            tuple(F.col(c) for c in ("px", "py", "pz")),
-            tuple(F.col(c) for c in ("qw", "qx", "qy", "qz")),
+            tuple(map(F.col, _POSITION)),
+            tuple(map(F.col, _ROTATION)),
             hfov,
             vfov,
             width,
@@ -211,6 +241,65 @@ def project_labels(
     return boxes.withColumn("visible", F.coalesce(F.col("front") & area, F.lit(False))).drop("front")
 
 
+def label_balls(points: DataFrame) -> DataFrame:
+    """(episode_id, object_idx, name, x, y, z, radius): a ball around each label's vertices."""
+    ends = points.groupBy("episode_id", "object_idx", "name").agg(
+        *[f(a).alias(f"{n}_{a}") for a in "xyz" for n, f in (("min", F.min), ("max", F.max))]
+    )
+    half = [(F.col(f"max_{a}") - F.col(f"min_{a}")) / 2 for a in "xyz"]
+    return ends.select(
+        "episode_id",
+        "object_idx",
+        "name",
+        *[((F.col(f"min_{a}") + F.col(f"max_{a}")) / 2).alias(a) for a in "xyz"],
+        F.sqrt(half[0] * half[0] + half[1] * half[1] + half[2] * half[2]).alias("radius"),
+    )
+
+
+def poses_in_view(
+    poses: DataFrame,
+    balls: DataFrame,
+    hfov: float = 86.0,
+    vfov: float = 57.0,
+    width: int = 640,
+    height: int = 426,
+) -> DataFrame:
+    """Every pose with every label of its episode, and ``may_see``: whether the label's ball
+    reaches into the view.  Unknown places may be seen."""
+    may = sphere_in_view(
+        tuple(F.col(c) for c in "xyz"),
+        F.col("radius"),
+        tuple(map(F.col, _POSITION)),
+        tuple(map(F.col, _ROTATION)),
+        hfov,
+        vfov,
+        width,
+        height,
+    )
+    return poses.join(balls, "episode_id").withColumn("may_see", F.coalesce(may, F.lit(True))).drop("x", "y", "z", "radius")
+
+
+def visible_labels(
+    poses: DataFrame,
+    points: DataFrame,
+    hfov: float = 86.0,
+    vfov: float = 57.0,
+    width: int = 640,
+    height: int = 426,
+) -> DataFrame:
+    """(episode_id, frame, object_idx, name, visible) of every pose and label.
+
+    A label whose ball is out of view is not visible, so its vertices never meet that pose;
+    the others are projected like in ``project_labels``.
+    """
+    view = (hfov, vfov, width, height)
+    columns = ["episode_id", "frame", "object_idx", "name", "visible"]
+    pairs = poses_in_view(poses, label_balls(points), *view)
+    hidden = pairs.where("not may_see").withColumn("visible", F.lit(False))
+    shown = pairs.where("may_see").drop("may_see", "name").join(points, ["episode_id", "object_idx"])
+    return hidden.select(*columns).unionByName(_boxes_of(shown, *view).select(*columns))
+
+
 def headings(
     rows: DataFrame, by: list[str], order: str, turn_angle: float = 15.0, size: int = scan.SIZE
 ) -> DataFrame:

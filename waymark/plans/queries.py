@@ -1002,6 +1002,16 @@ def agg_scene_groups(spark, d):
     return found.select("scene", "episodes", F.array_join(C("ids").cast("array<string>"), ",").alias("ids"))
 
 
+@query(
+    ["crops"],
+    """SELECT scene, chunk, count(*) AS episodes, string_agg(episode_id, ',' ORDER BY episode_id) AS ids
+    FROM (SELECT scene, episode_id, (row_number() OVER (PARTITION BY scene ORDER BY episode_id) - 1) // 16 AS chunk FROM crops) GROUP BY scene, chunk""",
+)
+def agg_scene_chunks(spark, d):
+    found = spatial.scene_chunks(H.trajectories(spark, d), 16)
+    return found.select("scene", "chunk", "episodes", F.array_join(C("ids").cast("array<string>"), ",").alias("ids"))
+
+
 def _kept(spark, d):
     return spatial.crop_vertices(H.scenes(spark, d), _boxes(spark, d))
 
@@ -1136,7 +1146,8 @@ def _depth():
 
 @query(["places"], f"SELECT episode_id, frame, object_idx, front AND x2 > x1 AND y2 > y1 AS visible FROM ({_BOXED})")
 def visible_boxes(spark, d):
-    return _projected(spark, d).select("episode_id", "frame", "object_idx", "visible")
+    found = spatial.visible_labels(_poses(spark, d), spatial.label_points(_labels(spark, d)))
+    return found.select("episode_id", "frame", "object_idx", "visible")
 
 
 @query(

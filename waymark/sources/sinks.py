@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,29 +31,57 @@ def write_chat(records: DataFrame, path: str) -> None:
 
 def write_json_files(rows: DataFrame, folder: str) -> None:
     """One file per (file, json) row."""
-    write_files(rows.select("file", F.col("json").alias("body")), folder)
+    write_files(rows.select("file", F.col("json").alias("body")), folder, end="}")
 
 
-def write_files(rows: DataFrame, folder: str) -> None:
-    """One file per (file, body) row in a folder that driver and executors share by a mount; a
-    repeated name keeps the body of the greatest record_idx.
+def write_files(rows: DataFrame, folder: str, end: str = "\n") -> None:
+    """One file per (file, body) row in ``folder``, on any file system that Spark writes to; a
+    repeated name keeps the body of the greatest record_idx, else the greatest body.
 
-    A file is written beside its place and then moved there, so that a task that is lost or
-    run again leaves whole files only.
+    Bodies end with ``end``, else the job fails.  Spark writes them beside the folder, each into a
+    directory of its own name, under its commit protocol: tasks that fail or run twice leave
+    nothing.  When the job is over each file is moved to its place, which costs the driver a
+    rename a file; if the job fails, what it wrote is removed and the folder is as before.
+    Rows without a name are left out; a file that is there already is replaced.
     """
-    if "record_idx" in rows.columns:
-        rows = rows.groupBy("file").agg(F.max_by("body", "record_idx").alias("body"))
-
-    def put(part: Iterator) -> None:
-        os.makedirs(folder, exist_ok=True)
-        for row in part:
-            place = os.path.join(folder, row["file"])
-            unfinished = f"{place}.{uuid.uuid4().hex}"
-            with open(unfinished, "w", encoding="utf-8") as f:
-                f.write(row["body"])
-            os.replace(unfinished, place)
-
-    rows.select("file", "body").foreachPartition(put)
+    spark = rows.sparkSession
+    order = "record_idx" if "record_idx" in rows.columns else "body"
+    rows = rows.where("file is not null").groupBy("file").agg(F.max_by("body", order).alias("body"))
+    whole = F.when(F.col("body").endswith(end), F.expr(f"left(body, length(body) - {len(end)})"))
+    text = F.coalesce(whole, F.raise_error(F.concat(F.lit(f"does not end with {end!r}: "), "file")).cast("string"))
+    staged = f"{folder.rstrip('/')}.{uuid.uuid4().hex}"
+    try:
+        rows.select("file", text.alias("value")).write.partitionBy("file").option("lineSep", end).text(staged)
+        _move_files(spark, staged, folder)
+    finally:
+        fs, path = _file_system(spark, staged)
+        fs.delete(path, True)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """Spark's own file system for a path, and the path in its form."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _move_files(spark: SparkSession, staged: str, folder: str) -> None:
+    fs, source = _file_system(spark, staged)
+    _, target = _file_system(spark, folder)
+    fs.mkdirs(target)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+
+    def move(status) -> None:
+        name = unquote(status.getPath().getName().removeprefix("file="))
+        (part,) = [p.getPath() for p in fs.listStatus(status.getPath()) if p.getPath().getName().startswith("part-")]
+        place = make(target, name)
+        if fs.exists(place):
+            fs.delete(place, False)
+        if not fs.rename(part, place):
+            raise OSError(f"cannot move {part} to {place}")
+
+    folders = [s for s in fs.listStatus(source) if s.isDirectory() and s.getPath().getName().startswith("file=")]
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, folders))
 
 
 def markdown_folder(path: str) -> str:
