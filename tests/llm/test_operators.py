@@ -190,6 +190,63 @@ def test_all_slots_are_extracted():
     assert read(two, None) == "a b c d"
 
 
+def test_inline_elements_off_the_main_text():
+    read = html_template.main_text
+    for off in ("<span class='advert'>Buy now</span>", "<span hidden>x</span>", "<b style='display:none'>x</b>", "<svg><text>x</text></svg>",
+                "<canvas>x</canvas>", "<object>x</object>", "<span class=ad><i>x <b>y</b></i></span>"):
+        assert read(f"<article><p>one {off}two <em>three</em></p><p>four</p></article>", None) == "one two three four"
+    assert read("<p>a <span hidden>b<p>c</p>", None) == "a c"
+    assert read("<body>a <span hidden>b<div>c</div></span> d</body>", None) == "a d"
+    assert read("<p>in <span class='tag'>word</span>s</p>", None) == "in words"
+
+
+def test_what_belongs_to_an_article_stays():
+    read = html_template.main_text
+    article = "<article><header><h1>Title here</h1></header><p>a</p><div class=tags>b</div><p id=related>c</p><div class=widget>d</div><footer>f</footer></article>"
+    assert read(f"<body><header>site</header>{article}<div class=related>r</div></body>", None) == "Title here a b c d"
+    assert read("<body><header>site</header><div class=masthead>m</div><p>long main text of it</p><div class=related>r</div></body>", None) == "long main text of it"
+
+
+def neutral_pages(n, rng):
+    """Pages of unnamed elements: the skeleton and two lines on all, a box on some, odd lines on others."""
+    for k in range(n):
+        box = "<p>box head</p><p>box foot</p>" if k % 5 < 3 else ""
+        lone = "<p>now and then</p>" if k % 5 > 1 else ""
+        story = [words(rng, 12) for _ in range(3)]
+        body = "".join(f"<p>{x}</p>" for x in story)
+        html = f"<body><div><p>Get our letter every week</p>{body}<div>{box}</div><section>{lone}</section><p>Written by our staff</p></div></body>"
+        yield k, f"http://h.example/{k}", html, story, bool(lone)
+
+
+def test_texts_of_the_template_are_taken_out(spark, monkeypatch):
+    """Two lines on every page and a box of two on three pages in five are template; a lone line on as
+    many pages is a class of its own, too small.  So grouping by vectors decides."""
+    rows = list(neutral_pages(20, random.Random(3)))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_template.extract_pages(pages).collect()}
+    for k, _, _, story, lone in rows:
+        assert got[k] == " ".join(story + ["now and then"] * lone)
+    merged = pages.select(F.lit("h.example").alias("host"), F.xxhash64("page_id", "url").alias("page"), "html")
+    alike = merged.coalesce(1).mapInPandas(html_template._tokens, html_template._TOKENS)
+    # one vector for all tokens of equal count: the lone line is taken for part of the box
+    one = alike.withColumns({"v1": F.lit(1), "v2": F.lit(1)})
+    monkeypatch.setattr(html_template, "scan_tokens", lambda pages: one)
+    monkeypatch.setattr(html_template, "same_pages", lambda rows: F.lit(True))
+    got = {r.page_id: r.text for r in html_template.extract_pages(pages).collect()}
+    assert not any("now and then" in t for t in got.values())
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    rng = random.Random(6)
+    story = "".join(f"<p>{words(rng, 15)}</p>" for _ in range(4))
+    own = ["".join(f"<p>{words(rng, 15)}</p>" for _ in range(4)) for _ in range(10)]
+    for copies, others in ((4, 6), (10, 0)):
+        bodies = [story] * copies + own[:others]
+        rows = [(k, f"http://h.example/{k}", f"<body><div>{b}</div></body>") for k, b in enumerate(bodies)]
+        got = {r.page_id: r.text for r in html_template.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        assert got == {k: " ".join(b.replace("</p>", "").replace("<p>", " ").split()) for k, b in enumerate(bodies)}
+
+
 # --- 3 quality rules
 
 

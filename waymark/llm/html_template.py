@@ -42,15 +42,19 @@ ASIDE = frozenset(
     "head nav header footer aside form script style noscript template iframe menu button select "
     "textarea dialog svg canvas object".split()
 )
-#: Classes, ids and roles that mark what is around the main text, alone or joined to one
-#: another (cookie-notice) or to ``site`` (site-nav); a name with any other part is no mark.
+#: Classes, ids and roles that mark what is around the main text - adverts, menus, footers,
+#: sidebars, comments, notices, forms - alone or joined to one another (cookie-notice) or to
+#: ``site`` (site-nav); a name with any other part is no mark.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion "
-    "nav navbar navigation navigationlinks menu menubar breadcrumb breadcrumbs header masthead "
-    "footer contentinfo sidebar rail complementary widget related recommended recommendations "
-    "comment comments commentlist respond reply replies disqus cookie cookies consent gdpr notice "
-    "notices alert popup modal newsletter subscribe subscription signup login share sharing social "
-    "search pagination pager copyright disclaimer skip toolbar tags".split()
+    "nav navbar navigation navigationlinks menu menubar breadcrumb breadcrumbs pagination pager "
+    "toolbar skip footer contentinfo copyright sidebar rail complementary comment comments "
+    "commentlist respond reply replies disqus cookie cookies consent gdpr notice notices alert "
+    "popup modal disclaimer newsletter subscribe subscription signup login search".split()
+)
+#: The same for what may belong to an article, and is a mark outside of one only.
+OUTER_MARKS = frozenset(
+    "header masthead widget related recommended recommendations share sharing social tags".split()
 )
 MAIN = ("article", "main")
 #: Elements that can be the region of the main text.
@@ -58,7 +62,11 @@ REGIONS = frozenset("html body main article section div center form table tbody
 #: A valid class has so many tokens at least, and stands on one of so many pages of its host.
 CLASS_TOKENS = 3
 CLASS_PAGES = 10
-#: Hosts whose templates are broadcast: a host and a path, some 200 bytes each.
+#: A text of a valid class is template, and taken out, if it is on so many pages at least and
+#: on more than half of the host's.
+TEXT_PAGES = 5
+#: Hosts whose templates are broadcast: a host, a path and the texts of its template, which are
+#: two for each text of a page at most.
 MAX_HOSTS = 50_000
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -103,23 +111,25 @@ class Page:
         return out
 
 
-def marked_name(name: str) -> bool:
+def marked_name(name: str, in_article: bool = False) -> bool:
     """Whether one whole class, id or role marks what is around the main text."""
-    if name in MARKS:
+    marks = MARKS if in_article else MARKS | OUTER_MARKS
+    if name in marks:
         return True
     parts = {p for p in _PARTS.split(name) if p}
-    return not parts.isdisjoint(MARKS) and parts <= MARKS | {"site"}
+    return not parts.isdisjoint(marks) and parts <= marks | {"site"}
 
 
-def element(name: str, attributes: str) -> tuple[str, int]:
+def element(name: str, attributes: str, in_article: bool = False) -> tuple[str, int]:
     """The element's role on a path (name and class names) and whether it is off the main
-    text: 0 not, 1 by a mark or as a form, 2 by its name or hidden."""
+    text: 0 not, 1 by a mark or as a form, 2 by its name or hidden.  An article's own header
+    is part of it."""
     mark = hidden = False
     classes = ""
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), (a or b or c).lower()
         if key in ("class", "id", "role"):
-            mark = mark or any(map(marked_name, value.split()))
+            mark = mark or any(marked_name(v, in_article) for v in value.split())
             if key == "class":
                 classes = ".".join(sorted(_DIGITS.sub("#", value).split()))
         elif key == "hidden" or key == "aria-hidden" and value == "true":
@@ -128,7 +138,7 @@ def element(name: str, attributes: str) -> tuple[str, int]:
             hidden = True
     if name in ("html", "body", *MAIN):
         off = 0
-    elif hidden or name in ASIDE and name != "form":
+    elif hidden or name in ASIDE and name != "form" and not (in_article and name == "header"):
         off = 2
     else:
         off = int(mark or name == "form")
@@ -170,6 +180,8 @@ def parse(page: str | None) -> Page:
 
     Unclosed elements are closed as HTML says for paragraphs, items and cells; an end tag
     without a start is ignored, and the end of a block element closes what is open inside.
+    A block's text is one block with the inline elements in it, but for those that are off the
+    main text (a hidden span, a drawing): theirs is a block of their own, booked on them.
     """
     out = Page([""], [""], [0], [0], [False], [])
     if not page:
@@ -177,27 +189,34 @@ def parse(page: str | None) -> Page:
     stack: list[int] = [0]
     offs, chars = [0], [0]
     children: list[Counter] = [Counter()]
-    parts: list[str] = []
+    within = [False]  # whether an element is, or is in, an article or main element
+    owner = [0]  # the inline element off the main text that an element is in, inside its block
+    parts: list[tuple[int, str]] = []
 
     def flush() -> None:
-        text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+        own: dict[int, list[str]] = {0: []}
+        for k, part in parts:
+            own.setdefault(k, []).append(part)
         parts.clear()
-        if text:
-            chars[stack[-1]] += len(text)
-            out.blocks.append((stack[-1], text))
+        block = next(k for k in reversed(stack) if k == 0 or out.names[k] in BLOCKS) if len(own) > 1 else stack[-1]
+        for k, texts in own.items():
+            text = _SPACE.sub(" ", html.unescape("".join(texts))).strip()
+            if text:
+                chars[k or block] += len(text)
+                out.blocks.append((k or block, text))
 
     at, end = 0, len(page)
     while at < end:
         tag = page.find("<", at)
         match = _TOKEN.match(page, tag) if tag >= 0 else None
         if tag < 0:
-            parts.append(page[at:])
+            parts.append((owner[stack[-1]], page[at:]))
             break
         if not match:
-            parts.append(page[at : tag + 1])
+            parts.append((owner[stack[-1]], page[at : tag + 1]))
             at = tag + 1
             continue
-        parts.append(page[at:tag])
+        parts.append((owner[stack[-1]], page[at:tag]))
         at = match.end()
         closing, name, attributes = match.group(1), match.group(2), match.group(3)
         if name is None:
@@ -220,8 +239,8 @@ def parse(page: str | None) -> Page:
                 break
             if out.names[stack[k]] in FENCES:
                 break
-        role, off = element(name, attributes or "")
         parent = stack[-1]
+        role, off = element(name, attributes or "", within[parent])
         children[parent][role] += 1
         place = f"{out.keys[parent]}/{role}#{children[parent][role]}"
         out.names.append(name)
@@ -229,6 +248,8 @@ def parse(page: str | None) -> Page:
         out.parents.append(parent)
         out.keys.append(xxhash.xxh3_64_intdigest(place.encode("utf-8", "surrogatepass")) - (1 << 63))
         offs.append(off)
+        within.append(within[parent] or name in MAIN)
+        owner.append(0 if name in BLOCKS else len(out.names) - 1 if off else owner[parent])
         chars.append(0)
         children.append(Counter())
         if name in VOID or (attributes or "").endswith("/") and name not in BLOCKS:
@@ -255,6 +276,11 @@ def page_mark(page: int) -> tuple[int, int]:
     return page & 0xFFFFFFFF, page >> 32
 
 
+def text_code(text: str) -> int:
+    """A text's number as a token, never 0."""
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 | 1
+
+
 _TOKENS = (
     "host string, key long, text long, on long, v1 long, v2 long, chars long, heads long, "
     "region boolean, around array<long>"
@@ -275,8 +301,7 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             here = {(page.keys[k], 0): (0, 0, k) for k in range(1, len(page.names))}
             for k, text in page.blocks:
                 if not page.aside[k]:
-                    code = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 | 1
-                    here[page.keys[k], code] = (len(text), int(page.names[k] == "h1"), k)
+                    here[page.keys[k], text_code(text)] = (len(text), int(page.names[k] == "h1"), k)
             for (key, code), (chars, heads, k) in here.items():
                 row = found.get((host, key, code))
                 if row:
@@ -322,15 +347,23 @@ def choose_region(rows: list[tuple[int, list[int], int, int, int]]) -> list[int]
     return path
 
 
+def same_pages(counts: tuple[str, str]) -> Column:
+    """Tokens of one vector are on equally many pages, or the sums of hashes agree by chance."""
+    return F.col(counts[0]) == F.col(counts[1])
+
+
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, regions): the regions of each host's template around its main text.
+    """(host, regions, fixed): the regions of each host's template around its main text, and
+    the template's texts as (place, text) numbers.
 
     Tokens of a host that stand on the same pages - with the same occurrence vector - are an
     equivalence class.  A class is valid if it has ``CLASS_TOKENS`` tokens and stands on two
     pages, and on one of ``CLASS_PAGES``, at least.
     The elements of valid classes are the template; they nest by their places, and what
     stands between them are its slots, weighed by their texts.  ``choose_region`` goes down
-    from region to region.
+    from region to region.  Texts of valid classes are template too if they are on more than
+    half of the host's pages, and ``TEXT_PAGES`` at least: a text that only some copies of an
+    article share is none.
 
     Vectors are compared by sums of page hashes, so a host of any size is summed by partial
     aggregation; only regions of valid classes, few however many pages a host has, meet in
@@ -348,12 +381,13 @@ def host_templates(pages: DataFrame) -> DataFrame:
     standing = (
         tokens.join(sizes, "host")
         .where(f"on >= 2 and {CLASS_PAGES} * on >= pages")
-        .select("host", "key", "text", "on", "v1", "v2", "region", "around")
+        .select("host", "key", "text", "on", "v1", "v2", "region", "around", "pages")
     )
     classes = (
         standing.groupBy("host", "v1", "v2")
         .agg(F.count(F.lit(1)).alias("n"), F.min("on").alias("low"), F.max("on").alias("high"))
-        .where(f"n >= {CLASS_TOKENS} and low = high")
+        .where(F.col("n") >= CLASS_TOKENS)
+        .where(same_pages(("low", "high")))
         .select("host", "v1", "v2")
     )
     fixed = standing.where("region").join(classes, ["host", "v1", "v2"])
@@ -371,12 +405,19 @@ def host_templates(pages: DataFrame) -> DataFrame:
         path = choose_region(list(zip(rows["key"], around, rows["chars"], rows["heads"], rows["on"])))
         return pd.DataFrame({"host": [key[0]], "regions": [path]})
 
-    return (
+    texts_of = (
+        standing.where(f"text <> 0 and on >= {TEXT_PAGES} and 2 * on > pages")
+        .join(classes, ["host", "v1", "v2"])
+        .groupBy("host")
+        .agg(F.collect_list(F.array("key", "text")).alias("fixed"))
+    )
+    regions = (
         fixed.join(held, ["host", "key"])
         .select("host", "key", "around", "chars", "heads", "on")
         .groupBy("host")
         .applyInPandas(choose, "host string, regions array<long>")
     )
+    return regions.join(texts_of, "host", "left")
 
 
 def main_region(page: Page, regions: list[int]) -> set[int]:
@@ -407,18 +448,24 @@ def main_region(page: Page, regions: list[int]) -> set[int]:
     return {k for k in mains if page.parents[k] == page.parents[best] and page.roles[k] == page.roles[best]}
 
 
-def main_text(source: str | None, regions: list[int] | None) -> str:
-    """Main text of one page, given the regions that its host's template has around it.
+def main_text(source: str | None, regions: list[int] | None, fixed: set[tuple[int, int]] | None = None) -> str:
+    """Main text of one page, given the regions that its host's template has around it and
+    the template's own texts.
 
     Inside the region, what is marked as something else - menus, headers, footers, sidebars,
     notices, adverts, forms, scripts, comments - is left out by element or by whole class,
     id or role, but never what holds the largest article or, by a mark, most of the text.
+    What the slots hold remains: texts of the template go, unless nothing else is there.
     """
     page = parse(source)
     if not page.blocks:
         return ""
     inside = page.inside(main_region(page, regions or []))
-    return " ".join(text for k, text in page.blocks if inside[k] and not page.aside[k])
+    texts = [(k, text) for k, text in page.blocks if inside[k] and not page.aside[k]]
+    if fixed:
+        own = [(k, text) for k, text in texts if (page.keys[k], text_code(text)) not in fixed]
+        texts = own or texts
+    return " ".join(text for _, text in texts)
 
 
 def slot_texts(source: str | None, regions: list[int] | None) -> dict[str, str]:
@@ -443,7 +490,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Null and empty pages have the text ''.  A page that no template fits - it has no host,
     or is the only one there - is read whole but for what is marked.
-    Repeated rows each have a result.  An empty table gives an empty result.
+    Repeated rows each have a result.  An empty table gives an empty result.  A page of any
+    length is read whole, in one pass over its tags.
     The templates are one row a host: counted first, they are broadcast up to ``MAX_HOSTS``,
     so that pages do not move; beyond that both sides shuffle and AQE splits a host that
     holds many pages.
@@ -455,12 +503,19 @@ def extract_pages(pages: DataFrame) -> DataFrame:
         templates = F.broadcast(templates)
 
     @F.pandas_udf("string")
-    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for sources, regions in batches:
-            found = [main_text(h, None if r is None else list(map(int, r))) for h, r in zip(sources, regions)]
+    def read(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for sources, regions, fixed in batches:
+            found = [
+                main_text(
+                    h,
+                    None if r is None else list(map(int, r)),
+                    None if f is None else {(int(key), int(code)) for key, code in f},
+                )
+                for h, r, f in zip(sources, regions, fixed)
+            ]
             yield pd.Series(found, dtype=object)
 
-    text = keyed.join(templates, "host", "left").withColumn("text", read("html", "regions"))
+    text = keyed.join(templates, "host", "left").withColumn("text", read("html", "regions", "fixed"))
     return text.select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
     )
