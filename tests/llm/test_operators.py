@@ -362,6 +362,32 @@ def test_language_id(spark, sf_dir, docs, empty):
     assert language_id.predict_documents(empty).count() == 0
 
 
+def test_tables_of_unlike_languages_are_sparse():
+    rng = np.random.default_rng(3)
+    own = []
+    for m in range(30):
+        keys = np.unique(rng.integers(0, 5000, 60).astype(np.uint64) + np.uint64(10_000 * m * (m % 3 > 0)))
+        own.append((keys, rng.random(len(keys))))
+    asked = rng.integers(0, 400_000, 3000).astype(np.uint64)
+    asked[::2] = rng.choice(np.concatenate([k for k, _ in own]), 1500)
+    for missing in (0.0, 1.0):
+        dense, sparse = (language_id.Table(own, missing, d) for d in (True, False))
+        assert np.array_equal(dense.find(asked), sparse.find(asked))
+        assert (dense.find(asked) != missing).any()
+    assert language_id.Table(own, 0.0).rows is None and language_id.Table(own[:1], 0.0).rows is not None
+
+
+def test_dirty_labels_do_not_grow_the_model(spark):
+    rng = random.Random(8)
+    alphabets = {"aa": "abcde", "bb": "fghij", "cc": "klmno"}
+    rows = [(i, " ".join(word(rng, alphabets[k]) for _ in range(40)), k) for i in range(300) for k in [rng.choice(list(alphabets))]]
+    rows += [(1000 + i, "zz zz", f"junk {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, languages=3)
+    assert model.languages == ["aa", "bb", "cc"]
+    assert list(model.predict(["abc cab", "kol mon", None]).lang) == ["aa", "cc", "und"]
+
+
 # --- 5 shards
 
 

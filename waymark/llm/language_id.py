@@ -19,6 +19,9 @@ from waymark.llm.storage import materialize
 ORDER = 5
 #: Characters per language, as expected, of the sampled labelled documents that fit a model.
 SAMPLE_CHARS = 4_000_000
+#: Languages that are learned, those with the most characters, and characters of all their
+#: samples together: what bounds the models that the driver and each worker hold.
+MAX_LANGUAGES, ALL_SAMPLES = 256, 64_000_000
 UNKNOWN = "und"
 _RUNS = re.compile(r"[^\W\d_]+").findall
 _START, _END = 0x110000, 0x110001
@@ -114,14 +117,45 @@ def fit_language(word_counts: dict[str, int], order: int = ORDER) -> LanguageMod
     return model
 
 
-def _merged(tables: list[tuple[np.ndarray, np.ndarray]], missing: float) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted hashes of all languages with a row of their values each, and a last row
-    for what none has."""
-    keys = np.unique(np.concatenate([k for k, _ in tables]))
-    values = np.full((len(keys) + 1, len(tables)), missing)
-    for m, (own, v) in enumerate(tables):
-        values[np.searchsorted(keys, own), m] = v
-    return keys, values
+class Table:
+    """Hashes of all languages in one sorted array, and each language's value for each.
+
+    Where languages share most hashes the values are a row of one number a language; else
+    each hash has a run of (language, value) pairs, so that the table grows with what the
+    languages hold and not with all hashes times all languages.
+    """
+
+    def __init__(self, own: list[tuple[np.ndarray, np.ndarray]], missing: float, dense: bool | None = None):
+        self.missing, self.n = missing, len(own)
+        keys = np.concatenate([k for k, _ in own])
+        language = np.repeat(np.arange(self.n), [len(k) for k, _ in own])
+        values = np.concatenate([v for _, v in own])
+        order = np.argsort(keys, kind="stable")
+        self.keys, begins = np.unique(keys[order], return_index=True)
+        full = 4 * len(keys) >= len(self.keys) * self.n
+        self.rows = None
+        if full if dense is None else dense:
+            self.rows = np.full((len(self.keys) + 1, self.n), missing)
+            self.rows[np.searchsorted(self.keys, keys), language] = values
+        else:
+            self.begins = np.append(begins, len(keys))
+            self.language, self.values = language[order], values[order]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """A row of one value a language for each hash."""
+        known = self.keys
+        if not len(known):
+            return np.full((len(keys), self.n), self.missing)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        hit = known[at] == keys
+        if self.rows is not None:
+            return self.rows[np.where(hit, at, len(known))]
+        out = np.full((len(keys), self.n), self.missing)
+        where = np.flatnonzero(hit)
+        first, sizes = self.begins[at[where]], self.begins[at[where] + 1] - self.begins[at[where]]
+        run = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
+        out[np.repeat(where, sizes), self.language[run]] = self.values[run]
+        return out
 
 
 class Tables:
@@ -129,25 +163,18 @@ class Tables:
 
     def __init__(self, models: list[LanguageModel]):
         orders = range(len(models[0].grams)) if models else ()
-        self.grams = [_merged([m.grams[k] for m in models], 0.0) for k in orders]
-        self.contexts = [_merged([m.contexts[k] for m in models], 1.0) for k in orders]
-
-
-def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-    known, values = table
-    if not len(known):
-        return values[np.zeros(len(keys), dtype=np.int64)]
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return values[np.where(known[at] == keys, at, len(known))]
+        self.n = len(models)
+        self.grams = [Table([m.grams[k] for m in models], 0.0) for k in orders]
+        self.contexts = [Table([m.contexts[k] for m in models], 1.0) for k in orders]
 
 
 def word_scores(words: list[str], tables: Tables) -> np.ndarray:
     """Natural log probability of each word (its letters and its end) per language."""
     at = Places(words)
-    p = np.full((len(at.seen), tables.grams[0][1].shape[1]), _FLOOR)
+    p = np.full((len(at.seen), tables.n), _FLOOR)
     levels = at.hashes(len(tables.grams))
     for grams, contexts, (fits, before, gram) in zip(tables.grams, tables.contexts, levels):
-        p[fits] = _find(grams, gram) + _find(contexts, before) * p[fits]
+        p[fits] = grams.find(gram) + contexts.find(before) * p[fits]
     total = np.zeros_like(p)
     np.cumsum(np.log(p[1:]), axis=0, out=total[1:])
     return total[at.ends] - total[at.starts]
@@ -226,26 +253,31 @@ def identify(docs: DataFrame, model: Identifier, text_col: str = "text") -> Colu
     return predict(F.col(text_col))
 
 
-def fit(docs: DataFrame, parts: int = 5, sample_chars: int = SAMPLE_CHARS) -> Identifier:
+def fit(
+    docs: DataFrame, parts: int = 5, sample_chars: int = SAMPLE_CHARS, languages: int = MAX_LANGUAGES
+) -> Identifier:
     """Learn from documents with text and lang whose id is not held out.
 
     Characters are totalled per language first, which gives each language the sampling
     rate that is expected to yield ``sample_chars``; documents are then taken whole by a
-    hash of their id.  Nine tenths of the sample fit the models, one tenth calibrates
+    hash of their id.  The ``languages`` with the most characters are learned (ties: the first
+    in order), and many share ``ALL_SAMPLES`` characters, so labels that are no languages cannot
+    grow the model without bound.  Nine tenths of the sample fit the models, one tenth calibrates
     rejection.  Word counts are summed in Spark and each language's model is fitted in a task;
     sorted arrays, bounded by the sample of a language, reach the driver, for as many
     languages as there are.  No language at all gives a model that answers ``und``.
     """
     usable = docs.where("text is not null and lang is not null").where(~held_out(F.col("doc_id"), parts))
-    sizes = usable.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()
-    rates = {r["lang"]: min(1.0, sample_chars / max(1, r["n"])) for r in sizes}
-    if not rates:
+    sizes = usable.groupBy("lang").agg(F.sum(F.length("text")).alias("n"))
+    sizes = materialize(sizes.orderBy(F.desc("n"), "lang").limit(languages), "languages")
+    names = sorted(r["lang"] for r in sizes.select("lang").collect())
+    if not names:
         return Identifier([], [], np.empty(0), np.empty(0))
-    names = sorted(rates)
-    rate = F.create_map(*[F.lit(x) for k in names for x in (k, rates[k])])[F.col("lang")]
+    wanted = min(sample_chars, ALL_SAMPLES // len(names))
+    rates = sizes.select("lang", F.least(F.lit(1.0), F.lit(float(wanted)) / F.greatest(F.lit(1), "n")).alias("rate"))
     draw = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id")), F.lit(1_000_000))
     taken = materialize(
-        usable.where(draw < rate * 1_000_000).select(
+        usable.join(F.broadcast(rates), "lang").where(draw < F.col("rate") * 1_000_000).select(
             "lang", "text", (F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id")), F.lit(10)) == 0).alias("check")
         ),
         "language-sample",
