@@ -119,8 +119,8 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A text per customer that names parts of the first lines of its orders; some are
-    missing and some empty."""
+    """A text per customer that names parts of the first lines of its orders; some are known
+    by another key and some empty."""
     li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
     orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     names = (
@@ -130,7 +130,12 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_join(F.sort_array(F.collect_set("p_name")), ", ").alias("names"))
     )
     text = F.when(F.col("episode_id") % 11 == 0, "").otherwise(F.concat(F.lit("Walk past "), F.upper("names")))
-    return names.where("episode_id % 7 <> 0").select("episode_id", text.alias("text"))
+    return names.select(renamed("episode_id", 7, 0), text.alias("text"))
+
+
+def renamed(key: str, every: int, at: int):
+    """A key that no other table knows for some rows, so that joins miss and no row is lost."""
+    return F.when(F.col(key) % every == at, -F.col(key)).otherwise(F.col(key)).alias(key)
 
 
 _OBJECT = "array<struct<label:string,bbox:struct<x:double,y:double,width:double,height:double>>>"
@@ -177,17 +182,17 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Actions per user, from event ids (4 is an unknown code); some users are absent and
-    some lists five short."""
+    """Actions per user, from event ids (4 is an unknown code); some users are known by
+    another key and some lists five short."""
     f = frames(spark, sf_dir)
     codes = F.transform(
         F.sort_array(F.collect_list(F.struct("frame_pos", (F.col("event_id") % 5).cast("int").alias("code")))),
         lambda s: s["code"],
     )
-    rows = f.groupBy("episode_id").agg(codes.alias("codes")).where("episode_id % 10 <> 3")
+    rows = f.groupBy("episode_id").agg(codes.alias("codes"))
     short = F.slice("codes", F.lit(1), F.greatest(F.size("codes") - 5, F.lit(0)))
     return rows.select(
-        F.col("episode_id").cast("string").alias("episode_key"),
+        renamed("episode_id", 10, 3).cast("string").alias("episode_key"),
         F.when(F.col("episode_id") % 4 == 1, short).otherwise(F.col("codes")).alias("actions"),
     )
 

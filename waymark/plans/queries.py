@@ -255,6 +255,18 @@ def _errors(spark, d):
     return frames.quality_errors(_told(spark, d), H.keyframes(spark, d), _subtasks1(spark, d))
 
 
+@query(
+    ["errors"],
+    """SELECT row_number() OVER (ORDER BY src_idx, task_idx, phase, result_idx, label_idx, frame, i) - 1 AS record_idx, lines[i + 1] AS value
+    FROM (SELECT *, unnest(range(len(lines))) AS i FROM (SELECT *, string_split(message, chr(10)) AS lines FROM errors))""",
+)
+def sink_error_log(spark, d):
+    """The log's lines by their place in the files."""
+    path = scratch_path(spark, "error-log")
+    sinks.write_error_log(_errors(spark, d), path)
+    return readers.numbered_lines(spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start"))
+
+
 @query(["errors"], f"SELECT {_ERROR} FROM errors ORDER BY src_idx, task_idx, phase, result_idx, label_idx, frame")
 def error_log_ordered(spark, d):
     return _error_columns(_errors(spark, d)).orderBy(*frames.ERROR_ORDER)
@@ -565,7 +577,7 @@ def memory_anchor(spark, d):
 )
 def image_reference_left(spark, d):
     e = _eligible(spark, d)
-    videos = e.select("episode_id").where("episode_id % 3 > 0")
+    videos = e.select(H.renamed("episode_id", 3, 0))
     return traces.with_image(e, videos, "f/").select("task_idx", "frame_pos", "image_path")
 
 
@@ -718,6 +730,14 @@ def win_first_valid_attempt(spark, d):
     return traces.accepted_attempts(_validated(spark, d)).select("task_idx", "frame_pos", "attempt")
 
 
+@query(["attempts"], "SELECT task_idx, frame_pos, attempt, reason FROM attempts")
+def src_responses(spark, d):
+    path = scratch_path(spark, "responses")
+    H.responses(spark, d).write.parquet(path)
+    checked = traces.validate_responses(_eligible(spark, d), readers.read_responses(spark, path))
+    return checked.select("task_idx", "frame_pos", "attempt", "reason")
+
+
 @query(["outcomes"], "SELECT task_idx, frame_pos, outcome, attempt FROM outcomes")
 def outcome_policy(spark, d):
     return traces.choose_outcome(_validated(spark, d)).select("task_idx", "frame_pos", "outcome", "attempt")
@@ -935,20 +955,28 @@ def first_role_content(spark, d):
     return told.select("record_idx", "c.image_path", "c.prompt", "c.answer")
 
 
-@query(
-    ["chats"],
-    r"""SELECT record_idx, printf('ep%05d_frame%04d.md', episode_id, frame) AS file,
+_PAGES = r"""SELECT record_idx, printf('ep%05d_frame%04d.md', episode_id, frame) AS file,
       '# Episode ' || episode_id || ' Frame ' || frame || chr(10) || chr(10) || '- Episode ID: ' || episode_id || chr(10) || '- Frame: ' || frame || chr(10)
       || coalesce('- Image Path: `' || image_path || '`' || chr(10), '') || coalesce('- Historical Memory Input: "' || memory || '"' || chr(10), '')
       || coalesce('- History Source Frame: ' || history_source_frame || chr(10), '') || chr(10) || '## Assistant Output' || chr(10) || chr(10)
       || CASE WHEN regexp_replace(answer, '\s+$', '') = '' AND prompt IS NULL THEN '' ELSE regexp_replace(answer, '\s+$', '') || chr(10) END
       || coalesce(chr(10) || '## User Prompt' || chr(10) || chr(10) || '```text' || chr(10) || regexp_replace(prompt, '\s+$', '') || chr(10) || '```' || chr(10), '') AS body
-    FROM chats""",
-)
+    FROM chats"""
+
+
+@query(["chats"], _PAGES)
 def frame_markdown(spark, d):
     return documents.chat_to_markdown(H.chat(spark, d), include_prompt=True)
 
 
+@query(["chats"], f"SELECT file, arg_max(body, record_idx) AS body FROM ({_PAGES}) GROUP BY file")
+def sink_markdown_files(spark, d):
+    path = scratch_path(spark, "pages")
+    sinks.write_files(documents.chat_to_markdown(H.chat(spark, d), include_prompt=True), path)
+    pages = spark.read.text(path, wholetext=True)
+    return pages.select(F.regexp_extract("_metadata.file_path", "([^/]*)$", 1).alias("file"), C("value").alias("body"))
+
+
 @query(
     ["chats"],
     """SELECT 0::BIGINT AS position, '# Frame Index' AS line UNION ALL SELECT 1, '' UNION ALL SELECT 2, '- Total Frames: ' || count(*) FROM chats UNION ALL SELECT 3, ''
@@ -1099,6 +1127,26 @@ _BOXED = f"""SELECT episode_id, frame, object_idx, bool_and(depth > 0) AS front,
   trunc(greatest(0, least(639, max(u))))::INT AS x2, trunc(greatest(0, least(425, max(v))))::INT AS y2 FROM ({_POINTS}) GROUP BY ALL"""
 
 
+@query(["places"], f"SELECT episode_id, object_idx, vertex_idx, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) + 0.0 AS z FROM ({_CORNERS})")
+def src_labels_3d(spark, d):
+    """Label files, one an episode, written and read back."""
+    path, name = scratch_path(spark, "labels"), F.format_string("ep%05d_labels.json", "episode_id")
+    shape = F.struct(F.lit("").alias("folder"), name.alias("filename"), F.lit("").alias("path"), "objects")
+    sinks.write_json_files(_labels(spark, d).select(name.alias("file"), F.to_json(shape).alias("json")), path)
+    points = spatial.label_points(readers.read_labels_3d(spark, path))
+    return points.select("episode_id", "object_idx", "vertex_idx", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), (F.round("z", 6) + 0.0).alias("z"))
+
+
+@query(["vertices", "faces"], "SELECT f.scene, face_id, v2, x, y, z FROM faces f JOIN vertices v ON f.scene = v.scene AND f.v2 = v.vertex_id")
+def src_mesh(spark, d):
+    path = scratch_path(spark, "mesh")
+    H.scenes(spark, d).write.partitionBy("scene").parquet(f"{path}/vertices")
+    H.scene_faces(spark, d).write.partitionBy("scene").parquet(f"{path}/faces")
+    vertices, corners = readers.read_mesh(spark, f"{path}/vertices", f"{path}/faces")
+    both = corners.join(vertices, (corners["scene"] == vertices["scene"]) & (corners["v2"] == vertices["vertex_id"]))
+    return both.select(corners["scene"], "face_id", "v2", "x", "y", "z")
+
+
 @query(["places"], f"SELECT p.episode_id, frame, object_idx, vertex_idx FROM ({_POSES}) p JOIN ({_CORNERS}) c ON p.episode_id = c.episode_id")
 def pose_label_product(spark, d):
     both = _poses(spark, d).join(spatial.label_points(_labels(spark, d)), "episode_id")

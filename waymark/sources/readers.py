@@ -93,7 +93,7 @@ def nonblank_lines(lines: DataFrame) -> DataFrame:
     return lines.where(F.regexp_replace("value", r"(?U)\s+", "") != "")
 
 
-def _numbered(lines: DataFrame) -> DataFrame:
+def numbered_lines(lines: DataFrame) -> DataFrame:
     """(record_idx, value) of lines with their file_path and file_block_start.
 
     The number of a line is its place among the lines of its block of a file, after all lines
@@ -119,7 +119,7 @@ def read_chat(spark: SparkSession, path: str) -> DataFrame:
     and without gaps, in the order of files and lines.
     """
     items = "array<struct<type:string,image_path:string,text:string>>"
-    lines = _numbered(nonblank_lines(spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")))
+    lines = numbered_lines(nonblank_lines(spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")))
     parsed = lines.select("record_idx", F.from_json("value", CHAT_TYPE, _STRICT).alias("r"))
     messages = F.transform(
         "r.messages",
