@@ -135,7 +135,7 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def renamed(key: str, every: int, at: int):
     """A key that no other table knows for some rows, so that joins miss and no row is lost."""
-    return F.when(F.col(key) % every == at, -F.col(key)).otherwise(F.col(key)).alias(key)
+    return F.when(F.col(key) % every == at, -1 - F.col(key)).otherwise(F.col(key)).alias(key)
 
 
 _OBJECT = "array<struct<label:string,bbox:struct<x:double,y:double,width:double,height:double>>>"

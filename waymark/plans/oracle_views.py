@@ -47,7 +47,7 @@ view("keyframes", ["keyrows", "keylabels"], """
     l_quantity * 2 AS x, round_even(l_discount * 100, 0) * 10 AS y, round_even(l_tax * 100, 0) * 10 AS width, l_quantity AS height
   FROM keyrows r JOIN keylabels l ON r.l_orderkey = l.l_orderkey AND r.l_linenumber = l.l_linenumber""")
 view("instructions", [], """
-  SELECT CASE WHEN o_custkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS episode_id, CASE WHEN o_custkey % 11 = 0 THEN ''
+  SELECT CASE WHEN o_custkey % 7 = 0 THEN -1 - o_custkey ELSE o_custkey END AS episode_id, CASE WHEN o_custkey % 11 = 0 THEN ''
     ELSE 'Walk past ' || upper(string_agg(DISTINCT p_name, ', ' ORDER BY p_name)) END AS text
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
   WHERE l_linenumber = 1 GROUP BY o_custkey""")
@@ -126,7 +126,7 @@ view("summaries", ["phrases", "frames"], """
     string_agg(label || ' ' || replace(box, ' ', ''), ' and ' ORDER BY idx) AS boxed, string_agg(label, ' and ' ORDER BY idx) AS labels
   FROM frames f LEFT JOIN phrases p ON f.event_id = p.event_id GROUP BY f.task_idx, f.frame_pos""")
 view("truth", ["frames"], """
-  SELECT (CASE WHEN episode_id % 10 = 3 THEN -episode_id ELSE episode_id END)::VARCHAR AS episode_key,
+  SELECT (CASE WHEN episode_id % 10 = 3 THEN -1 - episode_id ELSE episode_id END)::VARCHAR AS episode_key,
     CASE WHEN episode_id % 4 = 1 THEN codes[1 : greatest(len(codes) - 5, 0)] ELSE codes END AS actions
   FROM (SELECT episode_id, list((event_id % 5)::INT ORDER BY frame_pos) AS codes FROM frames GROUP BY episode_id)""")
 view("seen", ["frames"], """
