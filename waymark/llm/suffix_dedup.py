@@ -5,8 +5,9 @@ A suffix is looked at up to ``WIDTH`` bytes, its window.  The smallest hash amon
 suffixes are bucketed by anchor, and consecutive suffixes with one anchor form a segment.
 Buckets that hold one text only are dropped; equal segments are counted; and only where
 different segments share a bucket are suffixes sorted: bytes of these segments are brought
-together, block after block, and ties longer than ``PERIOD`` bytes are decided by the ranks
-of a difference-cover sample that are computed once per block.
+together, block after block, suffixes are ordered by their bytes, and ties longer than
+``PERIOD`` bytes are decided by the ranks of a difference-cover sample that are computed once per
+block.  Hashes bring suffixes together; inside a block only bytes decide.
 """
 
 from __future__ import annotations
@@ -112,6 +113,29 @@ def _block_segments(data: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     return first, last, offset, grams[place[first]], prints
 
 
+def prefix_ranks(text: np.ndarray, length: int) -> np.ndarray:
+    """The rank of each place's first ``length`` bytes in the order of bytes; behind the end
+    stand zeros.  Eight bytes are one number, and ranks of longer prefixes are ranks of pairs, so
+    sorting a pair of ranks is a radix pass over all bytes that they stand for."""
+    n = len(text)
+    if length < 8:
+        raise ValueError("prefixes have eight bytes at least")
+    padded = np.zeros(n + 8, dtype=np.uint64)
+    padded[:n] = text
+    number = padded[:n].copy()
+    for k in range(1, 8):
+        number = number << np.uint64(8) | padded[k : n + k]
+    _, rank = np.unique(number, return_inverse=True)
+    size = 8
+    while size < length:
+        step = min(size, length - size)  # the halves may overlap
+        after = np.zeros(n, dtype=np.int64)
+        after[: n - step] = rank[step:] + 1
+        _, rank = np.unique(rank * (n + 1) + after, return_inverse=True)
+        size += step
+    return rank
+
+
 def repeated_starts(
     parts: list[np.ndarray], offsets: np.ndarray, width: int = WIDTH, period: int = PERIOD
 ) -> list[np.ndarray]:
@@ -119,9 +143,10 @@ def repeated_starts(
 
     The segments stand in one array, each with its anchor at a multiple of ``period``, so
     that suffixes which may be equal have equal residues and reach the cover by the same
-    step.  Suffixes are sorted by their first ``period`` bytes; what ties is ordered by the
-    rank of the sample suffix a step further, which covers all but the last ``period``
-    bytes, and then by those.  Equal windows end up side by side.
+    step.  Suffixes are sorted by their first ``period`` bytes; those that tie, step by step,
+    by the rank of the sample suffix that the step leads to, which covers all but the last
+    ``period`` bytes, and then by those.  All ranks come from bytes, so suffixes of one step
+    stand in the order of their bytes, and neighbours are equal where all three ranks are.
     """
     sizes = np.array([len(p) for p in parts])
     at = np.empty(len(parts), dtype=np.int64)
@@ -135,17 +160,14 @@ def repeated_starts(
     for a, size, part in zip(at.tolist(), sizes.tolist(), parts):
         text[a : a + size] = part
         valid[a : a + size - depth + 1] = True
-    strings = Strings(text)
+    short = prefix_ranks(text, period)
     cover = np.zeros(period, dtype=bool)
     cover[difference_cover(period)] = True
     sample = np.flatnonzero(valid & cover[np.arange(end) % period])
-    # ranks by doubling along the period: position + period is in the sample's residues too
-    _, rank = np.unique(strings.hashes(sample, period), return_inverse=True)
+    # ranks of the sample, period by period: position + period is in the sample's residues too
+    _, rank = np.unique(short[sample], return_inverse=True)
     for step in range(period, depth, period):
-        following = strings.hashes(sample + step, period)
-        order = np.lexsort((following, rank))
-        new = (rank[order][1:] != rank[order][:-1]) | (following[order][1:] != following[order][:-1])
-        rank[order] = np.concatenate(([0], np.cumsum(new)))
+        _, rank = np.unique(rank * (end + 1) + short[sample + step], return_inverse=True)
     ranks = np.full(end, -1, dtype=np.int64)
     ranks[sample] = rank
     step_of = np.array([next(d for d in range(period) if cover[(r + d) % period]) for r in range(period)])
@@ -153,12 +175,11 @@ def repeated_starts(
     starts = np.concatenate([np.arange(a, a + c) for a, c in zip(at.tolist(), counts.tolist())])
     # only suffixes that take the same step to the cover can be equal, or be compared by it
     step = step_of[starts % period]
-    head = mix(strings.hashes(starts, period) + step.astype(np.uint64))
-    tie = ranks[starts + step]
-    tail = strings.hashes(starts + depth, period)
-    order = np.lexsort((tail, tie, head))
-    h, t, e = head[order], tie[order], tail[order]
-    same = (h[1:] == h[:-1]) & (t[1:] == t[:-1]) & (e[1:] == e[:-1])
+    keys = (short[starts], step, ranks[starts + step], short[starts + depth])
+    order = np.lexsort(keys[::-1])
+    same = np.ones(max(len(order) - 1, 0), dtype=bool)
+    for key in keys:
+        same &= key[order][1:] == key[order][:-1]
     twin = np.zeros(len(order) + 1, dtype=bool)
     twin[1:-1] = same
     out = np.empty(len(order), dtype=bool)
