@@ -242,7 +242,8 @@ def search(
     as soon as they cannot do better.  What a task returns grows with the items, not with the
     documents; the best of all tasks are ranked per item.
 
-    Null texts have no terms, and count nowhere.  Equal scores go by doc_id, null last.
+    Null texts have no terms, and count nowhere.  Ids are whole numbers; equal scores go by
+    doc_id, null last.
     Repeated rows are documents of their own; so are items, each of which is ranked, and an
     item without terms, or whose terms no document holds, has no rows.  An empty table on
     either side gives an empty result.
