@@ -168,6 +168,9 @@ def test_runs_of_overlapping_ranges(spark):
     rng.shuffle(ranges)
     h = spark.createDataFrame(heads, "src_idx int, task_idx int, episode_id int, duration int")
     r = spark.createDataFrame(ranges, "src_idx int, task_idx int, result_idx int, label_idx int, text string, start_frame int, end_frame int, duration int")
+    for short in (0, 10, 256):
+        found = frames.frame_subtasks(h.where("task_idx <> 99"), r, short).collect()
+        assert {(x.task_idx, x.frame): x.subtask for x in found} == {k: v for k, v in told.items() if v}
     runs = frames.subtask_runs(h, r).collect()
     got = {(x.task_idx, f): x.subtask for x in runs if x.task_idx != 99 for f in range(x.first, x.last + 1)}
     assert got == told

@@ -86,6 +86,10 @@ def quarantine(keyframes: DataFrame) -> DataFrame:
     return keyframes.where("seq_idx is not null and kind = 'object'").where(needed).select(*TASK).distinct()
 
 
+#: Frames of a task up to which its ranges are expanded at once.
+SHORT = 256
+
+
 def is_enabled(keyframes: DataFrame) -> Column:
     return F.coalesce(keyframes["enabled"], F.lit(True))
 
@@ -127,7 +131,7 @@ def frame_skeleton(headers: DataFrame) -> DataFrame:
 def _halves(first: Column, last: Column) -> Column:
     """The blocks of 2 ** level frames, each at a multiple of its size, that make up the
     frames from first to last: two of a level at most, so as many as its length has digits."""
-    levels = F.sequence(F.lit(0), F.lit(30))
+    levels = F.sequence(F.lit(0), F.floor(F.log2(last - first + 2)).cast("int"))
 
     def at(level: Column) -> Column:
         size = F.pow(F.lit(2.0), level)
@@ -169,7 +173,7 @@ def subtask_runs(headers: DataFrame, ranges: DataFrame) -> DataFrame:
         .unionByName(inside.where("last < duration").select(*TASK, "duration", (F.col("last") + 1).alias("first")))
         .distinct()
     )
-    cuts = scan.in_chunks(cuts.withColumn("_back", -F.col("first")), "_back")
+    cuts = scan.with_chunk(cuts.withColumn("_back", -F.col("first")), "_back")
     cuts = scan.lags(cuts, TASK, "_back", {"_next": "first"}).drop(scan.CHUNK, "_back")
     levels = F.sequence(F.lit(0), F.floor(F.log2("duration")).cast("int"))
     looked = cuts.withColumn("level", F.explode(levels))
@@ -184,10 +188,35 @@ def subtask_runs(headers: DataFrame, ranges: DataFrame) -> DataFrame:
     )
 
 
-def frame_subtasks(headers: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(task, frame, subtask): of overlapping ranges the last written wins."""
-    runs = subtask_runs(headers, ranges).where("subtask is not null")
-    return runs.select(*TASK, F.explode(F.sequence("first", "last")).alias("frame"), "subtask")
+def _short_subtasks(headers: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Tasks of few frames: ranges are cut to the task and expanded in place, so the only shuffle is
+    the aggregation, which combines on the map side."""
+    spans = headers.select(*TASK, "duration")
+    inside = ranges.drop("duration").join(spans, TASK).select(
+        *TASK,
+        F.struct("result_idx", "label_idx").alias("written"),
+        "text",
+        F.greatest("start_frame", F.lit(1)).alias("first"),
+        F.least("end_frame", "duration").alias("last"),
+    )
+    return (
+        inside.where("first <= last")
+        .select("*", F.explode(F.sequence("first", "last")).alias("frame"))
+        .groupBy(*TASK, "frame")
+        .agg(F.max_by("text", "written").alias("subtask"))
+    )
+
+
+def frame_subtasks(headers: DataFrame, ranges: DataFrame, short: int = SHORT) -> DataFrame:
+    """(task, frame, subtask): of overlapping ranges the last written wins.
+
+    Ranges of tasks of at most ``short`` frames are expanded; longer ones are cut into runs
+    first, so that no range costs more than ``short`` rows before the end.
+    """
+    runs = subtask_runs(headers.where(F.col("duration") > short), ranges).where("subtask is not null")
+    return _short_subtasks(headers.where(F.col("duration") <= short), ranges).unionByName(
+        runs.select(*TASK, F.explode(F.sequence("first", "last")).alias("frame"), "subtask")
+    )
 
 
 def frame_objects(keyframes: DataFrame, headers: DataFrame) -> DataFrame:
@@ -204,11 +233,15 @@ def frame_objects(keyframes: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
-def labelled_frames(headers: DataFrame, keyframes: DataFrame) -> DataFrame:
-    """src_idx, task_idx, episode_id, frame, subtask of every frame; runs become frames in
-    place, at the end."""
-    runs = subtask_runs(headers, subtask_ranges(keyframes, headers)).join(headers.select(*TASK, "episode_id"), TASK)
-    return runs.select(*TASK, "episode_id", F.explode(F.sequence("first", "last")).alias("frame"), "subtask")
+def labelled_frames(headers: DataFrame, keyframes: DataFrame, short: int = SHORT) -> DataFrame:
+    """src_idx, task_idx, episode_id, frame, subtask of every frame; runs of long tasks become
+    frames in place, at the end."""
+    ranges = subtask_ranges(keyframes, headers)
+    few, many = headers.where(F.col("duration") <= short), headers.where(F.col("duration") > short)
+    named = frame_skeleton(few).join(_short_subtasks(few, ranges), [*TASK, "frame"], "left")
+    runs = subtask_runs(many, ranges).join(many.select(*TASK, "episode_id"), TASK)
+    runs = runs.select(*TASK, "episode_id", F.explode(F.sequence("first", "last")).alias("frame"), "subtask")
+    return named.unionByName(runs)
 
 
 def expand_frames(headers: DataFrame, keyframes: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 A group's rows are cut by position into chunks of ``size`` positions, which Spark deals out like any
 other key.  Each chunk is reduced to a summary of one row, the summaries of a group are scanned by
 a window - it has as many rows as the group has chunks - and what a chunk is handed on meets its
-rows by the key that they are dealt by already.  Rows are written once before, as they are read
-for the summaries and for the result.
+rows by the key that they are dealt by already.  Rows are read twice, for the summaries and for
+the result, so those that are dear to make are written once before.
 """
 
 from __future__ import annotations
@@ -20,9 +20,14 @@ SIZE = 4096
 CHUNK = "_chunk"
 
 
+def with_chunk(rows: DataFrame, position: str, size: int = SIZE) -> DataFrame:
+    """The rows with the number of their chunk."""
+    return rows.withColumn(CHUNK, F.floor(F.col(position) / F.lit(size)).cast("long"))
+
+
 def in_chunks(rows: DataFrame, position: str, size: int = SIZE) -> DataFrame:
-    """The rows, written once, with the number of their chunk."""
-    return materialize(rows.withColumn(CHUNK, F.floor(F.col(position) / F.lit(size)).cast("long")), "chunks")
+    """``with_chunk``, written once; for rows that are dear to make."""
+    return materialize(with_chunk(rows, position, size), "chunks")
 
 
 def within(by: list[str], position: str) -> WindowSpec:
