@@ -7,7 +7,7 @@ from waymark.sources import sinks
 
 
 def names(folder):
-    return sorted(p.name for p in folder.iterdir() if not p.name.startswith("."))
+    return sorted(p.name for p in folder.iterdir())
 
 
 def test_files_hold_their_bodies(spark, tmp_path):

@@ -69,6 +69,9 @@ def _move_files(spark: SparkSession, staged: str, folder: str) -> None:
     _, target = _file_system(spark, folder)
     fs.mkdirs(target)
     make = spark._jvm.org.apache.hadoop.fs.Path
+    # a local disk keeps checksums in files of their own, which stay behind
+    sums = spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.ChecksumFileSystem")
+    plain = fs.getRawFileSystem() if sums.isInstance(fs) else fs
 
     def move(status) -> None:
         name = unquote(status.getPath().getName().removeprefix("file="))
@@ -76,7 +79,7 @@ def _move_files(spark: SparkSession, staged: str, folder: str) -> None:
         place = make(target, name)
         if fs.exists(place):
             fs.delete(place, False)
-        if not fs.rename(part, place):
+        if not plain.rename(part, place):
             raise OSError(f"cannot move {part} to {place}")
 
     folders = [s for s in fs.listStatus(source) if s.isDirectory() and s.getPath().getName().startswith("file=")]
