@@ -523,34 +523,6 @@ def test_repeats_with_odd_ids_and_columns(spark):
     )
 
 
-@pytest.mark.parametrize("length", [8, 9, 16, 100])
-def test_ranks_are_the_order_of_bytes(length):
-    rng = random.Random(length)
-    data = bytes(rng.choice(b"\x00\x01ab\xff") for _ in range(300)) + b"ab" * 150 + bytes(40)
-    ranks = suffix_dedup.prefix_ranks(np.frombuffer(data, np.uint8), length).tolist()
-    prefixes = [data[i : i + length].ljust(length, b"\0") for i in range(len(data))]
-    inner = range(len(data) - length + 1)
-    assert [ranks[i] < ranks[j] for i in inner for j in inner[::37]] == [prefixes[i] < prefixes[j] for i in inner for j in inner[::37]]
-    assert [ranks[i] == ranks[j] for i in inner for j in inner[::37]] == [prefixes[i] == prefixes[j] for i in inner for j in inner[::37]]
-
-
-def test_sorted_blocks_find_equal_windows():
-    rng = random.Random(21)
-    base = bytes(rng.choice(b"abc") for _ in range(900))
-    parts, offsets = [], []
-    for _ in range(25):
-        a = rng.randrange(300)
-        part = bytearray(base[a : a + rng.randint(220, 500)])
-        if rng.random() < 0.5:
-            part[rng.randrange(len(part))] = 0
-        parts.append(np.frombuffer(bytes(part), np.uint8))
-        offsets.append(300 - a)
-    got = suffix_dedup.repeated_starts(parts, np.array(offsets), 200, 100)
-    windows = Counter((bytes(p[i : i + 200]), (i - o) % 100) for p, o in zip(parts, offsets) for i in range(len(p) - 199))
-    want = [[windows[bytes(p[i : i + 200]), (i - o) % 100] > 1 for i in range(len(p) - 199)] for p, o in zip(parts, offsets)]
-    assert [g.tolist() for g in got] == want and any(map(any, want)) and not all(map(all, want))
-
-
 def test_the_cover_reaches_every_pair():
     cover = set(suffix_dedup.difference_cover(100).tolist())
     for d in range(100):
