@@ -119,7 +119,7 @@ def repeated_starts(
 
     The segments stand in one array, each with its anchor at a multiple of ``period``, so
     that suffixes which may be equal have equal residues and reach the cover by the same
-    step.  Suffixes are sorted by their first ``period`` bytes; what ties is ordered by the
+    step.  Suffixes are sorted by a hash of their first ``period`` bytes; what ties is ordered by the
     rank of the sample suffix a step further, which covers all but the last ``period``
     bytes, and then by those.  Equal windows end up side by side.
     """
