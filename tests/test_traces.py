@@ -125,6 +125,15 @@ def test_chat_lines_and_pages(spark, sf_dir, tmp_path):
     assert index.startswith(f"# Frame Index\n\n- Total Frames: {len(lines)}\n\n- [Episode 1")
 
 
+def test_an_answer_is_parsed_once(spark, sf_dir):
+    """What is asked of the reason and the trace does not bring their expressions along."""
+    eligible = traces.eligible_frames(H.frames(spark, sf_dir), H.truth(spark, sf_dir))
+    validated = traces.validate_responses(eligible, H.responses(spark, sf_dir))
+    asked = validated.where("reason is not null and reason <> 'transport' and trace.json_error is null")
+    plan = lambda rows: rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(asked).count("```(?:json") == plan(validated).count("```(?:json") < 20
+
+
 def test_stream_of_answers(spark, sf_dir, tmp_path):
     eligible = traces.eligible_frames(H.frames(spark, sf_dir), H.truth(spark, sf_dir))
     H.responses(spark, sf_dir).write.parquet(str(tmp_path / "in"))
