@@ -542,6 +542,28 @@ def test_trie_is_a_distribution():
         assert 0.99 < p.sum() <= 1.0 and (p > 0).all()
 
 
+def test_a_worker_holds_tables_only():
+    """A shipped language model drops its arrays once they are tables, and looks words up in slices."""
+    import pickle
+
+    import numpy as np
+
+    from waymark.llm import language_id as L
+
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdef"), rng.integers(1, 9))) for _ in range(L.SLICE_WORDS + 500)]
+    models = [L.fit_language(dict.fromkeys(words[k::2], 1)) for k in range(2)]
+    own = L.Identifier(["a", "b"], models, np.zeros(2), np.zeros(2))
+    shipped = pickle.loads(pickle.dumps(own))
+    assert shipped.models == [] and len(own.models) == 2
+    texts = [" ".join(words), "abc def", "", None]
+    told, want = shipped.predict(texts), own.predict(texts)
+    assert told.equals(want)
+    whole = L.word_scores(list(dict.fromkeys(words)), own._tables)
+    at = [shipped._rows[w] for w in dict.fromkeys(words)]
+    assert np.allclose(shipped._table[at], whole, atol=1e-6)
+
+
 def test_scores(docs, texts, empty):
     out = ppm.score_documents(docs, chunk_bytes=20_000).toPandas().drop_duplicates("doc_id").set_index("doc_id")
     toks = {i: [*split(t, True), b"\n"] for i, t in enumerate(texts)}

@@ -28,6 +28,8 @@ _START, _END = 0x110000, 0x110001
 #: Probability of a character that a language's sample never has.
 _FLOOR = 1e-4
 CACHE_WORDS = 1 << 17
+#: Words that are looked up at a time.
+SLICE_WORDS = 1 << 14
 
 
 def letter_runs(text: str | None) -> list[str]:
@@ -201,8 +203,10 @@ class Identifier:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
     def __setstate__(self, state):
+        """In a worker only the tables are needed, so the models go when these are built."""
         self.__dict__.update(state)
         self.__post_init__()
+        self.models = []
 
     def predict(self, texts, z: float = 8.0, slack: float = 0.3) -> pd.DataFrame:
         """lang, score, entropy, length and rejected of each text.
@@ -216,14 +220,15 @@ class Identifier:
         if len(self._rows) > CACHE_WORDS:
             self._forget()
         new = {w for r in runs for w in r if w not in self._rows}
-        if new and self.models:
+        if new and self.languages:
             new = list(new)
             self._rows.update(zip(new, range(len(self._rows), len(self._rows) + len(new))))
-            self._table = np.concatenate([self._table, word_scores(new, self._tables)])
+            slices = [word_scores(new[k : k + SLICE_WORDS], self._tables) for k in range(0, len(new), SLICE_WORDS)]
+            self._table = np.concatenate([self._table, *slices])
             self._sizes = np.concatenate([self._sizes, [len(w) + 1 for w in new]])
         out = []
         for run in runs:
-            if not run or not self.models:
+            if not run or not self.languages:
                 out.append((UNKNOWN, 0.0, None, 0, True))
                 continue
             n = np.fromiter(run.values(), dtype=np.float64, count=len(run))
