@@ -89,3 +89,33 @@ def test_one_export_in_many_partitions(spark, tmp_path, small_splits):
     (tmp_path / "episodes.json").write_text(json.dumps(episodes, indent=1))
     rows = readers.read_episodes(spark, str(tmp_path / "episodes.json")).orderBy("task_idx").collect()
     assert [(r.episode_id, r.instruction) for r in rows] == [(k, "go }{") for k in range(30)]
+
+
+@pytest.mark.parametrize("whole", [0, json_parts.WHOLE])
+@pytest.mark.parametrize("text", [*BROKEN, '[{"a":1}]]', '["{}"]', "[null]"])
+def test_no_way_of_reading_takes_a_broken_file(spark, tmp_path, text, whole):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception, match="JSON file"):
+        json_parts.read_parts(spark, str(tmp_path / "a.json"), whole=whole).collect()
+
+
+def test_elements_equal_pythons_at_braces(spark, tmp_path, small_splits):
+    want = list(odd_objects(random.Random(7), 14))
+    (tmp_path / "array.json").write_text(json.dumps(want))
+    assert texts(spark, tmp_path / "array.json", whole=0) == texts(spark, tmp_path / "array.json") == want
+
+
+def test_sound_files_are_not_cut_at_braces(spark, tmp_path, small_splits, monkeypatch):
+    """What is taken as it stands never reaches the search for braces; other files still do."""
+    want = list(odd_objects(random.Random(3), 14))
+    (tmp_path / "array.json").write_text(json.dumps(want))
+    (tmp_path / "b.json").write_text("\n".join(json.dumps(o) for o in want))
+    cut = []
+    inner = json_parts._cut_parts
+    monkeypatch.setattr(json_parts, "_cut_parts", lambda spark, paths, lines: cut.extend(paths) or inner(spark, paths, lines))
+    rows = json_parts.read_parts(spark, str(tmp_path), lines=True).orderBy("src_idx", "part_idx").collect()
+    assert not cut and [r.part_idx for r in rows] == [*range(14)] * 2
+    assert [json.loads(r.value) for r in rows] == want * 2
+    (tmp_path / "c.json").write_text("".join(json.dumps(o, indent=1) for o in want))
+    rows = json_parts.read_parts(spark, str(tmp_path), lines=True).orderBy("src_idx", "part_idx").collect()
+    assert len(cut) == 1 and [json.loads(r.value) for r in rows] == want * 3
