@@ -36,3 +36,22 @@ def test_a_failing_task_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="does not end"):
         sinks.write_files(frame.withColumn("body", F.lit("no end")), str(tmp_path / "out"))
     assert names(tmp_path) == []
+
+
+def test_local_files_are_written_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_move_files", lambda *_: pytest.fail("a driver's call a file"))
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "a.md").write_text("old\n")
+    (tmp_path / "out" / ".a.md.crc").write_bytes(b"crc\0\0\0\2\0\0\0\0\0")
+    rows = spark.createDataFrame([("a.md", "new\n", 1), ("%.md", "é\n", 1)], "file string, body string, record_idx long")
+    sinks.write_files(rows, f"file://{tmp_path}/out")
+    assert names(tmp_path / "out") == ["%.md", "a.md"] and names(tmp_path) == ["out"]
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ["new", "é"]
+
+
+def test_label_files_are_not_numbered_in_the_driver(spark, tmp_path):
+    from waymark.sources import readers
+
+    (tmp_path / "ep00004_x.json").write_text('{"folder": "", "filename": "f", "path": "", "objects": []}')
+    plan = readers.read_labels_3d(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "Join" not in plan and "LocalRelation" not in plan
