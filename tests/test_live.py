@@ -5,6 +5,7 @@ import random
 import sys
 import time
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -151,3 +152,24 @@ def test_failed_attempts_wait_for_a_timer(spark, eligible, tmp_path):
     )
     assert shown(spark.read.parquet(str(tmp_path / "out"))) == shown(chain.replay(frames, responses))
     assert time.time() - began > 2 * 3  # two frames an episode, each with pauses of 2 s and 1 s
+
+
+def test_the_store_is_not_asked_after_every_frame(spark):
+    from waymark.operators.chain import EpisodeWalk
+
+    class Store:
+        calls, value = 0, None
+
+        def exists(self):
+            self.calls += 1
+            return False
+
+        def update(self, value):
+            self.value = value
+
+    walk, stores = EpisodeWalk(lambda p, n, k, f: ("transport_error", "")), [Store(), Store(), Store()]
+    walk.walk, walk.waiting, walk.trying = stores
+    cards = [json.dumps({"prompt": ["", ""], "facts": {}, "bare": "b", "frame": {"frame_pos": k, "frame": k, "action": "STOP"}}) for k in range(50)]
+    (rows,) = walk.handleInputRows((0, 1), iter([pd.DataFrame({"turn": range(1, 51), "card": cards})]), None)
+    assert rows["history_source_frame"].tolist()[1:] == list(range(49)) and walk.walk.value == (51, "b", 49)
+    assert sum(s.calls for s in stores) <= 3
