@@ -55,3 +55,15 @@ def test_label_files_are_not_numbered_in_the_driver(spark, tmp_path):
     (tmp_path / "ep00004_x.json").write_text('{"folder": "", "filename": "f", "path": "", "objects": []}')
     plan = readers.read_labels_3d(spark, str(tmp_path))._jdf.queryExecution().toString()
     assert "Join" not in plan and "LocalRelation" not in plan
+
+
+def test_episodes_between_writer_and_reader_are_small(spark, sf_dir, tmp_path, monkeypatch):
+    """What the query writes in between is compressed, and all of it is read back."""
+    from waymark.plans import queries
+
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    told = queries.QUERIES["src_processed_episodes"](spark, sf_dir).count()
+    lines = spark.read.text(str(tmp_path / "episodes"))
+    assert lines.count() == told > 0
+    size = sum(f.stat().st_size for f in (tmp_path / "episodes").glob("part-*"))
+    assert size * 4 < sum(len(r.value) for r in lines.collect())
