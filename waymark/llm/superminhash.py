@@ -64,9 +64,9 @@ def super_min_hash(shingles: np.ndarray, places: int = PLACES) -> np.ndarray:
 
 
 def four_bits(signature: np.ndarray) -> np.ndarray:
-    """Four bits of each place, sixteen places to a number."""
-    nibbles = (signature & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
-    return np.bitwise_or.reduce(nibbles, axis=1).view(np.int64)
+    """Four bits of each place: of 64 places four numbers, one for each of the bits."""
+    bits = signature.reshape(-1, 1, 64) >> np.arange(4, dtype=np.uint64)[:, None] & np.uint64(1)
+    return np.bitwise_or.reduce(bits << np.arange(64, dtype=np.uint64), axis=2).reshape(-1).view(np.int64)
 
 
 def describe(text: str | None, k: int) -> tuple[int, bytes | None, np.ndarray | None, np.ndarray | None]:
@@ -129,10 +129,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
 
 
 def _open_texts(texts: DataFrame, open_: DataFrame, k: int, percent: int) -> DataFrame:
-    """(rep, most, fine, buckets) of texts in ``open_`` that can have a partner there.
+    """(rep, most, fine) of texts in ``open_`` that can have a partner there.
 
     ``most`` bounds what a text shares with any other: its shingles that some other of these
-    texts has too.  ``fine`` is a finer sketch and ``buckets`` its buckets, 32 at most.
+    texts has too.  ``fine`` is a finer sketch.
     """
 
     @F.pandas_udf("shingles array<long>, fine array<long>")
@@ -145,11 +145,11 @@ def _open_texts(texts: DataFrame, open_: DataFrame, k: int, percent: int) -> Dat
                 out.append((found.view(np.int64), fine))
             yield pd.DataFrame(out, columns=["shingles", "fine"])
 
-    buckets = open_.groupBy("rep").agg(F.first("n").alias("n"), F.collect_set("bucket").alias("buckets"))
+    reps = open_.select("rep", "n").distinct()
     sets = materialize(
-        texts.join(buckets, texts["id"] == buckets["rep"])
-        .select("rep", "n", "buckets", look("text").alias("s"))
-        .select("rep", "n", "buckets", "s.*"),
+        texts.join(reps, texts["id"] == reps["rep"])
+        .select("rep", "n", look("text").alias("s"))
+        .select("rep", "n", "s.*"),
         "open-sets",
     )
     rows = sets.select("rep", F.explode("shingles").alias("shingle"))
@@ -160,18 +160,17 @@ def _open_texts(texts: DataFrame, open_: DataFrame, k: int, percent: int) -> Dat
         .join(own, "rep", "left")
         .withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
         .where(f"100 * most >= {percent} * n")
-        .select("rep", "most", "fine", "buckets")
+        .select("rep", "most", "fine")
     )
 
 
 def _differ(column: str, a: str, b: str, places: int) -> str:
-    """SQL for the number of four-bit places in which two sketches differ."""
+    """SQL for the number of four-bit places in which two sketches differ.  It is short, as Java
+    compiles no method beyond 8000 bytes and a join's whole condition stands in one."""
     terms = []
-    for i in range(places // 16):
-        x = f"({a}.{column}[{i}] ^ {b}.{column}[{i}])"
-        half = f"({x} | shiftrightunsigned({x}, 1))"
-        # one bit is left of each four-bit place that differs
-        terms.append(f"bit_count(({half} | shiftrightunsigned({half}, 2)) & {0x1111111111111111}L)")
+    for i in range(0, places // 16, 4):
+        bits = [f"({a}.{column}[{k}] ^ {b}.{column}[{k}])" for k in range(i, i + 4)]
+        terms.append(f"bit_count({' | '.join(bits)})")
     return " + ".join(terms)
 
 
@@ -181,6 +180,31 @@ def _close(a: str, b: str, percent: int, sketches: bool) -> str:
     return f"{sizes} and {_differ('sketch', a, b, PLACES)} <= {MOST_DIFFERENT}" if sketches else sizes
 
 
+def _pair_by_pair(open_: DataFrame, able: DataFrame, percent: int, sketches: bool) -> DataFrame:
+    """(a, b): pairs of a bucket and of different components that pass every test.
+
+    Nearly all pairs fail the first tests, which are short enough to be compiled; the finer sketches
+    come to the few that are left, each once and not in every bucket.
+    """
+    near = materialize(open_.join(able.select("rep", "most"), "rep"), "able")
+    most = "least(x.most, y.most)"
+    pairs = (
+        near.alias("x")
+        .join(near.alias("y"), "bucket")
+        .where(
+            "x.rep < y.rep and x.component <> y.component and "
+            f"100 * {most} >= {percent} * (x.n + y.n - {most}) and {_close('x', 'y', percent, sketches)}"
+        )
+        .selectExpr("x.rep as a", "y.rep as b")
+        .distinct()
+    )
+    if not sketches:
+        return pairs
+    x, y = (able.select(F.col("rep").alias(s), F.struct("fine").alias(t)) for s, t in (("a", "x"), ("b", "y")))
+    fine = f"{_differ('fine', 'x', 'y', FINE_PLACES)} <= {FINE_DIFFERENT}"
+    return pairs.join(x, "a").join(y, "b").where(fine).select("a", "b")
+
+
 def near_duplicates(
     docs: DataFrame,
     k: int = 5,
@@ -266,21 +290,8 @@ def near_duplicates(
             )
         else:
             open_ = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
-            able = materialize(open_.join(_open_texts(texts, open_, k, percent), "rep"), "able")
-            most = "least(x.most, y.most)"
-            fine = f"{_differ('fine', 'x', 'y', FINE_PLACES)} <= {FINE_DIFFERENT}" if sketches else "true"
-            pairs = (
-                able.alias("x")
-                .join(able.alias("y"), "bucket")
-                .where(
-                    "x.rep < y.rep and x.component <> y.component and "
-                    f"100 * {most} >= {percent} * (x.n + y.n - {most}) and {_close('x', 'y', percent, sketches)} and "
-                    f"{fine} and "
-                    # a pair counts in the first of its buckets only
-                    "bucket = array_min(array_intersect(x.buckets, y.buckets))"
-                )
-                .selectExpr("x.rep as a", "y.rep as b")
-            )
+            able = materialize(_open_texts(texts, open_, k, percent), "open-texts")
+            pairs = _pair_by_pair(open_, able, percent, sketches)
         pairs = materialize(pairs.distinct(), "pairs")
         new = materialize(_verify(pairs, texts, k, percent), "links")
         links = new if links is None else links.unionByName(new)
